@@ -18,6 +18,7 @@ from coinwharf.plans.lake import Lake
 from coinwharf.sources.notifications import decode_notifications
 
 MAX_FILES = 1000
+FILE_DDL = "path string, modificationTime timestamp, length long, content binary"
 
 
 def file_arrivals(
@@ -26,6 +27,7 @@ def file_arrivals(
     """New files of a folder (path, modificationTime, length); contents are not read."""
     return (
         spark.readStream.format("binaryFile")
+        .schema(FILE_DDL)
         .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", max_files)
         .load(landing)

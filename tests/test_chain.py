@@ -1,0 +1,161 @@
+import datetime as dt
+import json
+import os
+
+from coinwharf.plans import reports
+from coinwharf.plans.audit import read_log
+from coinwharf.plans.chain import Run, run_batch
+from coinwharf.plans.lake import Lake
+from coinwharf.sources.notifications import encode_notifications
+from coinwharf.streaming.arrivals import file_arrivals, message_arrivals, start_chain
+from fixtures import account, branch, customer, product, transaction, write_csv
+
+TS = dt.datetime(2025, 7, 1, tzinfo=dt.timezone.utc)
+AS_OF = dt.date(2025, 7, 1)
+
+FIRST = {
+    "Datafile_accounts.csv": ("account", [account("A-1"), account("A1", created="2020-01-01"), account("A2"), account(None)]),
+    "Datafile_branches.csv": ("branch", [branch("B1")]),
+    "Datafile_customers.csv": ("customer", [customer("C1", "A-1"), customer("C2", "A2"), customer(None, "A2")]),
+    "Datafile_products.csv": ("products", [product("P1"), product("P2")]),
+    "Datafile_transactions.csv": ("transaction", [
+        transaction("T1", "A1", "P1", amount="150000"),
+        transaction("T2", "A1", "P2", amount="50000", status="SUCCESS"),
+        transaction("T3", "A2", "P2", amount="50000", day="2025-01-01"),
+        transaction("T4", "A2", "P1", amount="lots", day="2025-02-30", status="Failed"),
+    ]),
+}
+SECOND = {
+    "more_transactions.csv": ("transaction", [
+        transaction("T3", "A2", "P2", amount="250000", day="2025-06-30"),
+        transaction("T5", "A2", "P2", amount="1"),
+    ]),
+    "notes.csv": ("account", [account("A9")]),
+}
+
+
+def land(folder, files):
+    for name, (entity, rows) in files.items():
+        write_csv(folder, name, rows, entity=entity)
+
+
+def tables(lake):
+    curated = {
+        e: sorted(map(str, lake.curated(e).read().drop("load_time", "created_at", "updated_at").collect()))
+        for e in ("customer", "branch", "account", "products", "transaction")
+    }
+    names = (reports.TOP_CUSTOMERS, reports.MONTHLY_TREND, reports.PRODUCT_SHARE, reports.INACTIVE_ACCOUNTS,
+             reports.SUSPICIOUS)
+    return curated, {n: sorted(map(str, lake.report(n).read().collect())) for n in names}
+
+
+def rows(lake, name):
+    return [tuple(r) for r in lake.report(name).read().collect()]
+
+
+def test_batch_chain(spark, folder):
+    land(folder + "/landing", FIRST)
+    lake = Lake(spark, folder + "/lake")
+    run_batch(lake, folder + "/landing", Run.of("one", TS, AS_OF))
+
+    assert rows(lake, reports.TOP_CUSTOMERS) == [("C1", "Cust", 200000.0), ("C2", "Cust", 50000.0)]
+    assert rows(lake, reports.PRODUCT_SHARE) == [("P1", 150000.0, 75.0), ("P2", 50000.0, 25.0)]
+    assert rows(lake, reports.INACTIVE_ACCOUNTS) == [("A2", "Abc")]
+    assert rows(lake, reports.SUSPICIOUS) == [("T1", "C1", "Cust", 150000.0, dt.date(2025, 6, 15), "Success")]
+    assert len(rows(lake, reports.MONTHLY_TREND)) == 4
+
+    audit = {(r.step, r.entity, r.metric): r.rows for r in read_log(spark, lake.audit).collect()}
+    assert audit["curated", "account", "rows_in"] == 4 and audit["curated", "account", "rejected"] == 1
+    assert audit["curated", "account", "insert"] == 2 and audit["curated", "customer", "rejected"] == 1
+    assert audit["curated", "transaction", "unreadable_amount"] == 1
+    assert audit["curated", "transaction", "unreadable_date"] == 1
+    assert audit["reporting", reports.SUSPICIOUS, "rows"] == 1
+    rejected = spark.read.parquet(lake.rejects("account")).collect()
+    assert [tuple(r.missing) for r in rejected] == [("account_id",)]
+
+    # The same landing folder again: raw is replaced, curated rows are updated in place.
+    before = tables(lake)
+    run_batch(lake, folder + "/landing", Run.of("two", TS + dt.timedelta(days=1), AS_OF))
+    assert tables(lake) == before
+    audit = {(r.run_id, r.entity, r.metric): r.rows for r in read_log(spark, lake.audit).collect()}
+    assert audit["two", "account", "update"] == 2 and audit["two", "account", "insert"] == 0
+    first = lake.curated("account").read().first()
+    assert first.updated_at > first.created_at
+
+
+def test_batch_over_an_empty_folder(spark, folder):
+    lake = Lake(spark, folder + "/lake")
+    run_batch(lake, folder, Run.of("none", TS, AS_OF))
+    assert rows(lake, reports.TOP_CUSTOMERS) == []
+
+
+def test_append_mode_from_the_job_configuration(spark, folder):
+    land(folder + "/landing", FIRST)
+    config = os.path.join(folder, "job.json")
+    with open(config, "w") as out:
+        json.dump({"tables": {"account": {"write_mode": "append"}}}, out)
+    lake = Lake(spark, folder + "/lake", partition_raw_by_day=True)
+    for run in ("one", "two"):
+        run_batch(lake, folder + "/landing", Run.of(run, TS, AS_OF), config)
+    assert lake.raw("account").row_count() == 8
+    assert all("ingestion_date=2025-07-01" in place for place in lake.raw("account").state().locations)
+    assert lake.curated("account").row_count() == 2
+
+
+def drain(query):
+    query.awaitTermination()
+    assert query.exception() is None
+
+
+def test_stream_equals_batch(spark, folder):
+    landing = folder + "/landing"
+    streamed = Lake(spark, folder + "/streamed")
+    config = os.path.join(folder, "job.json")
+    with open(config, "w") as out:
+        json.dump({"tables": {}}, out)
+
+    def stream():
+        drain(start_chain(file_arrivals(spark, landing), streamed, folder + "/checkpoint", config, TS, AS_OF))
+
+    land(landing, FIRST)
+    stream()
+    land(landing, SECOND)
+    stream()
+    runs = read_log(spark, streamed.audit).select("run_id").distinct().count()
+    stream()  # nothing new, no run
+    assert read_log(spark, streamed.audit).select("run_id").distinct().count() == runs == 2
+
+    batch = Lake(spark, folder + "/batch")
+    run_batch(batch, landing, Run.of("all", TS, AS_OF), config)
+    assert tables(streamed) == tables(batch)
+    assert streamed.raw("transaction").row_count() == 6
+
+
+def test_a_replayed_batch_changes_nothing(spark, folder):
+    """The same micro-batch again, as after a crash before the checkpoint was written."""
+    from coinwharf.plans.chain import run_files
+    from coinwharf.sources.landing import list_files
+
+    land(folder + "/landing", FIRST)
+    config = os.path.join(folder, "job.json")
+    with open(config, "w") as out:
+        json.dump({"tables": {}}, out)
+    lake, run = Lake(spark, folder + "/lake"), Run.of("q-000000000", TS, AS_OF)
+    for _ in range(2):
+        run_files(lake, list_files(spark, folder + "/landing"), run, config, only_new=True)
+    assert lake.raw("transaction").row_count() == 4 and lake.curated("transaction").row_count() == 4
+    assert lake.curated("account").state().version == 2
+
+
+def test_messages_start_the_chain(spark, folder):
+    land(folder + "/landing", FIRST)
+    names = [(folder.lstrip("/"), f"landing/{n}") for n in FIRST] + [("b", None)]
+    encode_notifications(spark.createDataFrame(names, "bucket string, name string")).write.json(folder + "/messages")
+    lake = Lake(spark, folder + "/lake")
+    arrivals = message_arrivals(spark, folder + "/messages", scheme="file")
+    # file://bucket/name would name a host; local files need a third slash.
+    from pyspark.sql import functions as F
+
+    arrivals = arrivals.withColumn("path", F.regexp_replace("path", "^file://", "file:///"))
+    drain(start_chain(arrivals, lake, folder + "/checkpoint", None, TS, AS_OF))
+    assert rows(lake, reports.TOP_CUSTOMERS) == [("C1", "Cust", 200000.0), ("C2", "Cust", 50000.0)]
