@@ -101,9 +101,7 @@ def refresh_reports(lake: Lake, run: Run) -> list[Entry]:
 
     def refresh(item):
         name, report = item
-        table = lake.report(name)
-        table.replace(report, load_id=run.run_id)
-        return "reporting", name, {"rows": table.row_count()}
+        return "reporting", name, {"rows": lake.report(name).replace(report, load_id=run.run_id)}
 
     return _together(refresh, build_reports(lake, run).items())
 
@@ -124,7 +122,8 @@ def run_files(
     if only_new:
         sources = loaded
     else:
-        sources = {entity: lake.raw(entity).read() for entity in ENTITIES if lake.raw(entity).row_count()}
+        states = {entity: lake.raw(entity).state() for entity in ENTITIES}
+        sources = {entity: lake.raw(entity).read(state) for entity, state in states.items() if state.rows}
     _together(lambda entity: lake.curated(entity).ensure(), ENTITIES)
     entries += _together(lambda entity: load_curated(lake, entity, sources[entity], run), sources)
     entries += refresh_reports(lake, run)

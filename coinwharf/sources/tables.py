@@ -92,9 +92,9 @@ class SnapshotTable:
             seen=bool(commits and commits[0]["seen"]),
         )
 
-    def read(self) -> DataFrame:
-        """The table's rows as of now."""
-        return self._read(self.state().locations)
+    def read(self, state: State | None = None) -> DataFrame:
+        """The table's rows as of now, or as of a state read before."""
+        return self._read((state or self.state()).locations)
 
     def rows_of(self, load_id: str) -> DataFrame:
         """The rows one load appended or put in place, as far as they are still there."""
@@ -130,37 +130,37 @@ class SnapshotTable:
 
     def ensure(self) -> None:
         """Commit an empty first version when there is no table yet."""
-        if not self.state().version:
-            self._commit(1, [], [], None)
+        state = self.state()
+        if not state.version:
+            self._commit(state, None, [], None)
 
-    def append(self, df: DataFrame, load_id: str | None = None) -> None:
-        """Add rows. A load id that was committed before is not added again."""
+    def append(self, df: DataFrame, load_id: str | None = None) -> int:
+        """Add rows and return their number. A load id that was committed before adds none."""
         state = self.state(load_id)
-        if not state.seen:
-            version = state.version + 1
-            self._commit(version, self._write(df, version), [], load_id)
+        if state.seen:
+            return 0
+        return self._commit(state, df, [], load_id)
 
-    def replace(self, df: DataFrame, load_id: str | None = None) -> None:
-        """Put ``df`` in place of all rows; ``df`` may read this very table."""
-        state = self.state()
+    def replace(self, df: DataFrame, load_id: str | None = None) -> int:
+        """Put ``df`` in place of all rows and return their number; ``df`` may read this very table."""
         if not self._declared:
             self.schema = df.schema
-        version = state.version + 1
-        self._commit(version, self._write(df, version), state.live, load_id)
+        state = self.state()
+        return self._commit(state, df, state.live, load_id)
 
-    def save(self, df: DataFrame, mode: str, load_id: str | None = None) -> None:
-        """Write with one of Spark's save modes."""
+    def save(self, df: DataFrame, mode: str, load_id: str | None = None) -> int:
+        """Write with one of Spark's save modes; returns the number of rows written."""
         if mode == "append":
-            self.append(df, load_id)
-        elif mode == "overwrite":
-            self.replace(df, load_id)
-        elif mode in ("ignore", "error", "errorifexists"):
-            if not self.state().version:
-                self.append(df, load_id)
-            elif mode != "ignore":
-                raise ValueError(f"table {self.root} already exists")
-        else:
+            return self.append(df, load_id)
+        if mode == "overwrite":
+            return self.replace(df, load_id)
+        if mode not in ("ignore", "error", "errorifexists"):
             raise ValueError(f"unknown write mode {mode!r}")
+        if not self.state().version:
+            return self.append(df, load_id)
+        if mode == "ignore":
+            return 0
+        raise ValueError(f"table {self.root} already exists")
 
     def merge(
         self,
@@ -182,28 +182,29 @@ class SnapshotTable:
         state = self.state(load_id)
         if state.seen:
             return {}
-        version = state.version + 1
-        source = staged(source.select(*self.schema.names), "source")
+        source = source.select(*self.schema.names)
+        if strict or state.live:
+            source = staged(source, "source")
         if strict:
             check_unique(source, keys)
-        arrived = source.count()
         if not state.live:
-            self._commit(version, self._write(source, version), [], load_id)
-            return {"keep": 0, "update": 0, "insert": arrived}
+            return {"keep": 0, "update": 0, "insert": self._commit(state, source, [], load_id)}
 
         target = self._read(state.locations, partition=True)
         day = F.col(self.partition[0]).cast("string") if self.partition else F.lit(None).cast("string")
         hits = staged(target.select(*keys, day.alias("_day")).join(source.select(*keys), list(keys)), "hits")
-        days = {row["_day"] for row in hits.select("_day").distinct().collect()}
-        touched = [entry for entry in state.live if entry["day"] in days]
+        per_day = {row["_day"]: row["count"] for row in hits.groupBy("_day").count().collect()}
+        touched = [entry for entry in state.live if entry["day"] in per_day]
+        updates = sum(per_day.values())
 
-        changed = source.join(hits.select(*keys), list(keys), "left_anti").select(*source.columns)
+        changed = source
         if touched:
+            changed = source.join(hits.select(*keys), list(keys), "left_anti").select(*source.columns)
             affected = self._read([entry["location"] for entry in touched])
             changed = apply_updates(affected, source, keys, on_match).unionByName(changed)
-        self._commit(version, self._write(changed, version), touched, load_id)
-        updates = hits.count()
-        return {"keep": state.rows - updates, "update": updates, "insert": arrived - updates}
+        written = self._commit(state, changed, touched, load_id)
+        inserts = written - sum(entry["rows"] for entry in touched)
+        return {"keep": state.rows - updates, "update": updates, "insert": inserts}
 
     def _write(self, df: DataFrame, version: int) -> list[Row]:
         """Write rows under ``data/v=<version>`` and describe the folders made.
@@ -239,14 +240,16 @@ class SnapshotTable:
             for row in counts
         ]
 
-    def _commit(
-        self, version: int, added: Sequence[Row], removed: Sequence[Row], load_id: str | None
-    ) -> None:
+    def _commit(self, state: State, df: DataFrame | None, removed: Sequence[Row], load_id: str | None) -> int:
+        """Write rows, then the log entry that puts them in place; returns the rows written."""
+        version = state.version + 1
+        added = [] if df is None else self._write(df, version)
         rows = [(None, None, 0, False, load_id)]
         rows += [(e["location"], e["day"], e["rows"], False, load_id) for e in added]
         rows += [(e["location"], e["day"], e["rows"], True, None) for e in removed]
         entries = self.spark.createDataFrame(rows, LOG_DDL)
         entries.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/log/v={version}")
+        return sum(entry["rows"] for entry in added)
 
 
 def ensure_tables(tables: Sequence[SnapshotTable]) -> None:

@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,9 +91,19 @@ def test_exact_sum_does_not_depend_on_order(spark):
     assert totals == {30.00005}
 
 
-def test_exact_sum_refuses_amounts_that_do_not_fit(spark):
-    df = spark.createDataFrame([(1e30,)], "a double")
-    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+def test_exact_sum_of_signs_nulls_and_scales(spark):
+    df = spark.createDataFrame([(-0.1,), (-2.35,), (None,), (3.0,), (0.9999999,)], "a double")
+    assert df.agg(numeric.exact_sum(F.col("a"))).first()[0] == Decimal("1.55")
+    assert df.agg(numeric.exact_sum(F.col("a"), 2)).first()[0] == Decimal("1.55")
+    assert df.where("a is null").agg(numeric.exact_sum(F.col("a"))).first()[0] is None
+    whole = spark.range(5).agg(numeric.exact_sum(F.col("id"))).first()[0]
+    assert whole == 10
+
+
+@pytest.mark.parametrize("amount", [1e30, -1e30, float("inf"), float("nan")])
+def test_exact_sum_refuses_amounts_that_do_not_fit(spark, amount):
+    df = spark.createDataFrame([(amount,)], "a double")
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
         df.agg(numeric.exact_sum(F.col("a"))).first()
 
 

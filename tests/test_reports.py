@@ -153,7 +153,7 @@ def test_transactions_are_summed_before_they_are_joined(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", setting)
         plan = plan_of(reports.top_customers(df, who))
         join = plan.index("HashJoin") if "HashJoin" in plan else plan.index("SortMergeJoin")
-        assert "partial_sum(cast(amount" in plan[join:]
+        assert "partial_sum(FLOOR(amount" in plan[join:]
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
