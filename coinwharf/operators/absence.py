@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 
 def without_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -13,5 +15,6 @@ def without_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Dat
     The right side is reduced to distinct keys before it is shuffled, so a key that
     fills a third of it arrives as one row per task.
     """
-    present = right.select(*keys).dropna().distinct()
+    known = reduce(and_, [F.col(key).isNotNull() for key in keys])
+    present = right.where(known).select(*keys).distinct()
     return left.join(present, list(keys), "left_anti")

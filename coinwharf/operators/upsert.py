@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -15,8 +17,8 @@ class DuplicateSourceKeys(ValueError):
 
 def check_unique(source: DataFrame, keys: Sequence[str]) -> None:
     """Raise when a non-null key occurs more than once in ``source``."""
-    present = source.dropna(subset=list(keys)).groupBy(*keys).count()
-    repeated = present.where("count > 1").limit(5).collect()
+    present = reduce(and_, [F.col(key).isNotNull() for key in keys])
+    repeated = source.where(present).groupBy(*keys).count().where("count > 1").limit(5).collect()
     if repeated:
         shown = ", ".join(str(row[: len(keys)]) for row in repeated)
         raise DuplicateSourceKeys(f"source keys are not unique, for example {shown}")
@@ -27,10 +29,7 @@ def _renamed(source: DataFrame) -> DataFrame:
 
 
 def _same_key(keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & (F.col(key) == F.col(f"s_{key}"))
-    return condition
+    return reduce(and_, [F.col(key) == F.col(f"s_{key}") for key in keys])
 
 
 def merge_upsert(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -18,34 +20,27 @@ def action_counts(merged: DataFrame) -> DataFrame:
     return merged.groupBy("action").agg(F.count("*").alias("rows"))
 
 
-def quality_counts(raw: DataFrame, spec: CuratedSpec) -> DataFrame:
+def quality_counts(raw: DataFrame, spec: CuratedSpec, null_keys: bool = False) -> DataFrame:
     """One row: rows read, rows without a required field, and unreadable values per typed column.
 
     A plain aggregate instead of an observed metric: metrics are counted again when a task
     is retried, and the log has to be exact.
     """
-    required = [F.col(c) for c in dict.fromkeys((*spec.required, spec.raw_name(spec.key)))]
-    incomplete = required[0].isNull()
-    for column in required[1:]:
-        incomplete = incomplete | column.isNull()
+    incomplete = reduce(or_, [F.col(c).isNull() for c in spec.needed(null_keys)])
     unreadable = []
     for name in spec.typed:
         value = F.col(spec.raw_name(name))
         unreadable.append(
             F.count_if(value.isNotNull() & spec.rules[name](value).isNull()).alias(f"unreadable_{name}")
         )
-    return raw.agg(
-        F.count("*").alias("rows_in"), F.count_if(incomplete).alias("rejected"), *unreadable
-    )
+    return raw.agg(F.count("*").alias("rows_in"), F.count_if(incomplete).alias("rejected"), *unreadable)
 
 
-def rejected_rows(raw: DataFrame, spec: CuratedSpec) -> DataFrame:
+def rejected_rows(raw: DataFrame, spec: CuratedSpec, null_keys: bool = False) -> DataFrame:
     """Raw rows that curation leaves out, with the columns they lack."""
-    required = list(dict.fromkeys((*spec.required, spec.raw_name(spec.key))))
-    missing = F.filter(
-        F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]), lambda name: name.isNotNull()
-    )
-    return raw.withColumn("missing", missing).where(F.size("missing") > 0)
+    needed = spec.needed(null_keys)
+    missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in needed]))
+    return raw.where(reduce(or_, [F.col(c).isNull() for c in needed])).withColumn("missing", missing)
 
 
 def write_log(

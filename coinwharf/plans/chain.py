@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 
 from coinwharf.plans import reports
 from coinwharf.plans.audit import quality_counts, rejected_rows, write_log
-from coinwharf.plans.curated import SPECS, upsert_source
+from coinwharf.plans.curated import SPECS, check_spellings, upsert_source
 from coinwharf.plans.lake import Lake
 from coinwharf.plans.raw_load import files_per_table, load_table, skipped
 from coinwharf.schemas import ENTITIES
@@ -23,7 +23,12 @@ Entry = tuple[str, str, dict[str, int]]
 
 @dataclass(frozen=True)
 class Run:
-    """The clock, identity and options of one run."""
+    """The clock, identity and options of one run.
+
+    ``headers`` is how files are read, ``normalize_phone`` repairs numbers before they are
+    checked, ``null_keys`` lets rows without a key in, and ``strict`` refuses a load in
+    which two spellings of a key meet.
+    """
 
     run_id: str
     run_ts: dt.datetime
@@ -31,6 +36,7 @@ class Run:
     headers: str = "by_name"
     normalize_phone: bool = False
     null_keys: bool = False
+    strict: bool = False
 
     @staticmethod
     def of(
@@ -74,9 +80,12 @@ def load_raw(lake: Lake, files: DataFrame, run: Run, config_path: str | None = N
 def load_curated(lake: Lake, entity: str, raw: DataFrame, run: Run) -> Entry:
     """Upsert one curated table from raw rows; returns its audit entry."""
     spec = SPECS[entity]
-    quality = quality_counts(raw, spec).first().asDict()
+    if run.strict:
+        check_spellings(raw, spec)
+    quality = quality_counts(raw, spec, run.null_keys).first().asDict()
     if quality["rejected"]:
-        rejected_rows(raw, spec).write.mode("overwrite").parquet(f"{lake.rejects(entity)}/run_id={run.run_id}")
+        rejected = rejected_rows(raw, spec, run.null_keys)
+        rejected.write.mode("overwrite").parquet(f"{lake.rejects(entity)}/run_id={run.run_id}")
     source = upsert_source(raw, spec, run.as_of, run.run_ts, run.normalize_phone, run.null_keys)
     actions = lake.curated(entity).merge(source, [spec.key], spec.on_match, load_id=run.run_id)
     return "curated", entity, {**quality, **actions}
@@ -131,6 +140,8 @@ def run_files(
     return entries
 
 
-def run_batch(lake: Lake, landing: str, run: Run, config_path: str | None = None) -> list[Entry]:
+def run_batch(
+    lake: Lake, landing: str, run: Run, config_path: str | None = None, only_new: bool = False
+) -> list[Entry]:
     """One run over everything in the landing folder."""
-    return run_files(lake, list_files(lake.spark, landing), run, config_path)
+    return run_files(lake, list_files(lake.spark, landing), run, config_path, only_new)

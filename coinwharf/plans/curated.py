@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -54,12 +56,21 @@ class CuratedSpec:
 
     @property
     def cleaned(self) -> list[str]:
-        return [c for c in self.columns if c not in ("load_time", "created_at", "updated_at")]
+        return [c for c in self.columns if c not in self.stamps]
 
     @property
     def on_match(self) -> list[str]:
         return [c for c in self.columns if c != self.key and c not in self.kept_on_match]
 
+    def needed(self, null_keys: bool = False) -> list[str]:
+        """Raw columns a row must have.
+
+        A row without a business key can never match, so each load would insert it
+        again; such rows are rejected unless ``null_keys`` asks for them.
+        """
+        key = () if null_keys else (self.raw_name(self.key),)
+        return list(dict.fromkeys((*self.required, *key)))
+
     @property
     def typed(self) -> list[str]:
         """Columns whose text can turn out unreadable."""
@@ -160,21 +171,25 @@ SPECS = {
 }
 
 
-def complete_rows(df: DataFrame, required: tuple[str, ...] | list[str]) -> DataFrame:
-    """Rows in which none of the required columns is null."""
-    return df.dropna(subset=list(required))
+def complete_rows(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """Rows in which none of the required columns is null.
+
+    Plain IS NOT NULL tests: unlike ``dropna`` they are pushed into the file scan.
+    """
+    return df.where(reduce(and_, [F.col(c).isNotNull() for c in required]))
 
 
 def accepted(raw: DataFrame, spec: CuratedSpec, null_keys: bool = False) -> DataFrame:
-    """Raw rows fit for curation.
+    """Raw rows fit for curation."""
+    return complete_rows(raw, spec.needed(null_keys))
 
-    A row without a business key can never match, so each load would insert it again;
-    such rows are rejected unless ``null_keys`` asks for them.
-    """
-    required = list(spec.required)
-    if not null_keys and spec.raw_name(spec.key) not in required:
-        required.append(spec.raw_name(spec.key))
-    return complete_rows(raw, required)
+
+def check_spellings(raw: DataFrame, spec: CuratedSpec) -> None:
+    """Raise when two raw keys become one by cleaning, as ``A-1`` and ``A1`` do."""
+    spelled = F.col(spec.raw_name(spec.key))
+    cleaned = spec.rules.get(spec.key, lambda key: key)(spelled)
+    pairs = accepted(raw, spec).select(cleaned.alias(spec.key), spelled.alias("_spelled")).distinct()
+    check_unique(pairs, [spec.key])
 
 
 def clean(
@@ -220,18 +235,10 @@ def upsert_source(
     fields = curated_schema(spec.entity)
     now = instant_literal(run_ts)
     return latest.select(
-        *[
-            (now if c in spec.stamps else F.col(c)).cast(fields[c].dataType).alias(c)
-            for c in spec.columns
-        ]
+        *[(now if c in spec.stamps else F.col(c)).cast(fields[c].dataType).alias(c) for c in spec.columns]
     )
 
 
-def merge_curated(target: DataFrame, source: DataFrame, spec: CuratedSpec, strict: bool = False) -> DataFrame:
-    """The curated table after the load, with each row's ``action``.
-
-    ``strict`` first checks that no key occurs twice in the source.
-    """
-    if strict:
-        check_unique(source, [spec.key])
+def merge_curated(target: DataFrame, source: DataFrame, spec: CuratedSpec) -> DataFrame:
+    """The curated table after the load, with each row's ``action``."""
     return merge_upsert(target.select(*spec.columns), source, [spec.key], spec.on_match)

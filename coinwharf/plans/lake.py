@@ -20,8 +20,10 @@ class Lake:
     partition_raw_by_day: bool = False
 
     def raw(self, entity: str) -> SnapshotTable:
+        """A load has one ingestion day, so its rows need no gathering."""
         day = ("ingestion_date", "ingestion_timestamp") if self.partition_raw_by_day else None
-        return SnapshotTable(self.spark, f"{self.root}/rawlayer/{entity}", raw_schema(entity), day)
+        root = f"{self.root}/rawlayer/{entity}"
+        return SnapshotTable(self.spark, root, raw_schema(entity), day, gather=False)
 
     def curated(self, entity: str) -> SnapshotTable:
         spec = SPECS[entity]

@@ -44,7 +44,8 @@ class SnapshotTable:
 
     ``partition`` is (partition column, column it is derived from); the two may be the
     same. ``cluster`` columns sort the rows inside each file, so that their min/max
-    statistics let readers skip row groups.
+    statistics let readers skip row groups. ``gather`` brings each day's rows together
+    before they are written; without it rows are written where they are, unshuffled.
     """
 
     def __init__(
@@ -54,6 +55,7 @@ class SnapshotTable:
         schema: StructType | None = None,
         partition: tuple[str, str] | None = None,
         cluster: Sequence[str] = (),
+        gather: bool = True,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -61,6 +63,7 @@ class SnapshotTable:
         self._declared = schema is not None
         self.partition = partition
         self.cluster = list(cluster)
+        self.gather = gather
 
     # -- reading ---------------------------------------------------------------
 
@@ -216,19 +219,20 @@ class SnapshotTable:
             self.schema = df.schema
         df = df.select(*self.schema.names)
         path = f"{self.root}/data/v={version}"
-        if not self.partition:
-            if self.cluster:
-                df = df.hint("rebalance").sortWithinPartitions(*self.cluster)
+        day, origin = self.partition or (None, None)
+        if day and day != origin:
+            df = df.withColumn(day, F.to_date(origin))
+        if self.gather and (day or self.cluster):
+            df = df.hint("rebalance", *([day] if day else []))
+        order = [c for c in (day, *self.cluster) if c]
+        if self.gather and order:
+            df = df.sortWithinPartitions(*order)
+        if not day:
             df.write.mode("overwrite").parquet(path)
             rows = self.spark.read.schema(self.schema).parquet(path).count()
             return [Row(location=f"v={version}", day=None, rows=rows)]
 
-        day, origin = self.partition
-        if day != origin:
-            df = df.withColumn(day, F.to_date(origin))
-        df.hint("rebalance", day).sortWithinPartitions(day, *self.cluster).write.mode("overwrite").partitionBy(
-            day
-        ).parquet(path)
+        df.write.mode("overwrite").partitionBy(day).parquet(path)
         stored = self.spark.read.schema(self._stored_schema()).parquet(path)
         counts = stored.groupBy(F.col(day).cast("string").alias("day")).count().collect()
         return [

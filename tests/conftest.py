@@ -1,9 +1,13 @@
 import datetime as dt
+import os
+import sys
 import tempfile
 
 import pytest
 
-from coinwharf.session import build_session
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from coinwharf.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")

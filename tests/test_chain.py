@@ -159,3 +159,25 @@ def test_messages_start_the_chain(spark, folder):
     arrivals = arrivals.withColumn("path", F.regexp_replace("path", "^file://", "file:///"))
     drain(start_chain(arrivals, lake, folder + "/checkpoint", None, TS, AS_OF))
     assert rows(lake, reports.TOP_CUSTOMERS) == [("C1", "Cust", 200000.0), ("C2", "Cust", 50000.0)]
+
+
+def test_job_from_its_configuration(spark, folder):
+    from coinwharf.__main__ import main
+    from coinwharf.sources.settings import job_settings
+
+    land(folder + "/landing", FIRST)
+    config = os.path.join(folder, "job.json")
+    body = {
+        "storage": {"raw_bucket": "bucket", "raw_folder": "raw/"},
+        "bigquery": {"partition_column": "ingestion_timestamp", "partition_type": "DAY"},
+        "tables": {"account": {"write_mode": "overwrite"}},
+    }
+    with open(config, "w") as out:
+        json.dump(body, out)
+    assert job_settings(spark, config).landing == "gs://bucket/raw/"
+
+    streaming = ["--stream", folder + "/checkpoint", "--as-of", "2025-07-01", "--landing", folder + "/landing"]
+    main([config, folder + "/lake", *streaming])
+    lake = Lake(spark, folder + "/lake", partition_raw_by_day=True)
+    assert rows(lake, reports.TOP_CUSTOMERS) == [("C1", "Cust", 200000.0), ("C2", "Cust", 50000.0)]
+    assert "ingestion_date=" in lake.raw("account").state().locations[0]

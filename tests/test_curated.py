@@ -3,7 +3,8 @@ import datetime as dt
 import pytest
 
 from coinwharf.plans.audit import quality_counts, rejected_rows
-from coinwharf.plans.curated import SPECS, merge_curated, upsert_source
+from coinwharf.operators.upsert import DuplicateSourceKeys
+from coinwharf.plans.curated import SPECS, accepted, check_spellings, merge_curated, upsert_source
 from coinwharf.schemas import RAW_COLUMNS, curated_schema
 from fixtures import account, branch, customer, product, raw_rows, transaction
 
@@ -102,7 +103,7 @@ def test_second_load(spark, entity, make, kept):
     first = source(spark, entity, [make("K1"), make("K2")])
     target = merge_curated(first.limit(0), first, SPECS[entity])
     assert {r.action for r in target.collect()} == {"insert"}
-    merged = merge_curated(target, source(spark, entity, [make("K2"), make("K3")], T2), SPECS[entity], strict=True)
+    merged = merge_curated(target, source(spark, entity, [make("K2"), make("K3")], T2), SPECS[entity])
     got = keyed(merged, key)
     assert {k: r.action for k, r in got.items()} == {"K1": "keep", "K2": "update", "K3": "insert"}
     for stamp in SPECS[entity].stamps:
@@ -125,10 +126,25 @@ def test_ties_are_settled_by_arrival_then_by_value(spark):
         assert got.account_name == "First"
 
 
+def test_strict_refuses_two_spellings_of_a_key(spark):
+    raw = raw_rows(spark, "account", [account("A-1"), account("A-1"), account("A2"), account(None)])
+    check_spellings(raw, SPECS["account"])
+    with pytest.raises(DuplicateSourceKeys):
+        check_spellings(raw.union(raw_rows(spark, "account", [account("A1")])), SPECS["account"])
+    check_spellings(raw_rows(spark, "customer", [customer("C-1", "A"), customer("C1", "A")]), SPECS["customer"])
+
+
+def test_required_fields_reach_the_scan(spark, folder):
+    raw_rows(spark, "products", [product("P1")]).write.parquet(folder + "/raw")
+    plan = accepted(spark.read.parquet(folder + "/raw"), SPECS["products"])._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(category)" in plan
+
+
 def test_quality_counts_and_rejects(spark):
     rows = [customer("C1", "A", dob="x"), customer(None, "A"), customer("C3", "A", email=None, name=None)]
     raw = raw_rows(spark, "customer", rows)
     got = quality_counts(raw, SPECS["customer"]).first().asDict()
     assert got == {"rows_in": 3, "rejected": 2, "unreadable_dob": 1, "unreadable_registration_date": 0}
+    assert quality_counts(raw, SPECS["customer"], null_keys=True).first().rejected == 1
     missing = sorted(tuple(r.missing) for r in rejected_rows(raw, SPECS["customer"]).collect())
     assert missing == [("customer_id",), ("customer_name", "email")]

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql.types import StructType
@@ -154,3 +155,35 @@ def test_small_source_is_broadcast_and_the_target_not_shuffled(spark, folder):
     source = staged(frame(spark, [("a", 1, 5, 5)]), "test")
     plan = apply_updates(t.read(), source, ["k"], ["x"])._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_a_hot_day_is_split_over_tasks(spark, folder):
+    """A day with a third of the rows becomes several files; the other days stay whole."""
+    from pyspark.sql import functions as F
+
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(0, 12000, 1, 8).select(
+            F.sha2(F.col("id").cast("string"), 256).alias("k"),
+            F.when(F.col("id") % 3 == 0, d(1)).otherwise(
+                F.date_add(F.lit(d(2)), (F.col("id") % 20).cast("int"))).alias("day"),
+            F.lit(1).alias("x"), F.lit(1).alias("kept"))
+        t = table(spark, folder)
+        t.append(rows)
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    counts = Counter(path.split("day=")[1].split("/")[0] for path in t.read().inputFiles())
+    assert t.row_count() == t.read().count() == 12000
+    assert counts["2025-01-01"] > 1 and len(counts) == 21
+    assert sorted(counts.values())[len(counts) // 2] == 1
+
+
+def test_rows_that_need_no_gathering_are_not_shuffled(spark, folder):
+    schema = StructType.fromDDL("k string, at timestamp")
+    t = SnapshotTable(spark, folder, schema, ("day", "at"), gather=False)
+    at = dt.datetime(2025, 1, 1, 12)
+    t.append(spark.createDataFrame([(str(i), at) for i in range(100)], schema).repartition(4))
+    assert t.row_count() == 100 and len(t.read().inputFiles()) == 4
