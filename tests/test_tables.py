@@ -161,7 +161,7 @@ def test_a_hot_day_is_split_over_tasks(spark, folder):
     """A day with a third of the rows becomes several files; the other days stay whole."""
     from pyspark.sql import functions as F
 
-    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB"}
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "128KB"}
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
