@@ -1,4 +1,7 @@
 import datetime as dt
+import random
+import re
+import string
 from decimal import Decimal
 
 import pytest
@@ -44,6 +47,15 @@ def test_stripping(spark):
     assert texts(spark, ["44 Ab ##@", None], text.blank_non_alnum) == ["44 Ab    ", None]
 
 
+def test_stripping_equals_the_regular_expressions(spark):
+    rng = random.Random(5)
+    alphabet = string.printable + "éß漢字😀🇮🇳\u0000\u200b\xa0" + "Aa0_" * 10
+    given = ["".join(rng.choices(alphabet, k=rng.randrange(25))) for _ in range(3000)]
+    assert texts(spark, given, text.strip_non_alnum) == [re.sub("[^A-Za-z0-9]", "", g) for g in given]
+    assert texts(spark, given, text.strip_non_word) == [re.sub("[^A-Za-z0-9_]", "", g) for g in given]
+    assert texts(spark, given, text.blank_non_alnum) == [re.sub("[^A-Za-z0-9]", " ", g) for g in given]
+
+
 def test_same_word(spark):
     given = ["SUCCESS", "success", "Success", "Failed", None]
     assert texts(spark, given, lambda c: text.same_word(c, "Success")) == [True, True, True, False, None]
