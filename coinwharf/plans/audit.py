@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 from coinwharf.functions.temporal import instant_literal
 from coinwharf.plans.curated import CuratedSpec
 from coinwharf.schemas import AUDIT_DDL
+from coinwharf.session import small_frame
 
 
 def action_counts(merged: DataFrame) -> DataFrame:
@@ -55,12 +56,12 @@ def write_log(
     Each run owns one folder, so a repeated run replaces its own entries.
     """
     rows = [
-        (run_id, None, step, entity, metric, int(count))
+        (step, entity, metric, int(count))
         for step, entity, counts in entries
         for metric, count in counts.items()
     ]
-    log = spark.createDataFrame(rows, AUDIT_DDL).withColumn("logged_at", instant_literal(run_ts))
-    log.drop("run_id").coalesce(1).write.mode("overwrite").parquet(f"{folder}/run_id={run_id}")
+    log = small_frame(spark, rows, "step string, entity string, metric string, rows long")
+    log.withColumn("logged_at", instant_literal(run_ts)).coalesce(1).write.mode("overwrite").parquet(f"{folder}/run_id={run_id}")
 
 
 def read_log(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from coinwharf.plans.curated import SPECS
 from coinwharf.schemas import ENTITIES, curated_schema, raw_schema
+from coinwharf.session import small_frame
 from coinwharf.sources.tables import SnapshotTable
 
 
@@ -47,6 +48,5 @@ class Lake:
 
     def default_plan(self) -> DataFrame:
         """Every table replaced by each load."""
-        return self.spark.createDataFrame(
-            [(entity, "overwrite") for entity in ENTITIES], "table string, write_mode string"
-        )
+        modes = [(entity, "overwrite") for entity in ENTITIES]
+        return small_frame(self.spark, modes, "table string, write_mode string")

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -57,3 +60,21 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = work_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_ARROW = {"string": pa.string(), "bigint": pa.int64(), "boolean": pa.bool_()}
+
+
+def small_frame(spark: SparkSession, rows: Iterable[Sequence], ddl: str) -> DataFrame:
+    """A few rows of metadata (text, long and boolean columns) as a DataFrame.
+
+    Handed over as one Arrow table, which spares the Python workers a plain list starts.
+    """
+    schema = StructType.fromDDL(ddl)
+    names = pa.schema([(f.name, _ARROW[f.dataType.simpleString()]) for f in schema])
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], names), schema)
+
+
+def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows of a schema; Catalyst plans it away."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])

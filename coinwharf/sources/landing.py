@@ -8,11 +8,13 @@ from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from coinwharf.functions.paths import route
 from coinwharf.functions.temporal import instant_literal
 from coinwharf.schemas import RAW_COLUMNS, raw_schema
+from coinwharf.session import empty_frame
 
 CONFIG_DDL = (
     "bigquery struct<write_mode_default: string>, tables map<string, struct<write_mode: string>>"
@@ -44,7 +46,7 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Data
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], LISTING_DDL)
+        return empty_frame(spark, StructType.fromDDL(LISTING_DDL))
     return found.select("path", "modificationTime", "length")
 
 

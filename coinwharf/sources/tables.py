@@ -12,12 +12,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F
 from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from coinwharf.operators.upsert import apply_updates, check_unique
-from coinwharf.session import staged
+from coinwharf.session import empty_frame, small_frame, staged
 
 LOG_DDL = "location string, day string, rows long, removed boolean, load_id string"
 
@@ -39,6 +39,18 @@ class State:
         return sum(entry["rows"] for entry in self.live)
 
 
+def _places(folders: Sequence[Row]) -> list[str]:
+    """Paths to read: a version's root where all its folders are wanted, else each folder."""
+    versions: dict[str, list[Row]] = {}
+    for folder in folders:
+        versions.setdefault(folder["location"].split("/")[0], []).append(folder)
+    places = []
+    for version, wanted in versions.items():
+        whole = len(wanted) == wanted[0]["siblings"]
+        places += [version] if whole else [folder["location"] for folder in wanted]
+    return places
+
+
 class SnapshotTable:
     """A parquet table with an optional day partition.
 
@@ -85,6 +97,7 @@ class SnapshotTable:
                 F.max("load_id").alias("load_id"),
                 F.bool_or(F.col("load_id") == F.lit(load_id)).alias("seen"),
             )
+            .withColumn("siblings", F.count("*").over(Window.partitionBy(F.substring_index("location", "/", 1))))
             .where("not removed")
             .collect()
         )
@@ -97,33 +110,32 @@ class SnapshotTable:
 
     def read(self, state: State | None = None) -> DataFrame:
         """The table's rows as of now, or as of a state read before."""
-        return self._read((state or self.state()).locations)
+        return self._read((state or self.state()).live)
 
     def rows_of(self, load_id: str) -> DataFrame:
         """The rows one load appended or put in place, as far as they are still there."""
-        return self._read([entry["location"] for entry in self.state().live if entry["load_id"] == load_id])
+        return self._read([entry for entry in self.state().live if entry["load_id"] == load_id])
 
     def row_count(self) -> int:
         """Rows in the table, from the log alone."""
         return self.state().rows
 
-    def _read(self, locations: Sequence[str], partition: bool = False) -> DataFrame:
-        schema = self._stored_schema(locations)
+    def _read(self, folders: Sequence[Row], partition: bool = False) -> DataFrame:
+        schema = self._stored_schema(folders)
         columns = self.schema.names
         if partition and self.partition and self.partition[0] not in columns:
             columns = [*columns, self.partition[0]]
-        if not locations:
-            return self.spark.createDataFrame([], schema).select(*columns)
-        paths = [f"{self.root}/data/{location}" for location in locations]
+        if not folders:
+            return empty_frame(self.spark, schema).select(*columns)
         reader = self.spark.read.option("basePath", f"{self.root}/data").schema(schema)
-        return reader.parquet(*paths).select(*columns)
+        return reader.parquet(*[f"{self.root}/data/{place}" for place in _places(folders)]).select(*columns)
 
-    def _stored_schema(self, locations: Sequence[str] = ()) -> StructType:
+    def _stored_schema(self, folders: Sequence[Row] = ()) -> StructType:
         """The table's columns and those that stand in folder names."""
         if self.schema is None:
-            if not locations:
+            if not folders:
                 raise ValueError(f"{self.root} holds no table and no schema was given")
-            self.schema = self.spark.read.parquet(f"{self.root}/data/{locations[0]}").schema
+            self.schema = self.spark.read.parquet(f"{self.root}/data/{folders[0]['location']}").schema
         fields = list(self.schema)
         if self.partition and self.partition[0] not in self.schema.names:
             fields.append(StructField(self.partition[0], DateType()))
@@ -193,7 +205,7 @@ class SnapshotTable:
         if not state.live:
             return {"keep": 0, "update": 0, "insert": self._commit(state, source, [], load_id)}
 
-        target = self._read(state.locations, partition=True)
+        target = self._read(state.live, partition=True)
         day = F.col(self.partition[0]).cast("string") if self.partition else F.lit(None).cast("string")
         hits = staged(target.select(*keys, day.alias("_day")).join(source.select(*keys), list(keys)), "hits")
         per_day = {row["_day"]: row["count"] for row in hits.groupBy("_day").count().collect()}
@@ -203,7 +215,7 @@ class SnapshotTable:
         changed = source
         if touched:
             changed = source.join(hits.select(*keys), list(keys), "left_anti").select(*source.columns)
-            affected = self._read([entry["location"] for entry in touched])
+            affected = self._read(touched)
             changed = apply_updates(affected, source, keys, on_match).unionByName(changed)
         written = self._commit(state, changed, touched, load_id)
         inserts = written - sum(entry["rows"] for entry in touched)
@@ -251,7 +263,7 @@ class SnapshotTable:
         rows = [(None, None, 0, False, load_id)]
         rows += [(e["location"], e["day"], e["rows"], False, load_id) for e in added]
         rows += [(e["location"], e["day"], e["rows"], True, None) for e in removed]
-        entries = self.spark.createDataFrame(rows, LOG_DDL)
+        entries = small_frame(self.spark, rows, LOG_DDL)
         entries.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/log/v={version}")
         return sum(entry["rows"] for entry in added)
 

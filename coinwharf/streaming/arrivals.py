@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from coinwharf.plans.chain import Run, run_files
 from coinwharf.plans.lake import Lake
+from coinwharf.session import small_frame
 from coinwharf.sources.notifications import decode_notifications
 
 MAX_FILES = 1000
@@ -64,7 +65,7 @@ def start_chain(
         # Only names leave the batch, at most max_files of them: the jobs below run in the
         # caller's session, where adaptive execution is on.
         names = batch.where("path is not null").select("path").distinct().collect()
-        files = lake.spark.createDataFrame(names, "path string")
+        files = small_frame(lake.spark, names, "path string")
         run_files(lake, files, run, config_path, only_new=True)
 
     writer = arrivals.writeStream.foreachBatch(chain).option("checkpointLocation", checkpoint)

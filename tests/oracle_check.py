@@ -46,6 +46,13 @@ def compare(spark, con, sf_dir, query, sql):
     expected = canonical(names, cursor.fetchall())
     if sorted(df.columns) != sorted(names):
         return f"columns {sorted(df.columns)} against {sorted(names)}"
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+             "boolean": "BOOLEAN"}
+    types = {d[0]: str(d[1]) for d in cursor.description}
+    other = {f.name: (f.dataType.simpleString(), types[f.name]) for f in df.schema
+             if kinds.get(f.dataType.simpleString()) != types[f.name]}
+    if other:
+        return f"types {other}"
     if got != expected:
         only = [r for r in got if r not in set(expected)][:3], [r for r in expected if r not in set(got)][:3]
         return f"{len(got)} rows against {len(expected)}; only Spark {only[0]}; only SQL {only[1]}"

@@ -187,3 +187,14 @@ def test_rows_that_need_no_gathering_are_not_shuffled(spark, folder):
     at = dt.datetime(2025, 1, 1, 12)
     t.append(spark.createDataFrame([(str(i), at) for i in range(100)], schema).repartition(4))
     assert t.row_count() == 100 and len(t.read().inputFiles()) == 4
+
+
+def test_whole_versions_are_read_by_their_root(spark, folder):
+    from coinwharf.sources.tables import _places
+
+    t = table(spark, folder)
+    t.append(frame(spark, [("a", 1, 1, 1), ("b", 2, 2, 2)]))
+    assert _places(t.state().live) == ["v=1"]
+    t.merge(frame(spark, [("b", 2, 5, 5), ("c", 3, 3, 3)]), ["k"], ["x"])
+    assert sorted(_places(t.state().live)) == ["v=1/day=2025-01-01", "v=2"]
+    assert rows_of(t) == {("a", d(1), 1, 1), ("b", d(2), 5, 2), ("c", d(3), 3, 3)}
