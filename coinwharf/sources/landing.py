@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
 from urllib.parse import unquote
@@ -16,6 +17,7 @@ from coinwharf.functions.temporal import instant_literal
 from coinwharf.schemas import RAW_COLUMNS, raw_schema
 from coinwharf.session import empty_frame
 
+# The parts of the job's configuration document that describe writes.
 CONFIG_DDL = (
     "bigquery struct<write_mode_default: string>, tables map<string, struct<write_mode: string>>"
 )
@@ -127,9 +129,12 @@ def read_raw(
     for line, files in _header_groups(spark, escaped, columns).items():
         order = tuple(f.strip().strip('"') for f in line.split(","))
         groups.setdefault(order, []).extend(files)
+    starts = Counter(_bare(p) for files in groups.values() for p in files)
+    torn = sorted(p for p, n in starts.items() if n > 1)
+    if torn:
+        raise ValueError(f"files with several different header lines: {torn[:5]}")
     # Files without a usable header go to the strict read, which reports them.
-    matched = {_bare(p) for files in groups.values() for p in files}
-    groups.setdefault(tuple(columns), []).extend(p for p in paths if _bare(p) not in matched)
+    groups.setdefault(tuple(columns), []).extend(p for p in paths if _bare(p) not in starts)
     parts = [
         reader.schema(", ".join(f"`{c}` string" for c in order)).csv([_literal_path(p) for p in files])
         for order, files in groups.items()

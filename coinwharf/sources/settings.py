@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
+# The parts of the document that describe where files land and raw tables.
 SETTINGS_DDL = (
     "storage struct<raw_bucket: string, raw_folder: string>, "
     "bigquery struct<partition_column: string, partition_type: string>"

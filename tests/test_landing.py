@@ -88,6 +88,13 @@ def test_a_foreign_header_fails_loudly(spark, folder):
         read_raw(spark, [path], "account").collect()
 
 
+def test_a_file_with_two_different_headers_is_refused(spark, folder):
+    columns = RAW_COLUMNS["account"]
+    path = write_csv(folder, "a.csv", [account("A1"), dict(zip(columns, columns[::-1])), account("A2")], columns)
+    with pytest.raises(ValueError, match="several different header lines"):
+        read_raw(spark, [path], "account")
+
+
 def test_quoted_header_and_empty_fields(spark, folder):
     path = os.path.join(folder, "a.csv")
     with open(path, "w") as out:
