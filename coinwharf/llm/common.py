@@ -29,14 +29,14 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Runs of rows whose texts together have about SLICE_CHARS characters (one text at least)."""
+def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", chars: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Runs of rows whose texts together have about ``chars`` characters (one text at least)."""
     for batch in batches:
         texts = batch.column(column).to_pylist()
         start = size = 0
         for i, text in enumerate(texts):
             size += len(text)
-            if size >= SLICE_CHARS:
+            if size >= chars:
                 yield batch.slice(start, i + 1 - start), texts[start : i + 1]
                 start, size = i + 1, 0
         if start < len(texts):

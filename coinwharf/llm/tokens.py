@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct chunks a worker remembers before it starts anew; bounds its memory.
-MAX_CHUNKS = 1_200_000
+MAX_CHUNKS = 700_000
+#: Characters encoded at a time: the more, the fewer words are looked up twice.
+ENCODE_CHARS = 12_000_000
 #: A word of its own between chunks; chunks that hold it are encoded one by one.
 MARK = "\x01"
 #: Texts that are encoded whole: empty, other white space than single blanks and line feeds
-#: between words, or a zero character.
-ODD = "^$|[ \\n][ \\n]|^[ \\n]|[ \\n]$|[\\x00\\t\\x0b-\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+#: between words, a zero character, or the one letter whose lower case ends in a mark.
+ODD = "^$|[ \\n][ \\n]|^[ \\n]|[ \\n]$|[\\x00\\t\\x0b-\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{130}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 
 
 class Encoder:
@@ -49,11 +52,16 @@ class Encoder:
         self.starts = np.zeros(1 << 14, np.int64)  # of chunk k in ids; k + 1 ends it
 
     def _chunks(self, texts: pa.Array) -> pa.ListArray:
-        """The chunks of texts that have single blanks and line feeds only."""
+        """The chunks of texts that have single blanks and line feeds only.
+
+        A single full stop or comma between a word and white space is a chunk of its own, as it
+        is never merged with the word. Where blanks are dropped, so is the case of A to Z.
+        """
         if self.keeps_blanks:
             marked = pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n\0")
-            return pc.split_pattern(marked, "\0")
-        return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+            return pc.split_pattern(pc.replace_substring_regex(marked, "([\\pL\\pN])([.,])(\\x00|$)", "\\1\0\\2\\3"), "\0")
+        plain = pc.replace_substring(pc.ascii_lower(texts), "\n", " ")
+        return pc.split_pattern(pc.replace_substring_regex(plain, "([\\pL\\pN])([.,])( |$)", "\\1 \\2\\3"), " ")
 
     def _lines(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of chunks, and each one's number of ids, from lines of many chunks at a time.
@@ -90,20 +98,20 @@ class Encoder:
         self.starts[known + 1 : known + len(chunks) + 1] = used + np.cumsum(lengths)
         self.index.update(zip(many + few, range(known, known + len(chunks))))
 
-    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
+    def encode(self, texts: pa.Array | Sequence[str]) -> list[np.ndarray]:
         """The ids of each text, as unsigned 32-bit numbers."""
-        texts = pa.array(texts, pa.string())
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         odd = np.array(pc.match_substring_regex(texts, ODD), bool)
         lists = self._chunks(texts.filter(pa.array(~odd)))
         coded = lists.values.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.index) > MAX_CHUNKS:
             self._forget()
-        known = np.array([self.index.get(w, -1) for w in distinct], np.int64)
+        known = np.fromiter(map(self.index.get, distinct, repeat(-1)), np.int64, len(distinct))
         if len(unknown := np.flatnonzero(known < 0)):
             missing = [distinct[k] for k in unknown]
             self._learn(missing)
-            known[unknown] = [self.index[w] for w in missing]
+            known[unknown] = np.fromiter(map(self.index.get, missing), np.int64, len(missing))
         at = known[np.asarray(coded.indices)]
         first, lengths = self.starts[at], self.starts[at + 1] - self.starts[at]
         ends = np.cumsum(lengths)
