@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 #: Distinct chunks a worker remembers before it starts anew; bounds its memory.
 MAX_CHUNKS = 700_000
 #: Characters encoded at a time: the more, the fewer words are looked up twice.
-ENCODE_CHARS = 12_000_000
+ENCODE_CHARS = 6_000_000
 #: A word of its own between chunks; chunks that hold it are encoded one by one.
 MARK = "\x01"
 #: Texts that are encoded whole: empty, other white space than single blanks and line feeds
@@ -113,9 +113,11 @@ class Encoder:
             self._learn(missing)
             known[unknown] = np.fromiter(map(self.index.get, missing), np.int64, len(missing))
         at = known[np.asarray(coded.indices)]
-        first, lengths = self.starts[at], self.starts[at + 1] - self.starts[at]
+        lengths = self.starts[at + 1] - self.starts[at]
         ends = np.cumsum(lengths)
-        flat = self.ids[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first - (ends - lengths), lengths)]
+        places = np.repeat((self.starts[at] - (ends - lengths)).astype(np.int32), lengths)
+        places += np.arange(len(places), dtype=np.int32)
+        flat = self.ids[places]
         plain = iter(np.split(flat, np.concatenate(([0], ends))[np.asarray(lists.offsets)][1:-1])) if len(lists) else iter(())
         return [self._whole(texts[i].as_py()) if odd[i] else next(plain) for i in range(len(texts))]
 
