@@ -86,16 +86,15 @@ def _context(gram: str | Column = "gram") -> Column:
 def _shared(grams: DataFrame) -> DataFrame:
     """``gram``, ``shared``: the probability of the last letter after the others, from how many
     different letters precede; ``grams`` lists the different grams one letter longer or more."""
-    lengths = F.char_length("gram")
-    shorter = grams.select(F.expr("substring(gram, 2)").alias("gram")).where(lengths >= 1)
-    longest = ORDER - 1
-    levels = {}
-    seen = shorter.groupBy("gram").agg(F.count("*").alias("n"))
+    size = F.char_length("gram")
+    shorten = lambda rows: rows.select(F.expr("substring(gram, 2)").alias("gram")).where(size >= 1).groupBy("gram").agg(F.count("*").alias("n"))
+    longest, levels = ORDER - 1, {}
+    seen = staged(shorten(grams), "continued")
     for length in range(longest, 0, -1):
-        own = seen.where(lengths == length)
-        levels[length] = own
-        below = own.select(F.expr("substring(gram, 2)").alias("gram")).where(lengths >= 1).groupBy("gram").agg(F.count("*").alias("n"))
-        seen = seen.where(lengths < length).unionByName(below).groupBy("gram").agg(F.sum("n").alias("n"))
+        levels[length] = seen.where(size == length)
+        if length > 1:
+            both = seen.where(size < length).unionByName(shorten(levels[length]))
+            seen = staged(both.groupBy("gram").agg(F.sum("n").alias("n")), f"continued{length}")
     total = levels[1].agg(F.sum("n").alias("all"), F.count("*").alias("kinds"))
     lower = levels[1].crossJoin(F.broadcast(total)).select("gram", ((F.col("n") + 0.5) / (F.col("all") + 0.5 * F.col("kinds"))).alias("shared"))  # one row
     found = [staged(lower, "shared1")]
@@ -217,6 +216,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     grams = staged(grams.where("gram <> ''").groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")), "grams")
     table = spark.sparkContext.broadcast(difference_table(differences(grams)))
     evidence = staged(rows.mapInArrow(_evidence(table, f"{spark.sparkContext.applicationId} {id(table)}"), "doc_id long, top double, mean double"), "evidence")
+    table.destroy()
     sample = evidence.join(learnt, evidence["doc_id"] == known["label_id"]).select("doc_id", "top", "mean", "toxic")
     fit = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "top", "mean").limit(fit_rows).toArrow()
     x = np.column_stack([np.ones(len(fit)), np.asarray(fit["top"], float), np.asarray(fit["mean"], float)])
