@@ -7,14 +7,16 @@ import shutil
 import tempfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import coinwharf
 from coinwharf.session import staged
 
-#: Whole texts handed to Python at a time, in characters, so that one batch stays small.
-SLICE_CHARS = 4_000_000
+#: Bytes of whole texts that Python works on at a time, so that a task needs little memory.
+SLICE_BYTES = 4_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,18 +31,22 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", chars: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Runs of rows whose texts together have about ``chars`` characters (one text at least)."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose texts together have about ``size`` bytes (one text at least)."""
     for batch in batches:
-        texts = batch.column(column).to_pylist()
-        start = size = 0
-        for i, text in enumerate(texts):
-            size += len(text)
-            if size >= chars:
-                yield batch.slice(start, i + 1 - start), texts[start : i + 1]
-                start, size = i + 1, 0
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        ends = np.cumsum(np.asarray(pc.binary_length(batch.column(column)).fill_null(0), np.int64))
+        start = 0
+        while start < len(ends):
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list]]:
+    """``slices`` with their texts."""
+    for batch in slices(batches, column):
+        yield batch, batch.column(column).to_pylist()
 
 
 def hot_values(df: DataFrame, column: str, share: float = 0.001) -> DataFrame:
@@ -60,7 +66,7 @@ def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> Data
     gone = staged(ids.select(ids[ids.columns[0]].alias("gone_id")).where("gone_id is not null").distinct(), "gone")
     if gone.count() <= MAX_SENT_IDS:
         gone = F.broadcast(gone)
-    return docs.join(gone, docs[id_col] == F.col("gone_id"), "left_anti")
+    return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
 
 
 def reach_workers(spark: SparkSession) -> None:

@@ -27,8 +27,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from coinwharf.llm.common import id_and_text, text_slices
-from coinwharf.llm.tokens import ENCODE_CHARS, encoder
+from coinwharf.llm.common import id_and_text, slices
+from coinwharf.llm.tokens import encoder
 from coinwharf.session import staged
 
 BLOCK, ISLANDS, EPOCHS, PARENTS, GENERATIONS = 1024, 2, 2, 4, 5
@@ -41,7 +41,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 def _cut(path: str, end_id: int, capacity: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, _ in text_slices(batches, chars=ENCODE_CHARS):
+        for batch in slices(batches):
             doc_ids = batch.column("id").to_pylist()
             doc, piece, start, length, crc, ids = [], [], [], [], [], []
             for doc_id, found in zip(doc_ids, encoder(path, True).encode(batch.column("text"))):

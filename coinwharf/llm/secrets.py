@@ -190,8 +190,7 @@ def redacted(docs: DataFrame, text_col: str = "text", length_col: str | None = "
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(at).to_pylist()
+        for batch, texts in text_slices(batches, text_col):
             new = [masked(t, spans, mask) if t and (spans := find_secrets(t, least)) else t for t in texts]
             yield batch.set_column(at, text_col, pa.array(new, pa.string()))
 

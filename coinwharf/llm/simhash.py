@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from coinwharf.llm import golay
-from coinwharf.llm.common import hot_values, id_and_text, text_slices, without_ids
+from coinwharf.llm.common import hot_values, id_and_text, slices, without_ids
 from coinwharf.llm.components import components
 from coinwharf.session import staged
 
@@ -64,10 +64,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``id`` and ``fp`` (64 bits as a signed long) of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, texts in text_slices([batch.set_column(1, "text", batch.column("text").cast(pa.binary()))]):
-                found = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column("id").cast(pa.int64()), pa.array(found)], ["id", "fp"])
+        for batch in slices(batches):
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            found = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("id").cast(pa.int64()), pa.array(found)], ["id", "fp"])
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "id long, fp long")
 

@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from coinwharf.llm.common import id_and_text, text_slices
-from coinwharf.llm.tokens import ENCODE_CHARS, encoder
+from coinwharf.llm.common import id_and_text, slices
+from coinwharf.llm.tokens import encoder
 
 STORED = "part int, row long, doc_id long, start_in_part long, n_tokens long, ids array<int>"
 OPTIONS = {
@@ -38,7 +38,7 @@ OPTIONS = {
 def _encode(path: str, end_id: int, keeps_blanks: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, row, start = TaskContext.get().partitionId(), 0, 0
-        for batch, _ in text_slices(batches, chars=ENCODE_CHARS):
+        for batch in slices(batches):
             found = encoder(path, keeps_blanks).encode(batch.column("text"))
             lengths = np.fromiter((len(ids) + 1 for ids in found), np.int64, len(found))
             ends = np.cumsum(lengths)

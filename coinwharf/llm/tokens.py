@@ -11,9 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct chunks a worker remembers before it starts anew; bounds its memory.
-MAX_CHUNKS = 700_000
-#: Characters encoded at a time: the more, the fewer words are looked up twice.
-ENCODE_CHARS = 6_000_000
+MAX_CHUNKS = 300_000
 #: A word of its own between chunks; chunks that hold it are encoded one by one.
 MARK = "\x01"
 #: Texts that are encoded whole: empty, other white space than single blanks and line feeds

@@ -1,0 +1,518 @@
+"""Each text operator against a brute-force version, and its defined edge cases."""
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+from collections import Counter
+
+import public_tokenizers
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from coinwharf.llm import decontaminate, htmltext, licenses, packing, pii, quality, secrets, simhash, token_files, toxicity
+from coinwharf.llm.common import table
+from coinwharf.llm.components import components
+from coinwharf.llm.tokens import Encoder
+
+SF_DIR = "/root/testdata/sf0.001"
+BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
+LONG = "word " * 30000
+EDGES = [(1, None), (2, ""), (3, " \n\t "), (4, "one two three"), (5, "one two three"), (5, "one two three"), (None, "one two four"), (7, LONG), (8, "token = 'ab12cd34ef' end")]
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return table(spark, SF_DIR, "documents")
+
+
+@pytest.fixture(scope="module")
+def texts(documents):
+    return {r["doc_id"]: r["text"] for r in documents.collect()}
+
+
+@pytest.fixture(scope="module")
+def edges(spark):
+    """Nulls, empty and long texts, repeated rows, and columns with the operators' own names."""
+    names = ("id", "fp", "kept", "n_words", "uid", "length", "words", "toxic", "score", "found", "rows", "gone_id", "a", "key")
+    return spark.createDataFrame(EDGES, "doc_id long, text string").select("*", *[F.lit("x").alias(n) for n in names])
+
+
+@pytest.fixture(scope="module")
+def nothing(edges):
+    return edges.where("doc_id < 0")
+
+
+# --- benchmark decontamination
+
+
+def edits_within(pattern, text):
+    row = list(range(len(pattern) + 1))
+    best = row[-1]
+    for c in text:
+        new = [0]
+        for i, p in enumerate(pattern):
+            new.append(min(row[i] + (p != c), row[i + 1] + 1, new[i] + 1))
+        row, best = new, min(best, new[-1])
+    return best
+
+
+def test_bit_parallel_distance_is_exact():
+    rng = random.Random(3)
+    for _ in range(300):
+        pattern, text = ("".join(rng.choices("abc ", k=rng.randint(1, n))) for n in (90, 120))
+        edits, end = decontaminate.best_end(decontaminate.letter_masks(pattern), len(pattern), text)
+        assert edits == edits_within(pattern, text)
+        assert edits == len(pattern) or edits_within(pattern, text[:end]) == edits
+
+
+def changed(text, edits, rng):
+    out = list(text)
+    for _ in range(edits):
+        at = rng.randrange(len(out))
+        rng.choice([lambda: out.__setitem__(at, "z"), lambda: out.insert(at, "q"), lambda: out.pop(at)])()
+    return "".join(out)
+
+
+def test_matches_are_those_of_brute_force():
+    rng = random.Random(5)
+    words = ["".join(rng.choices("aeioust", k=rng.randint(2, 6))) for _ in range(60)]
+    sentence = lambda n: " ".join(rng.choices(words, k=n))
+    items = [(i, sentence(rng.randint(6, 30))) for i in range(25)]
+    matcher = decontaminate.Matcher(items, 0.1)
+    hits = 0
+    for _ in range(60):
+        item = rng.choice(items)[1]
+        text = decontaminate.reduced(sentence(20) + " " + changed(item, rng.randint(0, int(len(item) * 0.14)), rng) + " " + sentence(20))
+        found = matcher.matches(text)
+        for number, (_, pattern) in enumerate(items):
+            edits = edits_within(pattern, text)
+            assert (number in found) == (edits <= int(len(pattern) * 0.1))
+            if number in found:
+                hits += 1
+                least, start, end = found[number]
+                assert least == edits == edits_within(pattern, text[start:end])
+    assert hits > 30
+
+
+def test_matches_on_tables(spark, documents, texts):
+    items = table(spark, SF_DIR, "benchmark")
+    found = decontaminate.benchmark_matches(documents, items).collect()
+    exact = {(d, i["item_id"]) for i in items.collect() for d, t in texts.items() if decontaminate.reduced(i["text"]) in decontaminate.reduced(t)}
+    assert exact <= {(r["doc_id"], r["item_id"]) for r in found}
+    by_id = {i["item_id"]: i["text"] for i in items.collect()}
+    for r in found:
+        assert edits_within(decontaminate.reduced(by_id[r["item_id"]]), decontaminate.reduced(texts[r["doc_id"]][r["start"] : r["end"]])) == r["edits"]
+    left = {r["doc_id"] for r in decontaminate.without_benchmark(documents, items).collect()}
+    assert left == set(texts) - {r["doc_id"] for r in found}
+
+
+def test_matches_edges(spark, edges, nothing):
+    items = spark.createDataFrame([(1, "word word word word word word"), (2, None), (3, "a"), (4, "word word word word word word")], "item_id long, text string")
+    got = decontaminate.benchmark_matches(edges, items).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["edits"]) for r in got) == [(7, 1, 0), (7, 4, 0)]
+    assert decontaminate.benchmark_matches(nothing, items).count() == 0
+    assert decontaminate.benchmark_matches(edges, items.limit(0)).count() == 0
+    left = decontaminate.without_benchmark(edges, items)
+    assert left.columns == edges.columns and left.count() == len(EDGES) - 1
+
+
+# --- secrets
+
+
+def base_spans(text):
+    spans = []
+    for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.ASCII | re.IGNORECASE):
+        if len(m[2]) >= 6:
+            spans.append(("assign", *m.span()))
+    spans += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    spans += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    order = ["assign", "access", "hex"]
+    return sorted(spans, key=lambda s: (s[1], order.index(s[0])))
+
+
+def test_secrets_base_spans(documents, texts):
+    for r in secrets.secret_spans(documents).collect():
+        spans = base_spans(texts[r["doc_id"]])
+        assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(s[0] == k for s in spans) for k in ("assign", "access", "hex"))
+        assert r["base_sha256"] == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
+        assert {f"{k}:{a}:{b}" for k, a, b in spans} <= set(r["spans"].split(",")) | {""}
+
+
+def cheapest(value):
+    """Guess cost over every segmentation, for short values."""
+    costs = {}
+    for start, end, cost in secrets._segments(value):
+        costs[start, end] = min(cost, costs.get((start, end), 1e9))
+    best = 1e9
+    for cuts in itertools.product((0, 1), repeat=len(value) - 1):
+        edges = [0, *[i + 1 for i, c in enumerate(cuts) if c], len(value)]
+        best = min(best, sum(secrets.SEGMENT_COST + min(costs.get((a, b), 1e9), (b - a) * secrets.CHAR_COST) for a, b in zip(edges, edges[1:])))
+    return best
+
+
+@pytest.mark.parametrize("value", ["a", "password1", "qwerty12", "aaaaaaaa", "x9f3k2qz", "p@ssword", "ababab", "19870314", "dragon99"])
+def test_guesses_are_the_cheapest_segmentation(value):
+    assert secrets.guesses(value) == pytest.approx(cheapest(value))
+
+
+def test_guessed_secrets_and_masks(spark, edges, nothing):
+    text = 'the client_secret => "k9$Xv2!qLm#8Zt" and Bearer eyJhbGci0iJIUzI1NiJ9xyz, but the secret is something and token is password1'
+    kinds = [s[0] for s in secrets.find_secrets(text)]
+    assert kinds == ["guess", "guess"]
+    assert "k9$" not in secrets.masked(text, secrets.find_secrets(text), "[SECRET]")
+    got = secrets.secret_spans(edges).collect()
+    assert len(got) == len(EDGES) and sum(r["n_assign"] for r in got) == 1
+    out = secrets.redacted(edges.withColumn("n_chars", F.lit(0).cast("long")))
+    rows = {r["doc_id"]: r for r in out.collect()}
+    assert rows[8]["text"] == "[SECRET]' end" and rows[8]["n_chars"] == 13 and rows[1]["text"] is None
+    assert secrets.secret_spans(nothing).count() == 0
+
+
+# --- quality rules
+
+
+def plain_measures(text):
+    words = [w for w in re.split("[ \t-\r]+", text or "") if w]
+    grams = Counter(zip(words, words[1:], words[2:]))
+    covered = {i + k for i, g in enumerate(zip(words, words[1:], words[2:])) if grams[g] > 1 for k in range(3)}
+    lines = [x for x in (text or "").split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(covered))
+
+
+def test_quality_measures_and_verdicts(documents, texts):
+    for r in quality.quality(documents).collect():
+        expected = plain_measures(texts[r["doc_id"]])
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == expected
+        assert r["base_failed"] == (expected[0] < 50 or 100 * expected[4] > 50 * expected[0])
+        assert r["kept"] == (not r["base_failed"] and r["posterior"] >= 0.5)
+
+
+def test_em_recovers_planted_accuracies(spark):
+    rng = random.Random(1)
+    accuracy = {"x": 0.9, "y": 0.8, "z": 0.7}
+    rows = Counter()
+    for _ in range(20000):
+        truth = 1 if rng.random() < 0.7 else -1
+        rows[tuple(truth if rng.random() < a else -truth for a in accuracy.values())] += 1
+    patterns = spark.createDataFrame([(*k, n) for k, n in rows.items()], "vote_x int, vote_y int, vote_z int, n long")
+    model = quality.VoteModel(list(accuracy)).fit(patterns, 200)
+    assert model.good == pytest.approx(0.7, abs=0.05)
+    for name, a in accuracy.items():
+        assert model.like[name][1][0] == pytest.approx(a, abs=0.06)
+
+
+def test_quality_edges(edges, nothing):
+    got = quality.quality(edges).collect()
+    assert len(got) == len(EDGES) and not any(r["kept"] for r in got if r["doc_id"] != 7)
+    long = next(r for r in got if r["doc_id"] == 7)
+    assert long["n_words"] == long["n_repeat_words"] == 30000 and long["base_failed"]
+    assert quality.quality(nothing).count() == 0 and quality.kept_documents(edges).columns == edges.columns
+
+
+# --- packing
+
+
+def test_packing(spark, documents, texts):
+    plain = Tokenizer.from_file(BYTE)
+    packed = packing.pack(packing.cut_texts(documents, BYTE, 0, 512, keep_ids=True), 512)
+    rows = packed.collect()
+    places = {}
+    for r in rows:
+        ids = plain.encode(texts[r["doc_id"]], add_special_tokens=False).ids + [0]
+        own = ids[r["start"] : r["start"] + r["length"]]
+        assert r["ids_crc32"] == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in own)) and r["ids"] == own
+        assert r["length"] == 512 or r["piece"] == 0
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    total = 0
+    for parts in places.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 512
+        total += at
+    assert sum(r["length"] for r in rows) == sum(len(plain.encode(t, add_special_tokens=False).ids) + 1 for t in texts.values())
+    assert len(places) <= 1.01 * -(-total // 512) + 1
+    assert {len(r["ids"]) for r in packing.sequences(packed).collect()} == {sum(n for _, n in p) for p in places.values()}
+
+
+def test_breeding_never_loses_pieces_and_beats_no_bound():
+    rng = random.Random(2)
+    for _ in range(20):
+        sizes = [rng.choice([rng.randint(1, 60), rng.randint(1, 20)]) for _ in range(60)]
+        best = packing.evolve(sizes, 64, [], rng)
+        assert sorted(i for b in best for i in b) == list(range(60))
+        assert all(sum(sizes[i] for i in b) <= 64 for b in best)
+        assert len(best) <= len(packing._packed(sizes, 64, sorted(range(60), key=lambda i: -sizes[i])))
+    # pairs that fill a bin each, which falling best fit alone need not find
+    assert len(packing.evolve([30, 34, 20, 44, 12, 52, 10, 54], 64, [], rng)) == 4
+
+
+def test_packing_edges(edges, nothing):
+    got = packing.pack(packing.cut_texts(edges, BYTE, 0, 2048), 2048).collect()
+    assert sum(r["piece"] == 0 for r in got) == len(EDGES)
+    assert sum(r["length"] == 2048 for r in got) >= 14
+    assert packing.pack(packing.cut_texts(nothing, BYTE, 0, 2048), 2048).count() == 0
+
+
+# --- tokens and their files
+
+
+@pytest.mark.parametrize(("path", "keeps"), [(BYTE, True), (WORD, False)])
+def test_encoder_equals_the_library(path, keeps, texts):
+    rng = random.Random(4)
+    alphabet = ["a", "É", "1", ".", ",", "'s", " ", "\n", "B", "...", "́", "İ", "\x01", "\0", "\t", "\x1c", "\x85", "　", "<|endoftext|>", "Σ", "가"]
+    odd = ["".join(rng.choices(alphabet, k=rng.randint(0, 12))) for _ in range(8000)]
+    own, plain = Encoder(path, keeps), Tokenizer.from_file(path)
+    for some in ([*texts.values()], odd):
+        assert [ids.tolist() for ids in own.encode(some)] == [e.ids for e in plain.encode_batch(some, add_special_tokens=False)]
+
+
+def test_token_files(spark, documents, texts, folder):
+    token_files.write_tokens(documents, f"{folder}/t", WORD, 1, parts=4)
+    stored = token_files.read_tokens(spark, f"{folder}/t")
+    plain, at = Tokenizer.from_file(WORD), 0
+    got = {r["doc_id"]: r for r in token_files.token_digests(stored).collect()}
+    for doc_id in sorted(texts):
+        ids = plain.encode(texts[doc_id], add_special_tokens=False).ids + [1]
+        r = got[doc_id]
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids)))
+        at += len(ids)
+    assert len(got) == len(texts)
+
+
+def test_token_files_edges(spark, edges, nothing, folder):
+    token_files.write_tokens(edges, f"{folder}/t", WORD, 1)
+    rows = token_files.token_digests(token_files.read_tokens(spark, f"{folder}/t")).orderBy("start").collect()
+    assert [r["start"] for r in rows] == [0, *itertools.accumulate([r["n_tokens"] for r in rows])][:-1]
+    assert [r["doc_id"] for r in rows] == [None, 1, 2, 3, 4, 5, 5, 7, 8] and rows[1]["n_tokens"] == 1
+    token_files.write_tokens(nothing, f"{folder}/e", WORD, 1)
+    assert token_files.read_tokens(spark, f"{folder}/e").count() == 0
+
+
+# --- SimHash
+
+
+def plain_print(text):
+    words = [w for w in re.split("[ \t-\r]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+    grams = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_groups(prints):
+    group = {}
+    left = set(prints)
+    while left:
+        seed = left.pop()
+        reached, todo = {seed}, [seed]
+        while todo:
+            at = todo.pop()
+            near = {p for p in left if (p ^ at).bit_count() <= 3}
+            left -= near
+            reached |= near
+            todo += near
+        group |= dict.fromkeys(reached, min(reached, key=lambda p: prints[p]))
+    return {p: prints[g] for p, g in group.items()}
+
+
+def check_groups(rows, texts):
+    prints = {i: plain_print(t) for i, t in texts.items()}
+    first = {}
+    for i, p in prints.items():
+        first[p] = min(i, first.get(p, i))
+    groups = plain_groups(first)
+    assert {(r["id"], r["fp"] % (1 << 64), r["group"]) for r in rows} == {(i, p, groups[p]) for i, p in prints.items()}
+
+
+def test_simhash_groups(documents, texts):
+    check_groups(simhash.near_groups(documents).collect(), texts)
+
+
+def test_simhash_crowded_keys(spark):
+    """Many fingerprints under the same keys: chains and clusters go through the block path."""
+    rng = random.Random(7)
+    prints = set()
+    for _ in range(3):
+        base = rng.getrandbits(64)
+        for _ in range(500):
+            prints.add(base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))))
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    links = simhash.near_links(spark.createDataFrame([(p,) for p in signed], "fp long"))
+    root = {r["node"] % (1 << 64): r["root"] for r in components(links).collect()}
+    expected = plain_groups({p: p for p in prints})
+    for one, two in itertools.combinations(prints, 2):
+        same = one in root and root[one] == root.get(two)
+        assert same == (expected[one] == expected[two])
+
+
+def test_simhash_edges(edges, nothing):
+    rows = simhash.near_groups(edges).collect()
+    assert sorted((r["id"], r["group"]) for r in rows if r["id"] in (1, 2, 3)) == [(1, 1), (2, 1), (3, 1)]
+    assert [r["group"] for r in rows if r["id"] == 5] == [4, 4]
+    assert simhash.near_groups(nothing).count() == 0
+    kept = simhash.one_of_each_group(edges)
+    assert kept.columns == edges.columns
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 4, 7, 8]
+
+
+def test_one_row_stays_of_repeated_ids(spark):
+    docs = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (2, "a b c d"), (3, "x y z w")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in simhash.one_of_each_group(docs).collect()) == [(1, "a b c d"), (3, "x y z w")]
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(i, i + 1) for i in range(300)] + [(1000, 2000 + i) for i in range(300)] + [(5, 5)]
+    root = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert len({root[i] for i in range(301)}) == 1 and len({root[2000 + i] for i in range(300)} | {root[1000]}) == 1
+    assert root[0] != root[1000]
+    assert components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
+
+
+# --- licences
+
+
+def test_licenses(documents, texts):
+    known = licenses.Templates(licenses.TEMPLATES, licenses.LEAST_DICE)
+    got = {(r["doc_id"], r["start"], r["end"]): r for r in licenses.license_notices(documents).collect()}
+    for i, t in texts.items():
+        at = 0
+        for line in t.split("\n"):
+            pairs = licenses.bigrams(licenses.words_of(line))
+            best = max((licenses.dice(pairs, b, sum(pairs.values()) + n) for _, b, n in known.all), default=0)
+            if best >= licenses.LEAST_DICE:
+                assert any(d == i and a <= at and at + len(line) <= b for d, a, b in got)
+            at += len(line) + 1
+    assert {r["license"] for r in got.values()} >= {"MIT", "Apache-2.0"}
+
+
+def test_licenses_over_lines_and_edges(spark, edges, nothing):
+    mit = next(t for name, t in licenses.TEMPLATES if t.startswith("Permission is hereby granted, free"))
+    words = mit.split()
+    wrapped = "Some prose here.\n" + "\n".join(" ".join(words[i : i + 12]) for i in range(0, len(words), 12)) + "\nMore prose."
+    found = licenses.Templates(licenses.TEMPLATES, 0.8).notices(wrapped)
+    assert [(n, d) for n, d, _, _ in found] == [("MIT", 1.0)] and wrapped[found[0][2] : found[0][3]].split() == words
+    assert licenses.license_notices(edges).count() == 0 and licenses.license_notices(nothing).count() == 0
+
+
+# --- personal data
+
+
+def luhn(digits):
+    return sum(d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(map(int, reversed(digits)))) % 10 == 0
+
+
+def test_feistel_is_a_permutation(spark):
+    for a, b in ((189, 773), (10, 100), (1, 7)):
+        big = lambda n: F.lit(n).cast("bigint")
+        got = [r[0] for r in spark.range(a * b).select(pii.permuted(F.col("id"), big(a), big(b), "key", "kind")).collect()]
+        assert sorted(got) == list(range(a * b))
+
+
+def test_pseudonyms_keep_format_and_link(spark, edges, nothing):
+    text = "+1 (988) 555-2485 4041894974608795 4041-8949-7460-8795 4041894974608796 70.123.182.155 1987-02-28 28.02.1987 1987-02-30 123-45-6789 000-12-3456 a.b@x.org 4.0."
+    rows = pii.pseudonymised(spark.createDataFrame([(1, text), (2, f"so {text} it was")], "doc_id long, text string"), "k").orderBy("doc_id").collect()
+    assert rows[1]["text"] == f"so {rows[0]['text']} it was"
+    new, old = rows[0]["text"].split(" "), text.split(" ")
+    assert re.sub("[0-9]", "9", " ".join(new[:-2])) == re.sub("[0-9]", "9", " ".join(old[:-2])) and new[-2].endswith("@x.org")
+    assert luhn(new[3]) and new[3] != old[3] and new[4].replace("-", "") == new[3]
+    for same in (5, 9, 11):  # what fails its check stays
+        assert new[same] == old[same]
+    other = pii.pseudonymised(spark.createDataFrame([(1, text)], "doc_id long, text string"), "another").first()["text"]
+    assert other != rows[0]["text"]
+    got = {r["doc_id"]: r["text"] for r in pii.pseudonymised(edges, "k").collect()}
+    assert got[1] == "" and got[7] == LONG and pii.pseudonymised(nothing, "k").count() == 0
+
+
+def test_no_personal_data_is_left(documents, texts):
+    for r in pii.pseudonymised(documents, "k").collect():
+        old = texts[r["doc_id"]]
+        for name in ("email", "ip", "phone"):
+            for value in re.findall(f"(?:{pii.PATTERNS[name]})", old):
+                assert value not in r["text"]
+        if not re.search(pii.ANY, old):
+            assert r["text"] == old
+
+
+# --- toxicity
+
+
+def test_toxic_expressions_are_found(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choices(["an", "ti", "on", "er", "st"], k=3)) for _ in range(300)]
+    rows = []
+    for i in range(600):
+        toxic = i % 5 == 0
+        text = [*rng.choices(words, k=40), *(["qux" + "".join(rng.choices(["an", "ti"], k=2))] if toxic else [])]
+        rng.shuffle(text)
+        rows.append((i, " ".join(text), int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = toxicity.toxicity(docs.drop("toxic"), docs.select("doc_id", "toxic")).join(docs.select("doc_id", F.col("toxic").alias("label")), "doc_id").collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in got)
+    held = [r for r in got if r["held_out"]]
+    assert sum(r["predicted"] == r["label"] for r in held) >= 0.97 * len(held)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in got)
+
+
+def test_shared_backoff_sums_to_one(spark):
+    words = ["^anti$", "^onan$", "^tion$"]
+    grams = spark.createDataFrame([(g,) for g in {g for w in words for g in toxicity.grams_of(w)}], "gram string")
+    shared = {r["gram"]: r["shared"] for r in toxicity._shared(grams).collect()}
+    assert sum(p for g, p in shared.items() if len(g) == 1) == pytest.approx(1)
+    assert all(0 < p <= 1 for p in shared.values())
+
+
+def test_toxicity_edges(spark, edges, nothing):
+    labels = spark.createDataFrame([(4, 1), (7, 0), (7, 0), (None, 1), (8, None)], "doc_id long, toxic int")
+    got = toxicity.toxicity(edges, labels).collect()
+    assert len(got) == len(EDGES) and all(r["score"] is not None for r in got)
+    assert len({r["score"] for r in got if r["doc_id"] in (1, 2, 3)}) == 1
+    assert toxicity.toxicity(nothing, labels).count() == 0
+    assert {r["score"] for r in toxicity.toxicity(edges, labels.limit(0)).collect()} == {0.5}
+
+
+# --- pages
+
+
+def test_pages_of_the_table(spark):
+    rows = {r["page_id"]: r["html"] for r in table(spark, SF_DIR, "pages").collect()}
+    for r in htmltext.page_texts(table(spark, SF_DIR, "pages")).collect():
+        import html
+
+        body = rows[r["page_id"]].split("<article>")[1].split("</article>")[0]
+        parts = [" ".join(html.unescape(re.sub("<[^>]*>", " ", p)).split()) for p in re.split("</?(?:p|h1)>", body)]
+        assert r["text"] == "\n\n".join(p for p in parts if p) and r["n_chars"] == len(r["text"])
+
+
+PAGE = (
+    "<body><header><a href=/>Home</a></header><div class='menu'><ul><li><a>One</a><li><a>Two</a><li><a>Three</a></ul></div>"
+    "<div class='story'><h2>A title</h2><p>First paragraph, with some words, and more of them.<p>Second &amp; longer paragraph;\n it goes on, and on.</p><ul><li>short</li></ul></div>"
+    "<div id='comments'><p>A reader's remark, which is long, and has commas, too.</p></div><form>Mail <input></form><aside>Side</aside><footer>Imprint, address.</footer></body>"
+)
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (PAGE, "A title\n\nFirst paragraph, with some words, and more of them.\n\nSecond & longer paragraph; it goes on, and on.\n\nshort"),
+        ("", ""),
+        ("<script>var a = '<p>';</script>", ""),
+        ("plain &lt;text&gt;", "plain <text>"),
+        ("<p>a <b>b</p>c<br>d</div> e", "a b\n\nc d e"),
+        ("<p>one<!-- <p>two", "one"),
+        ("a < b", "a < b"),
+    ],
+)
+def test_page_cases(page, text):
+    assert htmltext.main_text(page) == text
+
+
+def test_page_edges(spark):
+    pages = spark.createDataFrame([(1, None, None, "x"), (1, "u", "<p>a</p>" * 20000, "x"), (None, "u", "", "x")], "page_id long, url string, html string, text string")
+    got = htmltext.page_texts(pages).collect()
+    assert sorted(r["n_chars"] for r in got) == [0, 0, 20000 + 2 * 19999]
+    assert htmltext.page_texts(pages.where("page_id < 0")).count() == 0
