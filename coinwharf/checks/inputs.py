@@ -53,9 +53,9 @@ INPUTS = {
         "from {customer}"
     ),
     "days": (
-        "select o_orderkey as id, cast(o_orderdate as date) as day, case o_orderstatus when 'P' then 'soon' "
+        "select o_orderkey as id, cast(o_orderdate as date) as day, case when o_orderstatus = 'P' then case o_orderkey % 4 when 0 then '2024' when 1 then '2024-01-05 zz' else 'soon' end "
         "else cast(cast(o_orderdate as date) as string) end as text, "
-        "case o_orderstatus when 'F' then 'True' when 'O' then 'false' else 'perhaps' end as flag, "
+        "case o_orderstatus when 'F' then 'True' when 'O' then 'false' else case o_orderkey % 2 when 0 then 'y' else 'perhaps' end end as flag, "
         "o_orderstatus = 'F' as done from {orders}"
     ),
     # Arrival messages and file paths.

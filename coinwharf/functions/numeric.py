@@ -33,13 +33,15 @@ def percent_of(part: Column, whole: Column) -> Column:
 
 
 def to_number(col: Column) -> Column:
-    """Text to double; unreadable text gives NULL."""
-    return col.try_cast("double")
+    """Text to double; text that is no finite decimal number (``NaN``, ``12d``) gives NULL."""
+    value = col.try_cast("double")
+    typed = F.lower(F.right(F.trim(col.cast("string")), F.lit(1))).isin("d", "f")
+    return F.when((F.abs(value) < float("inf")) & ~typed, value)
 
 
 def to_flag(col: Column) -> Column:
-    """Text to boolean; unreadable text gives NULL."""
-    return col.try_cast("boolean")
+    """``true`` or ``false`` in any case to boolean; any other text gives NULL."""
+    return F.when(F.lower(F.trim(col.cast("string"))).isin("true", "false"), col.try_cast("boolean"))
 
 
 def flag_text(col: Column) -> Column:

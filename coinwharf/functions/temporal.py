@@ -6,6 +6,8 @@ import datetime as dt
 
 from pyspark.sql import Column, functions as F
 
+WHOLE_DAY = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}(?:[ T][0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]+)?)?(?:Z|[+-][0-9]{2}:?[0-9]{2})?)?\s*\z"
+
 
 def day_literal(as_of: dt.date | str | None) -> Column:
     """The reference day as a literal; ``None`` means today in the session's time zone."""
@@ -28,8 +30,11 @@ def instant_literal(run_ts: dt.datetime | str | None) -> Column:
 
 
 def to_day(col: Column) -> Column:
-    """The day of a date, timestamp or text value; unreadable text gives NULL."""
-    return col.try_cast("date")
+    """The day of a date, timestamp or text value.
+
+    Text must be a whole ``yyyy-MM-dd``, alone or before a whole time; all else gives NULL.
+    """
+    return F.when(F.regexp_like(col.cast("string"), F.lit(WHOLE_DAY)), col.try_cast("date"))
 
 
 def to_instant(col: Column) -> Column:

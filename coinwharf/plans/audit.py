@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from coinwharf.functions.temporal import instant_literal
-from coinwharf.plans.curated import CuratedSpec
+from coinwharf.plans.curated import CuratedSpec, blank_key
 from coinwharf.schemas import AUDIT_DDL
 from coinwharf.session import small_frame
 
@@ -27,7 +27,7 @@ def quality_counts(raw: DataFrame, spec: CuratedSpec, null_keys: bool = False) -
     A plain aggregate instead of an observed metric: metrics are counted again when a task
     is retried, and the log has to be exact.
     """
-    incomplete = reduce(or_, [F.col(c).isNull() for c in spec.needed(null_keys)])
+    incomplete = reduce(or_, [F.col(c).isNull() for c in spec.needed(null_keys)], blank_key(spec))
     unreadable = []
     for name in spec.typed:
         value = F.col(spec.raw_name(name))
@@ -40,8 +40,9 @@ def quality_counts(raw: DataFrame, spec: CuratedSpec, null_keys: bool = False) -
 def rejected_rows(raw: DataFrame, spec: CuratedSpec, null_keys: bool = False) -> DataFrame:
     """Raw rows that curation leaves out, with the columns they lack."""
     needed = spec.needed(null_keys)
-    missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in needed]))
-    return raw.where(reduce(or_, [F.col(c).isNull() for c in needed])).withColumn("missing", missing)
+    blank = F.when(blank_key(spec), F.lit(spec.raw_name(spec.key)))
+    missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in needed], blank))
+    return raw.where(reduce(or_, [F.col(c).isNull() for c in needed], blank_key(spec))).withColumn("missing", missing)
 
 
 def write_log(

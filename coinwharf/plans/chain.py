@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 
 from coinwharf.plans import reports
 from coinwharf.plans.audit import quality_counts, rejected_rows, write_log
-from coinwharf.plans.curated import SPECS, check_spellings, upsert_source
+from coinwharf.plans.curated import SPECS, check_spellings, touched_rows, upsert_source
 from coinwharf.plans.lake import Lake
 from coinwharf.plans.raw_load import files_per_table, load_table, skipped
 from coinwharf.schemas import ENTITIES
@@ -59,14 +59,19 @@ def _together(work: Callable, items: Iterable) -> list:
         return list(pool.map(work, items))
 
 
-def load_raw(lake: Lake, files: DataFrame, run: Run, config_path: str | None = None) -> tuple[dict, list[Entry]]:
-    """Load the listed files; returns each loaded table's rows and the audit entries."""
+def load_raw(
+    lake: Lake, files: DataFrame, run: Run, config_path: str | None = None, append: bool = False
+) -> tuple[dict, list[Entry]]:
+    """Load the listed files; returns each loaded table's rows and the audit entries.
+
+    ``append`` keeps what is there, whatever the configured mode.
+    """
     tables = files_per_table(lake, files, config_path)
     entries: list[Entry] = [("raw", "unknown", {"files_skipped": skipped(files).count()})]
 
     def load(entry):
         rows = load_table(
-            lake, entry["table"], entry["paths"], entry["write_mode"], run.run_id, run.run_ts, run.headers
+            lake, entry["table"], entry["paths"], "append" if append else entry["write_mode"], run.run_id, run.run_ts, run.headers
         )
         return entry["table"], rows, len(entry["paths"])
 
@@ -77,8 +82,12 @@ def load_raw(lake: Lake, files: DataFrame, run: Run, config_path: str | None = N
     return loaded, entries
 
 
-def load_curated(lake: Lake, entity: str, raw: DataFrame, run: Run) -> Entry:
-    """Upsert one curated table from raw rows; returns its audit entry."""
+def load_curated(lake: Lake, entity: str, raw: DataFrame, run: Run, history: DataFrame | None = None) -> Entry:
+    """Upsert one curated table from raw rows; returns its audit entry.
+
+    With the raw table's ``history``, the latest row of each key of ``raw`` is chosen over all
+    rows that ever came in, so the result does not depend on how arrivals were cut.
+    """
     spec = SPECS[entity]
     if run.strict:
         check_spellings(raw, spec)
@@ -86,7 +95,8 @@ def load_curated(lake: Lake, entity: str, raw: DataFrame, run: Run) -> Entry:
     if quality["rejected"]:
         rejected = rejected_rows(raw, spec, run.null_keys)
         rejected.write.mode("overwrite").parquet(f"{lake.rejects(entity)}/run_id={run.run_id}")
-    source = upsert_source(raw, spec, run.as_of, run.run_ts, run.normalize_phone, run.null_keys)
+    rows = raw if history is None else touched_rows(history, raw, spec)
+    source = upsert_source(rows, spec, run.as_of, run.run_ts, run.normalize_phone, run.null_keys)
     actions = lake.curated(entity).merge(source, [spec.key], spec.on_match, load_id=run.run_id)
     return "curated", entity, {**quality, **actions}
 
@@ -121,21 +131,23 @@ def run_files(
     run: Run,
     config_path: str | None = None,
     only_new: bool = False,
+    noted: Iterable[Entry] = (),
 ) -> list[Entry]:
     """Load the listed files and bring curated tables and reports up to date.
 
-    A batch run curates the whole raw tables. ``only_new`` curates just the rows these
-    files brought, which is what a stream of arrivals needs.
+    A batch run curates the whole raw tables. ``only_new`` is what a stream of arrivals needs:
+    it adds to the raw tables and curates just the keys that these files brought.
     """
-    loaded, entries = load_raw(lake, files, run, config_path)
+    loaded, entries = load_raw(lake, files, run, config_path, append=only_new)
     if only_new:
         sources = loaded
     else:
         states = {entity: lake.raw(entity).state() for entity in ENTITIES}
         sources = {entity: lake.raw(entity).read(state) for entity, state in states.items() if state.rows}
     _together(lambda entity: lake.curated(entity).ensure(), ENTITIES)
-    entries += _together(lambda entity: load_curated(lake, entity, sources[entity], run), sources)
-    entries += refresh_reports(lake, run)
+    history = {entity: lake.raw(entity).read() for entity in sources} if only_new else {}
+    entries += _together(lambda entity: load_curated(lake, entity, sources[entity], run, history.get(entity)), sources)
+    entries += [*refresh_reports(lake, run), *noted]
     write_log(lake.spark, lake.audit, run.run_id, entries, run.run_ts)
     return entries
 

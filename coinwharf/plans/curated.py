@@ -179,16 +179,31 @@ def complete_rows(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return df.where(reduce(and_, [F.col(c).isNotNull() for c in required]))
 
 
+def cleaned_key(spec: CuratedSpec) -> Column:
+    return spec.rules.get(spec.key, lambda key: key)(F.col(spec.raw_name(spec.key)))
+
+
+def blank_key(spec: CuratedSpec) -> Column:
+    """Whether nothing is left of a row's key by cleaning, as of ``###``; never NULL."""
+    return F.coalesce(cleaned_key(spec) == "", F.lit(False))
+
+
 def accepted(raw: DataFrame, spec: CuratedSpec, null_keys: bool = False) -> DataFrame:
     """Raw rows fit for curation."""
-    return complete_rows(raw, spec.needed(null_keys))
+    return complete_rows(raw, spec.needed(null_keys)).where(~blank_key(spec))
+
+
+def touched_rows(raw: DataFrame, new: DataFrame, spec: CuratedSpec) -> DataFrame:
+    """All raw rows of the keys that new rows have, and the new rows without a key."""
+    keys = new.select(cleaned_key(spec).alias("_touched")).where("_touched is not null").distinct()
+    of_keys = raw.join(keys, cleaned_key(spec) == keys["_touched"], "left_semi")
+    return of_keys.unionByName(new.where(F.col(spec.raw_name(spec.key)).isNull()))
 
 
 def check_spellings(raw: DataFrame, spec: CuratedSpec) -> None:
     """Raise when two raw keys become one by cleaning, as ``A-1`` and ``A1`` do."""
     spelled = F.col(spec.raw_name(spec.key))
-    cleaned = spec.rules.get(spec.key, lambda key: key)(spelled)
-    pairs = accepted(raw, spec).select(cleaned.alias(spec.key), spelled.alias("_spelled")).distinct()
+    pairs = accepted(raw, spec).select(cleaned_key(spec).alias(spec.key), spelled.alias("_spelled")).distinct()
     check_unique(pairs, [spec.key])
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from concurrent.futures import Future
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from coinwharf.plans.chain import Run, run_files
@@ -64,9 +64,15 @@ def start_chain(
         run = Run.of(run_id=run_id, run_ts=run_ts, as_of=as_of, **options)
         # Only names leave the batch, at most max_files of them: the jobs below run in the
         # caller's session, where adaptive execution is on.
-        names = batch.where("path is not null").select("path").distinct().collect()
+        csv = F.col("path").endswith(".csv")
+        names = batch.where(csv).select("path").distinct().collect()
         files = small_frame(lake.spark, names, "path string")
-        run_files(lake, files, run, config_path, only_new=True)
+        refused = batch.where(~csv | F.col("path").isNull())
+        counts = refused.agg(F.count_if(F.col("path").isNull()).alias("undecodable"), F.count("path").alias("not_csv")).first().asDict()
+        noted = [("arrivals", "messages", counts)] if any(counts.values()) else []
+        if noted:
+            refused.write.mode("overwrite").parquet(f"{lake.rejects('arrivals')}/run_id={run_id}")
+        run_files(lake, files, run, config_path, only_new=True, noted=noted)
 
     writer = arrivals.writeStream.foreachBatch(chain).option("checkpointLocation", checkpoint)
     if available_now:

@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 import json
 import os
@@ -131,6 +132,25 @@ def test_stream_equals_batch(spark, folder):
     assert streamed.raw("transaction").row_count() == 6
 
 
+@pytest.mark.parametrize("max_files", [1, 1000])
+def test_order_and_cuts_of_arrivals_do_not_matter(spark, folder, max_files):
+    """The newer record arrives first, and no configuration asks to append."""
+    header = "account_id,account_name,email,phone_number,address,created_date\n"
+    os.makedirs(folder + "/landing")
+    for number, (name, day) in enumerate([("Newer", "2024-05-01"), ("Older", "2020-01-01")]):
+        path = f"{folder}/landing/accounts_{number}.csv"
+        with open(path, "w") as out:
+            out.write(f"{header}A1,{name},a@b.co,9876543210,1 Road,{day}\n###,Blank,a@b.co,9876543210,1 Road,{day}\n")
+        os.utime(path, (1_700_000_000 + number * 60,) * 2)
+    lake = Lake(spark, folder + "/lake")
+    drain(start_chain(file_arrivals(spark, folder + "/landing", max_files=max_files), lake, folder + "/checkpoint", None, TS, AS_OF))
+    assert lake.raw("account").row_count() == 4
+    rows = lake.curated("account").read().collect()
+    assert [(r["account_id"], r["account_name"], str(r["created_date"])) for r in rows] == [("A1", "Newer", "2024-05-01")]
+    rejected = read_log(spark, lake.audit).where("metric = 'rejected' and entity = 'account'").agg({"rows": "sum"}).first()[0]
+    assert rejected == 2
+
+
 def test_a_replayed_batch_changes_nothing(spark, folder):
     """The same micro-batch again, as after a crash before the checkpoint was written."""
     from coinwharf.plans.chain import run_files

@@ -128,8 +128,15 @@ def test_percent_of(spark):
 def test_flags(spark):
     given = ["True", "FALSE", " true", "Y", "maybe", None]
     assert texts(spark, given, numeric.flag_text) == ["true", "false", "true", "Y", "maybe", None]
-    assert texts(spark, given, numeric.to_flag) == [True, False, True, True, None, None]
+    assert texts(spark, given, numeric.to_flag) == [True, False, True, None, None, None]
+    assert texts(spark, ["1", "t", "y", "0"], numeric.to_flag) == [None] * 4
     assert texts(spark, ["1.5", "x", None], numeric.to_number) == [1.5, None, None]
+    assert texts(spark, ["NaN", "Infinity", "-inf", "12d", "1e999", " -3 ", "2e3"], numeric.to_number) == [None] * 5 + [-3.0, 2000.0]
+
+
+def test_days_are_whole(spark):
+    given = ["2024", "2024-3", "2024-01-05 zz", "2024-1-5", "2024-02-30", " 2024-01-05", "2024-01-05 10:00:00"]
+    assert [str(d) for d in texts(spark, given, temporal.to_day)] == ["None"] * 5 + ["2024-01-05"] * 2
     assert values(spark, [(True,), (None,)], "b boolean", numeric.flag_text(F.col("b"))) == ["true", None]
 
 
