@@ -7,10 +7,11 @@ is rare in either class is smoothed alike and says little. A word's log-likeliho
 normalised by its length; a text is judged by the largest difference of a word and by the
 difference of the whole text, put on a scale of 0 to 1 by a logistic curve.
 
-Counts are summed by Spark over all labelled texts. What leaves them for the executors is a
-table of log-likelihood differences in 2 to the power of TABLE_BITS slots (letters in a row are
-placed by hash), so its size is bounded however much text there is. The logistic curve is fitted
-on at most FIT_ROWS labelled rows.
+Counts are summed by Spark over all labelled texts, and the differences of log-likelihoods keep
+every letter sequence that was seen, however many. Up to MAX_SENT of them are sent to the
+executors; a longer table stays in files and is joined to the different words of all texts.
+Both ways give the same evidence (letter sequences are told apart by 64-bit hashes when sent).
+The logistic curve is fitted on at most FIT_ROWS labelled rows.
 
 Defined cases: null and empty texts have no words and get the score of no evidence; an id with
 several labels counts as toxic if one says so; null labels or ids are no labels; without any
@@ -31,13 +32,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 from coinwharf.llm.common import id_and_text, text_slices
 from coinwharf.session import staged
 
-ORDER, DISCOUNT, TABLE_BITS = 6, 0.75, 22
+ORDER, DISCOUNT = 6, 0.75
+#: Differences (12 bytes each) that may go to every executor; more are joined by shuffle.
+MAX_SENT = 4_000_000
 #: Labelled rows that the logistic curve is fitted on, the first by a hash of the id.
 FIT_ROWS = 20_000
 #: Labels are joined by broadcast up to this many rows (16 bytes each), else by shuffle.
 BROADCAST_LABELS = 1_000_000
 #: Words whose difference a worker remembers before it starts anew.
 MAX_WORDS = 300_000
+#: Stands for any letter not seen after a context; no word holds white space.
+UNSEEN = "\n"
 EDGES = ".,;:!?()[]{}\"'`*#$%&|<>"
 
 
@@ -113,7 +118,7 @@ def _shared(grams: DataFrame) -> DataFrame:
 
 def differences(grams: DataFrame) -> DataFrame:
     """``key``, ``n``, ``difference``: log-likelihoods of toxic minus ordinary texts for each gram
-    that was seen, and (key with ``>`` after it) for any other letter after a context."""
+    that was seen, and (key with UNSEEN after it) for any other letter after a context."""
     rows = grams.withColumn("context", _context())
     number = lambda c: F.sum(F.when(F.col(c) > 0, 1).otherwise(0))
     contexts = rows.groupBy("context").agg(
@@ -125,36 +130,37 @@ def differences(grams: DataFrame) -> DataFrame:
     joined = rows.join(contexts, "context").withColumn("rest", F.expr("substring(gram, 2)")).join(shared, "rest")
     like = lambda c: F.greatest(F.col(c) - DISCOUNT, F.lit(0)) / (F.col(f"all_{c}") + 1) + rest(c) * F.col("shared")
     seen = joined.select(F.col("gram").alias("key"), (F.col("ordinary") + F.col("toxic")).alias("n"), F.log(like("toxic") / like("ordinary")).alias("difference"))
-    unseen = contexts.select(F.concat("context", F.lit(">")).alias("key"), (F.col("all_ordinary") + F.col("all_toxic")).alias("n"), F.log(rest("toxic") / rest("ordinary")).alias("difference"))
+    unseen = contexts.select(F.concat("context", F.lit(UNSEEN)).alias("key"), (F.col("all_ordinary") + F.col("all_toxic")).alias("n"), F.log(rest("toxic") / rest("ordinary")).alias("difference"))
     return seen.unionByName(unseen)
 
 
-def _slot(key: str) -> int:
-    return xxhash.xxh64_intdigest(key.encode(), 42) & ((1 << TABLE_BITS) - 1)
+def difference_table(differences_: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted key hashes and their differences, of at most MAX_SENT rows."""
+    found = differences_.select(F.xxhash64("key").alias("hash"), F.col("difference").cast("float").alias("difference")).toArrow()
+    hashes = np.asarray(found["hash"]).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], np.asarray(found["difference"])[order]
 
 
-def difference_table(differences_: DataFrame) -> np.ndarray:
-    """The differences by slot, NaN where there is none; of keys that meet the most frequent stays."""
-    slot = F.xxhash64("key").bitwiseAND(F.lit((1 << TABLE_BITS) - 1)).cast("int")
-    best = differences_.groupBy(slot.alias("slot")).agg(F.max_by(F.col("difference").cast("float"), F.struct("n", "key")).alias("difference"))
-    table = np.full(1 << TABLE_BITS, np.nan, np.float32)
-    found = best.toArrow()  # at most 2 ** TABLE_BITS rows of 8 bytes
-    table[np.asarray(found["slot"])] = np.asarray(found["difference"])
-    return table
+def _looked_up(keys: list[str], table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The difference of each key, NaN where it has none."""
+    hashes, values = table
+    if not len(hashes):
+        return np.full(len(keys), np.nan, np.float32)
+    asked = np.fromiter((xxhash.xxh64_intdigest(k.encode(), 42) for k in keys), np.uint64, len(keys))
+    at = np.minimum(np.searchsorted(hashes, asked), len(hashes) - 1)
+    return np.where(hashes[at] == asked, values[at], np.float32(np.nan))
 
 
-def word_difference(word: str, table: np.ndarray) -> tuple[float, int]:
-    """Sum of the differences of an opened word's letters, and their number."""
-    total = 0.0
-    grams = grams_of(word)
-    for gram in grams:
-        value = table[_slot(gram)]
-        if value != value:
-            value = table[_slot(gram[:-1] + ">")]
-            if value != value:
-                continue
-        total += float(value)
-    return total, len(grams)
+def word_differences(words: list[str], table: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Per opened word the sum of its letters' differences, and the number of its letters."""
+    grams = [grams_of(word) for word in words]
+    letters = np.fromiter(map(len, grams), np.int64, len(grams))
+    flat = [gram for of_word in grams for gram in of_word]
+    values = _looked_up(flat, table).astype(np.float64)
+    if len(missing := np.flatnonzero(np.isnan(values))):
+        values[missing] = _looked_up([flat[i][:-1] + UNSEEN for i in missing], table)
+    return np.bincount(np.repeat(np.arange(len(grams)), letters), np.nan_to_num(values), len(grams)), letters
 
 
 _KNOWN: dict[str, dict[str, tuple[float, int]]] = {}
@@ -170,21 +176,63 @@ def _evidence(table, key: str):
             if len(known) > MAX_WORDS:
                 known.clear()
             top, mean = [], []
-            for text in texts:
-                counts = Counter(words_of(text))
-                best, total, letters = 0.0, 0.0, 0
+            counted = [Counter(words_of(text)) for text in texts]
+            new = [word for word in set().union(*counted) if word not in known]
+            for at in range(0, len(new), 20_000):
+                part = new[at : at + 20_000]
+                sums, letters = word_differences([opened(word) for word in part], differences_)
+                known.update(zip(part, zip(sums.tolist(), letters.tolist())))
+            for counts in counted:
+                best, total, size = 0.0, 0.0, 0
                 for word, n in counts.items():
-                    if (got := known.get(word)) is None:
-                        got = known[word] = word_difference(opened(word), differences_)
-                    best = max(best, got[0] / got[1] if got[1] else 0.0)
-                    total, letters = total + n * got[0], letters + n * got[1]
+                    value, letters = known[word]
+                    best = max(best, value / letters if letters else 0.0)
+                    total, size = total + n * value, size + n * letters
                 top.append(best)
-                mean.append(total / letters if letters else 0.0)
+                mean.append(total / size if size else 0.0)
             yield pa.RecordBatch.from_arrays([batch.column("id").cast(pa.int64()), pa.array(top, pa.float64()), pa.array(mean, pa.float64())], ["doc_id", "top", "mean"])
 
     return run
 
 
+def _text_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per text its different words, opened, and how often each occurs; one empty row at least."""
+    for batch, texts in text_slices(batches):
+        for uid, doc_id, text in zip(batch.column("uid").to_pylist(), batch.column("id").to_pylist(), texts):
+            counts: dict[str, int] = {"": 0}
+            for word, n in Counter(words_of(text)).items():
+                counts[opened(word)] = counts.get(opened(word), 0) + n
+            rows = len(counts)
+            columns = [pa.array([uid] * rows, pa.int64()), pa.array([doc_id] * rows, pa.int64()), pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["uid", "doc_id", "word", "n"])
+
+
+def _word_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, len(batch), 5_000):
+            rows = [(word, gram) for word in batch.column("word").slice(at, 5_000).to_pylist() for gram in grams_of(word)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in (zip(*rows) if rows else ((), ()))], ["word", "gram"])
+
+
+def joined_evidence(rows: DataFrame, differences_: DataFrame) -> DataFrame:
+    """The evidence of every text (``doc_id``, ``top``, ``mean``) by joins, for any number of
+    differences. A word that very many texts hold is a skewed join that adaptive execution splits."""
+    uses = staged(rows.withColumn("uid", F.monotonically_increasing_id()).mapInArrow(_text_words, "uid long, doc_id long, word string, n long"), "uses")
+    grams = uses.select("word").where("word <> ''").distinct().mapInArrow(_word_grams, "word string, gram string")
+    value = differences_.select("key", F.col("difference").cast("float").cast("double").alias("difference"))
+    seen = grams.join(value.withColumnRenamed("key", "gram"), "gram", "left")
+    other = value.select(F.col("key").alias("other"), F.col("difference").alias("instead"))
+    settled = seen.withColumn("other", F.concat(_context(), F.lit(UNSEEN))).join(other, "other", "left")
+    words = settled.groupBy("word").agg(F.sum(F.coalesce("difference", "instead", F.lit(0.0))).alias("value"), F.count("*").alias("letters"))
+    valued = uses.join(staged(words, "words"), "word", "left")
+    sums = valued.groupBy("uid", "doc_id").agg(
+        F.greatest(F.max(F.col("value") / F.col("letters")), F.lit(0.0)).alias("top"),
+        F.sum(F.col("n") * F.col("value")).alias("value"),
+        F.sum(F.col("n") * F.col("letters")).alias("size"),
+    )
+    return sums.select("doc_id", "top", F.coalesce(F.col("value") / F.col("size"), F.lit(0.0)).alias("mean"))
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 40) -> np.ndarray:
     """Weights of a logistic curve with a little ridge, by Newton's method."""
     w = np.zeros(x.shape[1])
@@ -197,7 +245,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 40) -> np.ndarray:
     return w
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit_rows: int = FIT_ROWS) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit_rows: int = FIT_ROWS, max_sent: int = MAX_SENT) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted`` and the evidence ``top`` and ``mean``
     of every text; only labels of rows that are not held out are learnt."""
     spark = docs.sparkSession
@@ -214,9 +262,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     rows = id_and_text(docs, id_col, text_col)
     grams = rows.join(learnt, rows["id"] == known["label_id"]).select("id", "text", "toxic").mapInArrow(_count_grams, "gram string, ordinary long, toxic long")
     grams = staged(grams.where("gram <> ''").groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")), "grams")
-    table = spark.sparkContext.broadcast(difference_table(differences(grams)))
-    evidence = staged(rows.mapInArrow(_evidence(table, f"{spark.sparkContext.applicationId} {id(table)}"), "doc_id long, top double, mean double"), "evidence")
-    table.destroy()
+    found = staged(differences(grams), "differences")
+    if found.count() <= max_sent:
+        table = spark.sparkContext.broadcast(difference_table(found))
+        evidence = staged(rows.mapInArrow(_evidence(table, f"{spark.sparkContext.applicationId} {id(table)}"), "doc_id long, top double, mean double"), "evidence")
+        table.destroy()
+    else:
+        evidence = staged(joined_evidence(rows, found), "evidence")
     sample = evidence.join(learnt, evidence["doc_id"] == known["label_id"]).select("doc_id", "top", "mean", "toxic")
     fit = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "top", "mean").limit(fit_rows).toArrow()
     x = np.column_stack([np.ones(len(fit)), np.asarray(fit["top"], float), np.asarray(fit["mean"], float)])

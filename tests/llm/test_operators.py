@@ -458,6 +458,15 @@ def test_toxic_expressions_are_found(spark):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in got)
 
 
+def test_sent_and_joined_differences_give_the_same_scores(spark, edges):
+    docs = edges.select("doc_id", "text").unionByName(spark.createDataFrame([(90 + i, t) for i, t in enumerate(["ab> a>b <x> vile vile", "kind words", "vile words ..."])], "doc_id long, text string"))
+    labels = spark.createDataFrame([(i, int(i in (90, 92))) for i in (1, 4, 7, 90, 91, 92)], "doc_id long, toxic int")
+    sent, joined = (sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["score"], r["top"], r["mean"]) for r in toxicity.toxicity(docs, labels, max_sent=n).collect()) for n in (10**6, 0))
+    assert len(sent) == len(joined) == docs.count()
+    for one, two in zip(sent, joined):
+        assert one == pytest.approx(two, abs=1e-9)
+
+
 def test_shared_backoff_sums_to_one(spark):
     words = ["^anti$", "^onan$", "^tion$"]
     grams = spark.createDataFrame([(g,) for g in {g for w in words for g in toxicity.grams_of(w)}], "gram string")
