@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +57,8 @@ def opened(word: str) -> str:
 
 def grams_of(word: str) -> list[str]:
     """Each letter of an opened word with the up to ORDER - 1 letters before it."""
-    return [word[max(0, i + 1 - ORDER) : i + 1] for i in range(1, len(word))]
+    size = len(word)
+    return [word[:end] for end in range(2, min(size, ORDER) + 1)] + [word[end - ORDER : end] for end in range(ORDER + 1, size + 1)]
 
 
 def held_out(id_: Column) -> Column:
@@ -143,13 +145,15 @@ def difference_table(differences_: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _looked_up(keys: list[str], table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The difference of each key, NaN where it has none."""
+    """The difference of each key, NaN where it has none; equal keys are looked up once."""
     hashes, values = table
-    if not len(hashes):
+    if not len(hashes) or not keys:
         return np.full(len(keys), np.nan, np.float32)
-    asked = np.fromiter((xxhash.xxh64_intdigest(k.encode(), 42) for k in keys), np.uint64, len(keys))
+    coded = pa.array(keys, pa.string()).dictionary_encode()
+    different = coded.dictionary.cast(pa.binary()).to_pylist()
+    asked = np.fromiter(map(xxhash.xxh64_intdigest, different, repeat(42)), np.uint64, len(different))
     at = np.minimum(np.searchsorted(hashes, asked), len(hashes) - 1)
-    return np.where(hashes[at] == asked, values[at], np.float32(np.nan))
+    return np.where(hashes[at] == asked, values[at], np.float32(np.nan))[np.asarray(coded.indices)]
 
 
 def word_differences(words: list[str], table: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -163,7 +167,7 @@ def word_differences(words: list[str], table: tuple[np.ndarray, np.ndarray]) ->
     return np.bincount(np.repeat(np.arange(len(grams)), letters), np.nan_to_num(values), len(grams)), letters
 
 
-_KNOWN: dict[str, dict[str, tuple[float, int]]] = {}
+_KNOWN: dict[str, dict[str, tuple[float, int, float]]] = {}
 
 
 def _evidence(table, key: str):
@@ -180,13 +184,18 @@ def _evidence(table, key: str):
             new = [word for word in set().union(*counted) if word not in known]
             for at in range(0, len(new), 20_000):
                 part = new[at : at + 20_000]
-                sums, letters = word_differences([opened(word) for word in part], differences_)
-                known.update(zip(part, zip(sums.tolist(), letters.tolist())))
+                forms = [opened(word) for word in part]
+                index = {form: i for i, form in enumerate(dict.fromkeys(forms))}
+                sums, letters = (x.tolist() for x in word_differences(list(index), differences_))
+                for word, form in zip(part, forms):
+                    i = index[form]
+                    known[word] = sums[i], letters[i], sums[i] / letters[i] if letters[i] else 0.0
             for counts in counted:
                 best, total, size = 0.0, 0.0, 0
                 for word, n in counts.items():
-                    value, letters = known[word]
-                    best = max(best, value / letters if letters else 0.0)
+                    value, letters, mean_value = known[word]
+                    if mean_value > best:
+                        best = mean_value
                     total, size = total + n * value, size + n * letters
                 top.append(best)
                 mean.append(total / size if size else 0.0)
