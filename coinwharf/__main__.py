@@ -9,7 +9,7 @@ from coinwharf.plans.chain import Run, run_batch
 from coinwharf.plans.lake import Lake
 from coinwharf.session import build_session
 from coinwharf.sources.settings import job_settings
-from coinwharf.streaming.arrivals import file_arrivals, start_chain
+from coinwharf.streaming.arrivals import file_arrivals, message_arrivals, start_chain
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -22,6 +22,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--follow", action="store_true", help="with --stream: go on waiting for files")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="reference day; default: today (UTC)")
     parser.add_argument("--headers", choices=("by_name", "strict"), default="by_name")
+    parser.add_argument("--infer", action="store_true", help="let Spark guess types before values become text")
+    parser.add_argument("--messages", metavar="FOLDER", help="with --stream: take the files that messages in this folder name")
     parser.add_argument("--normalize-phone", action="store_true")
     parser.add_argument("--null-keys", action="store_true")
     parser.add_argument("--strict", action="store_true")
@@ -38,12 +40,16 @@ def main(argv: list[str] | None = None) -> None:
     lake = Lake(spark, args.lake.rstrip("/"), settings.partition_raw_by_day)
     options = {
         "headers": args.headers,
+        "infer": args.infer,
         "normalize_phone": args.normalize_phone,
         "null_keys": args.null_keys,
         "strict": args.strict,
     }
     if args.stream:
-        arrivals = file_arrivals(spark, landing)
+        if args.messages:
+            arrivals = message_arrivals(spark, args.messages, args.scheme)
+        else:
+            arrivals = file_arrivals(spark, landing)
         start_chain(
             arrivals, lake, args.stream, args.config, as_of=args.as_of, available_now=not args.follow, **options
         ).awaitTermination()

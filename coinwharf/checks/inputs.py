@@ -87,7 +87,9 @@ INPUTS = {
         "union all select 'A#' || cast(c_custkey as string), 'Older', null, null, 'none', '2020-01-01' "
         "from {customer} "
         "union all select null, c_name, null, null, null, '2025-01-01' from {customer} "
-        "where c_mktsegment = 'BUILDING'"
+        "where c_mktsegment = 'BUILDING' "
+        "union all select '###', c_name, null, null, null, '2025-01-01' from {customer} "
+        "where c_mktsegment = 'MACHINERY'"
     ),
     "raw_customer": (
         "select 'C' || cast(c_custkey as string) as customer_id, '\t ' || c_name || ' ' as customer_name, "
@@ -131,8 +133,11 @@ INPUTS = {
     ),
     "raw_transaction_older": (
         "select 'T#' || cast(o_orderkey as string) as transaction_id, 'A0' as account_id, 'P0' as product_id, "
-        "'B0' as branch_id, '1990-01-01' as date, 'never' as timestamp, 'none' as amount, 'Cash' as payment_method, "
-        "'Success' as status, 'INR' as currency, cast(null as string) as remarks, 'maybe' as is_refund from {orders}"
+        "'B0' as branch_id, case o_orderkey % 4 when 0 then '1990' when 1 then '1990-01-05 zz' else '1990-01-01' end as date, "
+        "case o_orderkey % 3 when 0 then 'never' when 1 then '2024' else '12:30:00' end as timestamp, "
+        "case o_orderkey % 5 when 0 then 'NaN' when 1 then 'Infinity' when 2 then '12d' when 3 then '1.5e3' else 'none' end as amount, "
+        "'Cash' as payment_method, 'Success' as status, 'INR' as currency, cast(null as string) as remarks, "
+        "case o_orderkey % 2 when 0 then 'y' else 'maybe' end as is_refund from {orders}"
     ),
 }
 

@@ -6,8 +6,11 @@ from coinwharf.checks.inputs import TARGET_KEYS, oracle_input
 from coinwharf.functions.text import WHITESPACE
 from coinwharf.schemas import CURATED_DDL
 
+# The rules for e-mail addresses and phone numbers.
 EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
 PHONE = r"^(\+91)?[6-9][0-9]{9}$"
+NUMBER = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+DAY = r"[0-9]{4}-[0-9]{2}-[0-9]{2}( [0-9]{2}:[0-9]{2}:[0-9]{2})?"
 
 
 def money(column: str) -> str:
@@ -37,6 +40,27 @@ def flag_text(column: str) -> str:
     )
 
 
+def number(column: str) -> str:
+    """Finite decimal numbers only."""
+    return f"case when regexp_full_match(trim({column}), '{NUMBER}') then try_cast({column} as double) end"
+
+
+def day(column: str) -> str:
+    """Whole days only, alone or before a whole time."""
+    return f"case when regexp_full_match({column}, '{DAY}') then try_cast({column} as date) end"
+
+
+def instant(column: str) -> str:
+    return f"case when regexp_full_match({column}, '{DAY}') then try_cast({column} as timestamp) end"
+
+
+def flag(column: str) -> str:
+    return f"case lower(trim({column})) when 'true' then true when 'false' then false end"
+
+
+READ = {"double": number, "date": day, "timestamp": instant, "boolean": flag}
+
+
 def table(name: str) -> str:
     return f"({oracle_input(name)})"
 
@@ -157,7 +181,7 @@ def raw(entity: str) -> str:
 # (rows accepted, date that decides, cleaned columns that differ from the raw column)
 CLEANING = {
     "account": (
-        "account_id is not null",
+        f"account_id is not null and {strip('account_id')} <> ''",
         "created_date",
         {
             "account_id": strip("account_id"),
@@ -192,7 +216,7 @@ CLEANING = {
             "product_id": strip("product_id"),
             "product_name": strip("product_name", but="_"),
             "product_type": strip("product_type"),
-            "price": "try_cast(price as double)",
+            "price": number("price"),
             "launch_date": "try_cast(launch_date as date)",
             "is_active": flag_text("is_active"),
             "category": strip("category"),
@@ -207,12 +231,12 @@ CLEANING = {
             "account_id": strip("account_id"),
             "product_id": strip("product_id"),
             "branch_id": strip("branch_id"),
-            "date": "try_cast(date as date)",
-            "timestamp": "try_cast(timestamp as timestamp)",
-            "amount": "try_cast(amount as double)",
+            "date": day("date"),
+            "timestamp": instant("timestamp"),
+            "amount": number("amount"),
             "payment_method": strip("payment_method"),
             "status": strip("status"),
-            "is_refund": "try_cast(is_refund as boolean)",
+            "is_refund": flag("is_refund"),
         },
     ),
 }
@@ -231,7 +255,7 @@ def source(entity: str, as_of: str = "date '2026-01-01'") -> str:
     cleaned = ", ".join(f"{rules.get(c, c)} as {c}" for c in names).replace("{as_of}", as_of)
     return (
         f"(select {', '.join(names)} from (select *, row_number() over (partition by {names[0]} "
-        f"order by newest desc nulls last) as place from (select {cleaned}, try_cast({newest} as date) as newest "
+        f"order by newest desc nulls last) as place from (select {cleaned}, {day(newest)} as newest "
         f"from {raw(entity)} where {accepted})) where place = 1)"
     )
 
@@ -266,7 +290,7 @@ for _entity in CURATED_DDL:
 
 
 def _unreadable(*casts: tuple[str, str]) -> str:
-    tests = [f"count(*) filter (where {c} is not null and try_cast({c} as {t}) is null)" for c, t in casts]
+    tests = [f"count(*) filter (where {c} is not null and ({READ[t](c)}) is null)" for c, t in casts]
     return " + ".join(tests)
 
 
@@ -291,6 +315,10 @@ ORACLE["quality_of_raw"] = " union all ".join(_quality(e) for e in CURATED_DDL)
 ORACLE["rejected_raw_rows"] = (
     f"select customer_name, email, 'customer_id' as missing from {raw('customer')} where customer_id is null"
 )
+ORACLE["rejected_keys"] = (
+    "select account_id, account_name, 'account_id' as missing "
+    f"from {raw('account')} where account_id is null or {strip('account_id')} = ''"
+)
 _PICKS = {
     "account": ("account_id", "account_name", "created_date"),
     "branch": ("branch_id", "branch_name", "opened_date"),
@@ -336,6 +364,12 @@ _CHAIN = f"""
     from t join c on t.account_id = c.account_id where t.amount > 100000"""
 ORACLE["batch_chain"] = _CHAIN
 ORACLE["stream_chain"] = _CHAIN
+ORACLE["message_chain"] = (
+    _CHAIN
+    + "".join(f" union all select 'raw', '{e}', null, count(*), null from {raw(e)}" for e in CURATED_DDL)
+    + " union all select 'arrivals', 'undecodable', null, count(*), null from nation"
+    + " union all select 'arrivals', 'not_csv', null, count(*), null from region"
+)
 
 
 def _audit(entity: str) -> str:

@@ -416,6 +416,13 @@ def rejected_raw_rows(spark, sf):
     )
 
 
+@query
+def rejected_keys(spark, sf):
+    """Rows without a key and rows of whose key cleaning leaves nothing."""
+    rejected = rejected_rows(_raw(spark, sf, "account"), SPECS["account"])
+    return rejected.select("account_id", "account_name", F.array_join("missing", ",").alias("missing"))
+
+
 # -- the chain ----------------------------------------------------------------------------
 
 
@@ -469,16 +476,43 @@ def batch_chain(spark, sf):
 
 @query
 def stream_chain(spark, sf):
-    """The same files in two arrivals through the stream; the reports must come out equal."""
+    """The same files in two arrivals, the newer first; the reports must come out equal."""
     landing, checkpoint = work_path(spark, "landing"), work_path(spark, "arrivals")
     lake = Lake(spark, work_path(spark, "lake"))
-    for older in (True, False):
+    for older in (False, True):
         _land_all(spark, sf, landing, older=older, current=not older)
         arrivals = start_chain(file_arrivals(spark, landing), lake, checkpoint, None, RUN_TS, LAST_DAY)
         arrivals.awaitTermination()
     return _report_rows(lake)
 
 
+@query
+def message_chain(spark, sf):
+    """Messages that name the landed files, with damaged ones and some that name no CSV file, to
+    the reports; and the rows and messages the audit log counts."""
+    landing, folder = work_path(spark, "landing"), work_path(spark, "messages")
+    lake = Lake(spark, work_path(spark, "lake"))
+    _land_all(spark, sf, landing)
+    files = list_files(spark, landing)
+    part = lambda n: F.regexp_extract("path", r"^(\w+:/*)([^/]+)/(.*)$", n)
+    damaged = spark_input(spark, sf, "select n_name || '!' as data from {nation}")
+    others = spark.read.parquet(f"{sf}/region.parquet").select(F.lit("b").alias("bucket"), F.concat("r_name", F.lit(".txt")).alias("name"))
+    messages = encode_notifications(files.select(part(2).alias("bucket"), part(3).alias("name")).union(others))
+    messages.union(damaged).write.json(folder)
+    start = files.select(part(1).alias("start")).first()["start"]
+    arrivals = message_arrivals(spark, folder).withColumn("path", F.concat(F.lit(start), "bucket", F.lit("/"), "name"))
+    start_chain(arrivals, lake, work_path(spark, "arrivals"), None, RUN_TS, LAST_DAY).awaitTermination()
+    none = F.lit(None)
+    counted = read_log(spark, lake.audit).where("step = 'arrivals' or step = 'raw' and metric = 'rows'").select(
+        F.col("step").alias("report"),
+        F.when(F.col("step") == "raw", F.col("entity")).otherwise(F.col("metric")).alias("key"),
+        none.cast("string").alias("detail"),
+        "rows",
+        none.cast("double").alias("amount"),
+    )
+    return _report_rows(lake).unionByName(counted)
+
+
 @query
 def chain_audit(spark, sf):
     """Upsert actions the audit log holds after the same files were loaded twice."""

@@ -38,8 +38,11 @@ def to_day(col: Column) -> Column:
 
 
 def to_instant(col: Column) -> Column:
-    """The instant of a timestamp or text value; unreadable text gives NULL."""
-    return col.try_cast("timestamp")
+    """The instant of a timestamp or text value.
+
+    Text must hold a whole day, as for :func:`to_day`; a year or a time alone gives NULL.
+    """
+    return F.when(F.regexp_like(col.cast("string"), F.lit(WHOLE_DAY)), col.try_cast("timestamp"))
 
 
 def clamp_future(day: Column, as_of: Column) -> Column:

@@ -9,6 +9,7 @@ from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
+from pyspark.sql.utils import AnalysisException
 
 from coinwharf.functions.temporal import instant_literal
 from coinwharf.plans.curated import CuratedSpec, blank_key
@@ -54,15 +55,25 @@ def write_log(
 ) -> None:
     """Write a run's (step, entity, counts) entries, one row per metric.
 
-    Each run owns one folder, so a repeated run replaces its own entries.
+    Each run owns one folder, so a repeated run replaces its own entries. Counts that only
+    the first attempt has (a load that is in a table already is not merged again) are kept.
     """
-    rows = [
-        (step, entity, metric, int(count))
+    path = f"{folder}/run_id={run_id}"
+    found = {
+        (step, entity, metric): int(count)
         for step, entity, counts in entries
         for metric, count in counts.items()
-    ]
+    }
+    try:
+        before = spark.read.parquet(path).collect()  # a few counts
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        before = []
+    found = {(r["step"], r["entity"], r["metric"]): r["rows"] for r in before} | found
+    rows = [(*key, count) for key, count in found.items()]
     log = small_frame(spark, rows, "step string, entity string, metric string, rows long")
-    log.withColumn("logged_at", instant_literal(run_ts)).coalesce(1).write.mode("overwrite").parquet(f"{folder}/run_id={run_id}")
+    log.withColumn("logged_at", instant_literal(run_ts)).coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def read_log(spark: SparkSession, folder: str) -> DataFrame:

@@ -25,7 +25,8 @@ Entry = tuple[str, str, dict[str, int]]
 class Run:
     """The clock, identity and options of one run.
 
-    ``headers`` is how files are read, ``normalize_phone`` repairs numbers before they are
+    ``headers`` is how files are read, ``infer`` lets Spark guess their types first (``00123``
+    then becomes ``123``), ``normalize_phone`` repairs numbers before they are
     checked, ``null_keys`` lets rows without a key in, and ``strict`` refuses a load in
     which two spellings of a key meet.
     """
@@ -34,6 +35,7 @@ class Run:
     run_ts: dt.datetime
     as_of: dt.date
     headers: str = "by_name"
+    infer: bool = False
     normalize_phone: bool = False
     null_keys: bool = False
     strict: bool = False
@@ -67,18 +69,21 @@ def load_raw(
     ``append`` keeps what is there, whatever the configured mode.
     """
     tables = files_per_table(lake, files, config_path)
-    entries: list[Entry] = [("raw", "unknown", {"files_skipped": skipped(files).count()})]
+    unknown = skipped(files)
+    entries: list[Entry] = [("raw", "unknown", {"files_skipped": unknown.count()})]
+    if entries[0][2]["files_skipped"]:
+        unknown.select("path").write.mode("overwrite").parquet(f"{lake.rejects('files')}/run_id={run.run_id}")
 
     def load(entry):
         rows = load_table(
-            lake, entry["table"], entry["paths"], "append" if append else entry["write_mode"], run.run_id, run.run_ts, run.headers
+            lake, entry["table"], entry["paths"], "append" if append else entry["write_mode"], run.run_id, run.run_ts, run.headers, run.infer
         )
         return entry["table"], rows, len(entry["paths"])
 
     loaded = {}
     for table, rows, count in _together(load, tables):
         loaded[table] = rows
-        entries.append(("raw", table, {"files": count}))
+        entries.append(("raw", table, {"files": count, "rows": lake.raw(table).rows_loaded(run.run_id)}))
     return loaded, entries
 
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from coinwharf.plans.curated import SPECS
+from coinwharf.plans.reports import in_order
 from coinwharf.schemas import ENTITIES, curated_schema, raw_schema
 from coinwharf.session import small_frame
 from coinwharf.sources.tables import SnapshotTable
@@ -39,6 +40,10 @@ class Lake:
     def report(self, name: str) -> SnapshotTable:
         return SnapshotTable(self.spark, f"{self.root}/reporting/{name}")
 
+    def show_report(self, name: str) -> DataFrame:
+        """A stored report in the order it is shown in."""
+        return in_order(name, self.report(name).read())
+
     @property
     def audit(self) -> str:
         return f"{self.root}/auditlayer/audit_log"

@@ -5,9 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, functions as F
 
 from coinwharf.plans.lake import Lake
+from coinwharf.schemas import RAW_COLUMNS
 from coinwharf.sources.landing import load_plan, planned, read_raw, routed, stamped
 
 
@@ -36,12 +37,17 @@ def load_table(
     load_id: str,
     run_ts: dt.datetime | str | None = None,
     headers: str = "by_name",
+    infer: bool = False,
 ) -> DataFrame:
     """Read all files of a table together, stamp them and write them once.
 
     Written one by one under ``overwrite``, each file would erase the one before it.
-    Returns this load's rows, read back from the raw table.
+    With ``infer`` the values are stored as the text of their inferred types. Returns this
+    load's rows, read back from the raw table.
     """
     table = lake.raw(entity)
-    table.save(stamped(read_raw(lake.spark, paths, entity, headers), run_ts), mode, load_id)
+    rows = read_raw(lake.spark, paths, entity, headers, infer)
+    if infer:
+        rows = rows.select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS[entity]])
+    table.save(stamped(rows, run_ts), mode, load_id)
     return table.rows_of(load_id)

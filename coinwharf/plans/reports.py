@@ -25,6 +25,14 @@ PRODUCT_SHARE = "prod_wise_revenue"
 INACTIVE_ACCOUNTS = "Last_three_month_inact_acct"
 SUSPICIOUS = "suspicious_trans"
 SUCCESS = "Success"
+# Columns a report is shown in the order of; a minus stands for the greatest first.
+ORDER = {
+    TOP_CUSTOMERS: ("-total_volume", "customer_id", "customer_name"),
+    MONTHLY_TREND: ("branch_id", "year_month", "transaction_status"),
+    PRODUCT_SHARE: ("-total_revenue", "product_id"),
+    INACTIVE_ACCOUNTS: ("account_id",),
+    SUSPICIOUS: ("-amount", "transaction_id", "customer_id"),
+}
 TOP_N = 5
 INACTIVE_MONTHS = 3
 SUSPICIOUS_ABOVE = 100000
@@ -67,7 +75,6 @@ def monthly_trend(transactions: DataFrame, scale: int = AMOUNT_SCALE) -> DataFra
             F.col("amount").cast("double").alias("total_amount"),
             F.col("status").alias("transaction_status"),
         )
-        .orderBy("branch_id", "year_month", "transaction_status")
     )
 
 
@@ -94,7 +101,6 @@ def product_share(
     return (
         with_percentage(revenue, "revenue", "revenue_percentage")
         .select("product_id", F.col("revenue").cast("double").alias("total_revenue"), "revenue_percentage")
-        .orderBy(F.desc("total_revenue"), "product_id")
     )
 
 
@@ -116,8 +122,7 @@ def suspicious(
     """Transactions strictly above a limit, for every customer that shares the account.
 
     Nothing can be summed here, so a hot account is left to adaptive execution, which
-    splits an outsized partition of either side; the sort that follows carries the
-    transaction id, so equal amounts spread over tasks as well.
+    splits an outsized partition of either side.
     """
     large = transactions.where(F.col("amount") > above).select(
         "transaction_id", "account_id", "amount", "date", "status"
@@ -125,5 +130,13 @@ def suspicious(
     return (
         large.join(customers.select("account_id", "customer_id", "name"), "account_id")
         .select("transaction_id", "customer_id", "name", "amount", "date", "status")
-        .orderBy(F.desc("amount"), "transaction_id", "customer_id")
     )
+
+
+def in_order(name: str, report: DataFrame) -> DataFrame:
+    """A report's rows in the order they are shown in.
+
+    The order belongs to reading: stored rows have none, so computing a report never
+    shuffles it whole just to sort it.
+    """
+    return report.orderBy(*[F.desc(c[1:]) if c.startswith("-") else F.col(c) for c in ORDER[name]])

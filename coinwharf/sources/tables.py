@@ -116,6 +116,10 @@ class SnapshotTable:
         """The rows one load appended or put in place, as far as they are still there."""
         return self._read([entry for entry in self.state().live if entry["load_id"] == load_id])
 
+    def rows_loaded(self, load_id: str) -> int:
+        """Number of those rows, from the log alone."""
+        return sum(entry["rows"] for entry in self.state().live if entry["load_id"] == load_id)
+
     def row_count(self) -> int:
         """Rows in the table, from the log alone."""
         return self.state().rows

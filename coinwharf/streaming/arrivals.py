@@ -36,9 +36,12 @@ def file_arrivals(
     )
 
 
-def message_arrivals(spark: SparkSession, folder: str, scheme: str = "gs") -> DataFrame:
-    """New messages of a folder of JSON lines, decoded to object paths; bad messages have none."""
-    messages = spark.readStream.schema("data string").json(folder)
+def message_arrivals(spark: SparkSession, folder: str, scheme: str = "gs", max_files: int = MAX_FILES) -> DataFrame:
+    """New messages of a folder of JSON lines, decoded to object paths; bad messages have none.
+
+    A batch takes ``max_files`` message files at most.
+    """
+    messages = spark.readStream.schema("data string").option("maxFilesPerTrigger", max_files).json(folder)
     return decode_notifications(messages, scheme=scheme)
 
 

@@ -51,7 +51,7 @@ def tables(lake):
 
 
 def rows(lake, name):
-    return [tuple(r) for r in lake.report(name).read().collect()]
+    return [tuple(r) for r in lake.show_report(name).collect()]
 
 
 def test_batch_chain(spark, folder):

@@ -45,7 +45,7 @@ def test_top_customers_any_case_shared_accounts_and_ties(spark):
 def test_monthly_trend_keeps_null_groups(spark):
     rows = [t("1"), t("2", day="2025-06-30", amount=0.1), t("3", status="Failed"), t("4", branch=None, amount=None),
             t("5", branch=None, day=None), t("6", day="2025-07-01")]
-    assert tuples(reports.monthly_trend(transactions(spark, rows))) == [
+    assert tuples(reports.in_order(reports.MONTHLY_TREND, reports.monthly_trend(transactions(spark, rows)))) == [
         (None, None, 1, 1000.0, "Success"),
         (None, "2025-06", 1, None, "Success"),
         ("B1", "2025-06", 1, 1000.0, "Failed"),
@@ -58,7 +58,7 @@ def test_product_share_exact_status_only(spark):
     rows = [t("1", product="P1", amount=1.0), t("2", product="P2", amount=2.0), t("3", product="P1", status="SUCCESS"),
             t("4", product="P9", amount=500.0), t("5", product=None)]
     products = spark.createDataFrame([("P1",), ("P2",), ("P3",)], "product_id string")
-    got = tuples(reports.product_share(transactions(spark, rows), products))
+    got = tuples(reports.in_order(reports.PRODUCT_SHARE, reports.product_share(transactions(spark, rows), products)))
     assert got == [("P2", 2.0, 66.67), ("P1", 1.0, 33.33)]
 
 
@@ -85,7 +85,7 @@ def test_suspicious_is_strict_and_needs_a_customer(spark):
             t("4", amount=200000.0), t("5", amount=None), t("6", None, amount=3e5)]
     people = customers(spark, [("C1", "a", "A1"), ("C2", "b", "A1"), ("C3", "c", None)])
     day = dt.date(2025, 6, 15)
-    assert tuples(reports.suspicious(transactions(spark, rows), people)) == [
+    assert tuples(reports.in_order(reports.SUSPICIOUS, reports.suspicious(transactions(spark, rows), people))) == [
         ("4", "C1", "a", 200000.0, day, "Success"),
         ("4", "C2", "b", 200000.0, day, "Success"),
         ("2", "C1", "a", 100000.01, day, "Failed"),
@@ -123,7 +123,7 @@ def test_reports_against_brute_force_on_skewed_rows(spark):
     for _, _, _, branch, day, amount, status in rows:
         months[branch, day.strftime("%Y-%m"), status][0] += 1
         months[branch, day.strftime("%Y-%m"), status][1] += round(amount * 100)
-    assert tuples(reports.monthly_trend(df)) == [
+    assert tuples(reports.in_order(reports.MONTHLY_TREND, reports.monthly_trend(df))) == [
         (b, m, n, cents / 100, s) for (b, m, s), (n, cents) in sorted(months.items())]
 
     revenue = defaultdict(int)
@@ -131,7 +131,7 @@ def test_reports_against_brute_force_on_skewed_rows(spark):
         if status == "Success":
             revenue[product] += round(amount * 100)
     products = spark.createDataFrame([(p,) for p in revenue], "product_id string")
-    got = tuples(reports.product_share(df, products))
+    got = tuples(reports.in_order(reports.PRODUCT_SHARE, reports.product_share(df, products)))
     assert [(p, v) for p, v, _ in got] == sorted(((p, c / 100) for p, c in revenue.items()), key=lambda r: (-r[1], r[0]))
     total = sum(revenue.values())
     assert all(abs(share - revenue[p] * 100 / total) <= 0.005 + 1e-9 for p, _, share in got)
@@ -139,7 +139,7 @@ def test_reports_against_brute_force_on_skewed_rows(spark):
     expected = sorted(
         ((i, c, n, a, d, s) for i, acc, _, _, d, a, s in rows if a > 100000 for c, n, own in people if own == acc),
         key=lambda r: (-r[3], r[0], r[1]))
-    assert tuples(reports.suspicious(df, who)) == expected
+    assert tuples(reports.in_order(reports.SUSPICIOUS, reports.suspicious(df, who))) == expected
 
     accounts = spark.createDataFrame([(f"A{k}", "x") for k in range(40)] + [("hot", "x")], "account_id string, account_name string")
     active = {acc for _, acc, _, _, d, _, _ in rows if d >= dt.date(2025, 7, 15)}
@@ -157,6 +157,13 @@ def test_transactions_are_summed_before_they_are_joined(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_reports_are_not_sorted_to_be_stored(spark):
+    df, who = transactions(spark, [t("1")]), customers(spark, [("C1", "a", "A1")])
+    products = spark.createDataFrame([("P1",)], "product_id string")
+    for report in (reports.monthly_trend(df), reports.product_share(df, products), reports.suspicious(df, who)):
+        assert "rangepartitioning" not in plan_of(report)
+
+
 def test_only_needed_columns_are_read(spark, folder):
     transactions(spark, [t("1")]).withColumn("pad", F.lit("x")).write.parquet(folder + "/t")
     stored = spark.read.parquet(folder + "/t")
