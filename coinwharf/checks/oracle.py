@@ -287,6 +287,8 @@ def curated(entity: str) -> str:
 
 for _entity in CURATED_DDL:
     ORACLE[f"curated_{_entity}"] = curated(_entity)
+    _names = ", ".join(name for name, _ in columns(_entity))
+    ORACLE[f"stored_curated_{_entity}"] = f"select {_names} from ({curated(_entity)})"
 
 
 def _unreadable(*casts: tuple[str, str]) -> str:

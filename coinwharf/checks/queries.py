@@ -17,7 +17,7 @@ from coinwharf.operators.share import with_percentage
 from coinwharf.operators.upsert import apply_updates, merge_upsert
 from coinwharf.plans import reports
 from coinwharf.plans.audit import action_counts, quality_counts, read_log, rejected_rows
-from coinwharf.plans.chain import Run, load_raw, run_batch
+from coinwharf.plans.chain import Run, load_curated, load_raw, run_batch
 from coinwharf.plans.curated import SPECS, complete_rows, merge_curated, upsert_source
 from coinwharf.plans.lake import Lake
 from coinwharf.schemas import ENTITIES, RAW_COLUMNS, curated_schema
@@ -386,8 +386,23 @@ def _curated(entity: str) -> Query:
     return run
 
 
+def _stored_curated(entity: str) -> Query:
+    def run(spark, sf):
+        """The same load through the job's own steps, over a stored table of older rows."""
+        spec, lake = SPECS[entity], Lake(spark, work_path(spark, "lake"))
+        lake.curated(entity).append(_target(spark, sf, entity).select(*spec.columns))
+        load_curated(lake, entity, _raw(spark, sf, entity), Run.of("load", RUN_TS, AS_OF))
+        stamps = {c: F.col(c).cast("date") for c in spec.stamps}
+        if entity == "transaction":
+            stamps["timestamp"] = F.col("timestamp").cast("string")
+        return lake.curated(entity).read().withColumns(stamps)
+
+    return run
+
+
 for _entity in ENTITIES:
     QUERIES[f"curated_{_entity}"] = _curated(_entity)
+    QUERIES[f"stored_curated_{_entity}"] = _stored_curated(_entity)
 
 
 @query

@@ -4,22 +4,32 @@ Spark refuses to overwrite a table it is reading, and a dynamic partition overwr
 leaves the old copy of a row whose partition changed. So each change writes new files
 under ``data/v=<n>`` and then one small ``log/v=<n>`` that says which folders joined
 the table and which left it. Readers see the table before the change or after it, and
-a job that dies on the way leaves nothing they would read. One writer per table at a time.
+a job that dies on the way leaves nothing they would read. Every COMPACT commits the log so far
+is also written to ``snapshot/v=<n>``; readers take the newest one and the few log entries after
+it, so the files they open stay few however long a table lives. ``expire`` deletes the files of
+folders that left the table. One writer per table at a time; a version that another writer has
+committed meanwhile is refused.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F
 from pyspark.sql.types import DateType, IntegerType, StructField, StructType
-from pyspark.sql.utils import AnalysisException
 
 from coinwharf.operators.upsert import apply_updates, check_unique
 from coinwharf.session import empty_frame, small_frame, staged
 
 LOG_DDL = "location string, day string, rows long, removed boolean, load_id string"
+#: Commits after which the log is written as one.
+COMPACT = 50
+
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer committed the version this one was about to."""
 
 
 @dataclass(frozen=True)
@@ -81,12 +91,8 @@ class SnapshotTable:
 
     def state(self, load_id: str | None = None) -> State:
         """Read the log: one row per folder, plus one for the commits themselves."""
-        schema = StructType.fromDDL(LOG_DDL).add("v", IntegerType())
-        try:
-            entries = self.spark.read.schema(schema).parquet(f"{self.root}/log")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        entries = self._entries()
+        if entries is None:
             return State(0, [], False)
         folders = (
             entries.groupBy("location", "day")
@@ -108,6 +114,65 @@ class SnapshotTable:
             seen=bool(commits and commits[0]["seen"]),
         )
 
+    def _hadoop(self, *parts: str):
+        """The file system of the table and a path under its root."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _versions(self, kind: str) -> list[int]:
+        """Numbers of the complete ``v=<n>`` folders of a kind; names only are listed."""
+        files, path = self._hadoop(kind)
+        if not files.exists(path):
+            return []
+        names = [status.getPath().getName() for status in files.listStatus(path)]
+        found = sorted(int(name[2:]) for name in names if name.startswith("v="))
+        # only the newest can be incomplete: a version is begun after the one before it is done
+        while found and not files.exists(self._hadoop(kind, f"v={found[-1]}", "_SUCCESS")[1]):
+            found.pop()
+        return found
+
+    def _entries(self) -> DataFrame | None:
+        """The log: the newest snapshot and the entries after it."""
+        schema = StructType.fromDDL(LOG_DDL).add("v", IntegerType())
+        start = max(self._versions("snapshot"), default=0)
+        paths = [f"{self.root}/log/v={n}" for n in self._versions("log") if n > start]
+        parts = []
+        if start:
+            parts.append(self.spark.read.schema(schema).parquet(f"{self.root}/snapshot/v={start}"))
+        if paths:
+            parts.append(self.spark.read.schema(schema).option("basePath", f"{self.root}/log").parquet(*paths))
+        return reduce(DataFrame.unionByName, parts) if parts else None
+
+    def _compact(self, version: int) -> None:
+        """Write the log up to a version as one: each commit, and all folders of the versions
+        that are still in use (a version is read by its root only if none of its folders left)."""
+        entries = self._entries()
+        commits = entries.where("location is null")
+        folders = entries.where("location is not null").withColumn("of", F.substring_index("location", "/", 1))
+        live = folders.join(folders.where("removed").select("location"), "location", "left_anti")
+        kept = folders.join(live.select("of").distinct(), "of", "left_semi").select(*commits.columns)
+        commits.unionByName(kept).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/snapshot/v={version}")
+
+    def expire(self) -> int:
+        """Delete the files of folders that left the table; returns the number of folders.
+
+        Readers that hold an older state lose their files, so call it when there are none. What
+        an unfinished write of the next version left is deleted as well.
+        """
+        live = {place for folder in self.state().live for place in (folder["location"], folder["location"].split("/")[0])}
+        files, data = self._hadoop("data")
+        deleted = 0
+        for version in files.listStatus(data) if files.exists(data) else ():
+            name = version.getPath().getName()
+            if name not in live:
+                deleted += files.delete(version.getPath(), True)
+                continue
+            for folder in files.listStatus(version.getPath()) if self.partition else ():
+                inner = folder.getPath().getName()
+                if folder.isDirectory() and "=" in inner and f"{name}/{inner}" not in live:
+                    deleted += files.delete(folder.getPath(), True)
+        return deleted
+
     def read(self, state: State | None = None) -> DataFrame:
         """The table's rows as of now, or as of a state read before."""
         return self._read((state or self.state()).live)
@@ -263,12 +328,18 @@ class SnapshotTable:
     def _commit(self, state: State, df: DataFrame | None, removed: Sequence[Row], load_id: str | None) -> int:
         """Write rows, then the log entry that puts them in place; returns the rows written."""
         version = state.version + 1
+        if version in self._versions("log"):
+            raise ConcurrentWrite(f"version {version} of {self.root} is there already")
         added = [] if df is None else self._write(df, version)
         rows = [(None, None, 0, False, load_id)]
         rows += [(e["location"], e["day"], e["rows"], False, load_id) for e in added]
         rows += [(e["location"], e["day"], e["rows"], True, None) for e in removed]
         entries = small_frame(self.spark, rows, LOG_DDL)
+        if version in self._versions("log"):
+            raise ConcurrentWrite(f"version {version} of {self.root} is there already")
         entries.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/log/v={version}")
+        if version % COMPACT == 0:
+            self._compact(version)
         return sum(entry["rows"] for entry in added)
 
 

@@ -198,3 +198,55 @@ def test_whole_versions_are_read_by_their_root(spark, folder):
     t.merge(frame(spark, [("b", 2, 5, 5), ("c", 3, 3, 3)]), ["k"], ["x"])
     assert sorted(_places(t.state().live)) == ["v=1/day=2025-01-01", "v=2"]
     assert rows_of(t) == {("a", d(1), 1, 1), ("b", d(2), 5, 2), ("c", d(3), 3, 3)}
+
+
+def test_the_log_is_read_in_few_files_however_many_commits(spark, folder, monkeypatch):
+    from coinwharf.sources import tables
+
+    monkeypatch.setattr(tables, "COMPACT", 5)
+    t = table(spark, folder)
+    for n in range(23):
+        rows = frame(spark, [(f"k{n % 7}", n % 3 + 1, n, n)])
+        t.replace(rows) if n == 11 else t.merge(rows, ["k"], ["x"], load_id=f"load{n}")
+    assert len(t._entries().inputFiles()) <= 5
+    assert t.state().version == 23 and t.state("load3").seen and not t.state("load99").seen
+    assert t.row_count() == t.read().count() == 7
+    assert t.merge(frame(spark, [("k1", 1, 99, 99)]), ["k"], ["x"], load_id="load3") == {}
+
+
+def test_a_log_without_snapshots_is_the_same(spark, folder, monkeypatch):
+    from coinwharf.sources import tables
+
+    states = []
+    for compact in (2, 1000):
+        monkeypatch.setattr(tables, "COMPACT", compact)
+        t = table(spark, f"{folder}/{compact}")
+        for n in range(7):
+            t.merge(frame(spark, [("a", n % 2 + 1, n, n), (f"b{n}", 2, n, n)]), ["k"], ["x", "day"], load_id=str(n))
+        states.append((t.state().version, sorted(t.state().locations), rows_of(t), sorted(map(tuple, t.rows_of("3").collect()))))
+    assert states[0] == states[1]
+
+
+def test_expire_deletes_what_left_the_table(spark, folder):
+    import os
+
+    t = table(spark, folder)
+    t.merge(frame(spark, [("a", 1, 1, 1), ("b", 2, 2, 2)]), ["k"], ["x"])
+    t.merge(frame(spark, [("b", 2, 5, 5)]), ["k"], ["x"])
+    before = rows_of(t)
+    assert t.expire() == 1 and rows_of(t) == before
+    assert not os.path.exists(f"{folder}/data/v=1/day=2025-01-02") and os.path.exists(f"{folder}/data/v=1/day=2025-01-01")
+    t.replace(frame(spark, [("c", None, 1, 1)]))
+    assert t.expire() == 2 and rows_of(t) == {("c", None, 1, 1)}
+    assert t.expire() == 0
+
+
+def test_a_second_writer_is_refused(spark, folder):
+    from coinwharf.sources.tables import ConcurrentWrite
+
+    one, two = table(spark, folder), table(spark, folder)
+    stale = two.state()
+    one.append(frame(spark, [("a", 1, 1, 1)]))
+    with pytest.raises(ConcurrentWrite):
+        two._commit(stale, frame(spark, [("b", 1, 1, 1)]), [], None)
+    assert rows_of(one) == {("a", d(1), 1, 1)}
