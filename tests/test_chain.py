@@ -165,6 +165,8 @@ def test_a_replayed_batch_changes_nothing(spark, folder):
         run_files(lake, list_files(spark, folder + "/landing"), run, config, only_new=True)
     assert lake.raw("transaction").row_count() == 4 and lake.curated("transaction").row_count() == 4
     assert lake.curated("account").state().version == 2
+    audit = {(r.step, r.entity, r.metric): r.rows for r in read_log(spark, lake.audit).collect()}
+    assert audit["curated", "transaction", "insert"] == 4 and audit["raw", "transaction", "rows"] == 4
 
 
 def test_messages_start_the_chain(spark, folder):
@@ -201,3 +203,15 @@ def test_job_from_its_configuration(spark, folder):
     lake = Lake(spark, folder + "/lake", partition_raw_by_day=True)
     assert rows(lake, reports.TOP_CUSTOMERS) == [("C1", "Cust", 200000.0), ("C2", "Cust", 50000.0)]
     assert "ingestion_date=" in lake.raw("account").state().locations[0]
+
+
+def test_inferred_types_and_skipped_names(spark, folder):
+    """Inference turns ``00123`` into ``123``; files of no table are kept by name."""
+    land(folder + "/landing", {"accounts.csv": ("account", [account("00123")]), "notes.csv": ("account", [account("A9")])})
+    for infer, expected in ((True, "123"), (False, "00123")):
+        lake = Lake(spark, f"{folder}/{infer}")
+        run_batch(lake, folder + "/landing", Run.of("one", TS, AS_OF, infer=infer))
+        assert [r["account_id"] for r in lake.raw("account").read().collect()] == [expected]
+        assert [r["account_id"] for r in lake.curated("account").read().collect()] == [expected]
+        skipped = spark.read.parquet(lake.rejects("files")).collect()
+        assert [r["path"].rsplit("/", 1)[1] for r in skipped] == ["notes.csv"]
