@@ -1,4 +1,4 @@
-"""``spark-submit``-able job: ``python -m coinwharf CONFIG LAKE [--landing DIR] [--stream CHECKPOINT]``."""
+"""``spark-submit``-able job: ``python -m coinwharf CONFIG LAKE [--landing DIR] [--stream CHECKPOINT [--messages FOLDER]]``."""
 
 from __future__ import annotations
 
