@@ -6,8 +6,11 @@ So a value always gets the same pseudonym under one key, different values get di
 and pseudonyms are valid themselves:
 
 * payment cards: 13 to 19 digits that pass the Luhn check; the first digit stays, the check
-  digit is computed anew;
+  digit is computed anew. In a run of digit groups every stretch of whole groups is tried. Of
+  overlapping ones those of an issuer's form and groups stay, then the first, then 16 digits, then the longest;
+  groups that only another one holds get other digits;
 * dates (yyyy-MM-dd, dd/MM/yyyy, dd.MM.yyyy) of the 400 years from 1800-01-01, 146097 days;
+  MM/dd/yyyy where dd/MM/yyyy is no date, among the 88497 days after the 12th of their month;
 * IPv4 addresses; social security numbers with valid area, group and serial numbers;
 * phone numbers: North American ones permute area, exchange and line within what is allowed,
   others all digits after the first two.
@@ -33,10 +36,18 @@ PATTERNS = {
     "ssn": EDGE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + END,
     "phone": r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}" + END
     + r"|(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5}" + END,
-    "card": EDGE + r"[0-9](?:[ -]?[0-9]){12,18}" + END,
 }
+# a run of at least 13 digits in groups, up to where a value of another kind begins; an address whose
+# end reads as a phone number with what follows does not count as such
+_PHONE_TAIL = r"(?![0-9]{1,3}\.[0-9]{1,3}\.[0-9]{3}\.[0-9]{3}[ -][0-9]{4}" + END + ")"
+PATTERNS["card"] = EDGE + r"(?=[0-9](?:[ -]?[0-9]){12})[0-9]++" + END + r"(?:[ -](?!" + "|".join(_PHONE_TAIL * (kind == "ip") + p for kind, p in PATTERNS.items()) + r")[0-9]++" + END + r")*+"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: Numbers of an issuer's length and first digits.
+ISSUED = r"^(?:4(?:[0-9]{12}|[0-9]{15}|[0-9]{18})|5[0-9]{15}|2[2-7][0-9]{14}|3[47][0-9]{13}|3[0689][0-9]{12}|35[0-9]{14}|6[0-9]{15,18})$"
+#: How issuers group them.
+GROUPED = r"^(?:[0-9]+|(?:[0-9]{4} ){3}[0-9]{4}(?: [0-9]{3})?|[0-9]{4} [0-9]{6} [0-9]{4,5}|[0-9]{6} [0-9]{13})$"
 FIRST_DAY, DAYS = "1800-01-01", (189, 773)  # 146097 days of the Gregorian cycle
+LATE_DAYS = (9, 9833)  # 88497 of them are after the 12th of their month
 
 
 def _let(value: Column, use) -> Column:
@@ -108,25 +119,109 @@ def _luhn_sum(digits: Column) -> Column:
     return F.aggregate(weights, F.lit(0), lambda total, d: total + d)
 
 
-def _card(value: Column, key: str) -> Column:
-    def use(digits: Column) -> Column:
-        n = F.length(digits)
-        body = _permuted_digits(F.substring(digits, F.lit(2), n - 2), key, "card")
+def _card(digits: Column, key: str) -> Column:
+    """The pseudonym of a card number without separators."""
+    n = F.length(digits)
+    body = _permuted_digits(F.substring(digits, F.lit(2), n - 2), key, "card")
 
-        def closed(front: Column) -> Column:
-            check = F.pmod(10 - F.pmod(_luhn_sum(F.concat(front, F.lit("0"))), F.lit(10)), F.lit(10))
-            return _in_format(value, F.concat(front, check.cast("string")))
+    def closed(front: Column) -> Column:
+        check = F.pmod(10 - F.pmod(_luhn_sum(F.concat(front, F.lit("0"))), F.lit(10)), F.lit(10))
+        return F.concat(front, check.cast("string"))
 
-        new = _let(F.concat(F.substring(digits, 1, 1), body), closed)
-        return F.when(F.pmod(_luhn_sum(digits), F.lit(10)) == 0, new).otherwise(value)
+    return _let(F.concat(F.substring(digits, 1, 1), body), closed)
 
-    return _let(_digits(value), use)
+
+def _joined(groups: Column, at: Column, size: Column) -> Column:
+    return F.array_join(F.slice(groups, at + 1, size), "")
+
+
+def _card_stretches(groups: Column) -> Column:
+    """Per group, the stretches of whole groups from it on that are card numbers: how many groups,
+    and whether in an issuer's form; the preferred one first."""
+
+    def of(_: Column, i: Column) -> Column:
+        sizes = F.sequence(F.lit(1), F.least(F.lit(19), F.size(groups) - i))
+        tried = F.transform(sizes, lambda k: F.struct(k.alias("size"), _joined(groups, i, k).alias("digits")))
+        valid = F.filter(tried, lambda t: F.length(t["digits"]).between(13, 19) & (F.pmod(_luhn_sum(t["digits"]), F.lit(10)) == 0))
+        ranked = lambda t: F.struct((F.regexp_like(t["digits"], F.lit(ISSUED)) & F.regexp_like(F.array_join(F.slice(groups, i + 1, t["size"]), " "), F.lit(GROUPED))).alias("issued"), (F.length(t["digits"]) == 16).alias("usual"), t["size"].alias("size"))
+        return F.sort_array(F.transform(valid, ranked), asc=False)
+
+    return F.transform(groups, of)
+
+
+def _card_pieces(found: Column) -> Column:
+    """Pieces of a run, in order: the chosen stretches, and groups that only others hold."""
+
+    def step(state: Column, i: Column) -> Column:
+        here = F.element_at(found, i + 1)
+        later = lambda t: F.exists(F.slice(found, i + 2, t["size"] - 1), lambda others: F.exists(others, lambda o: o["issued"]))
+        allowed = F.filter(here, lambda t: t["issued"] | ((i >= state["issued"]) & ~later(t)))
+
+        def after(allowed: Column) -> Column:
+            free = i >= state["until"]
+            card = F.struct(i.alias("at"), F.try_element_at(allowed, F.lit(1))["size"].alias("size"), F.lit(True).alias("card"))
+            rest = F.struct(i.alias("at"), F.lit(1).alias("size"), F.lit(False).alias("card"))
+            taken = free & (F.size(allowed) > 0)
+            pieces = F.when(taken, F.concat(state["pieces"], F.array(card))).when(free & (i < state["reach"]), F.concat(state["pieces"], F.array(rest))).otherwise(state["pieces"])
+            furthest = lambda these, old: F.greatest(old, i + F.coalesce(F.array_max(F.transform(these, lambda t: t["size"])), F.lit(0)))
+            return F.struct(
+                pieces.alias("pieces"),
+                F.when(taken, i + card["size"]).otherwise(state["until"]).alias("until"),
+                furthest(allowed, state["reach"]).alias("reach"),
+                furthest(F.filter(here, lambda t: t["issued"]), state["issued"]).alias("issued"),
+            )
+
+        return F.when(F.size(here) == 0, F.when((i >= state["until"]) & (i < state["reach"]), after(allowed=here)).otherwise(state)).otherwise(_let(allowed, after))
+
+    none = F.array().cast("array<struct<at:int,size:int,card:boolean>>")
+    start = F.struct(none.alias("pieces"), *[F.lit(0).alias(name) for name in ("until", "reach", "issued")])
+    return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), start, step, lambda s: s["pieces"])
+
+
+def _cards(value: Column, key: str) -> Column:
+    """A run of digit groups with its card numbers replaced, and how many changed."""
+
+    def written(groups: Column, pieces: Column) -> Column:
+        end = lambda p: p["at"] + p["size"]
+
+        def piece(p: Column, i: Column) -> Column:
+            before = F.when(i == 0, F.lit(0)).otherwise(end(F.try_element_at(pieces, i)))
+            old = _joined(groups, p["at"], p["size"])
+            new = F.when(p["card"], _card(old, key)).otherwise(_permuted_digits(old, key, "rest"))
+            kept = _joined(groups, before, p["at"] - before)
+            return _let(new, lambda new: F.struct(F.concat(kept, new).alias("digits"), (p["card"] & (new != old)).cast("int").alias("n")))
+
+        tail = end(F.element_at(pieces, -1))
+
+        def whole(parts: Column) -> Column:
+            digits = F.concat(F.array_join(F.transform(parts, lambda p: p["digits"]), ""), _joined(groups, tail, F.size(groups) - tail))
+            return F.struct(_in_format(value, digits).alias("new"), F.aggregate(parts, F.lit(0), lambda total, p: total + p["n"]).alias("n"))
+
+        return _let(F.transform(pieces, piece), whole)
+
+    def use(groups: Column) -> Column:
+        unchanged = F.struct(value.alias("new"), F.lit(0).alias("n"))
+        return _let(_let(_card_stretches(groups), _card_pieces), lambda pieces: F.when(F.size(pieces) > 0, written(groups, pieces)).otherwise(unchanged))
+
+    return _let(F.regexp_extract_all(value, F.lit("[0-9]+"), F.lit(0)), use)
+
+
+def _late_day(number: Column) -> Column:
+    """The day of a number among the days after the 12th of their month."""
+    first = F.lit(FIRST_DAY).cast("date")
+    before = lambda month: F.datediff(F.add_months(first, month), first) - 12 * month
+    guess = _whole(number * 4800, _big(LATE_DAYS[0] * LATE_DAYS[1])).cast("int")
+    month = F.array_max(F.filter(F.sequence(F.greatest(guess - 3, F.lit(0)), guess + 3), lambda m: before(m) <= number))
+    return _let(month, lambda m: F.date_add(F.add_months(first, m), (number - before(m) + 12).cast("int")))
 
 
 def _date(value: Column, key: str) -> Column:
     form = F.when(F.substring(value, 5, 1) == "-", "yyyy-MM-dd").when(F.substring(value, 3, 1) == "/", "dd/MM/yyyy").otherwise("dd.MM.yyyy")
-    parts = F.when(F.substring(value, 5, 1) == "-", value).otherwise(F.concat_ws("-", F.substring(value, 7, 4), F.substring(value, 4, 2), F.substring(value, 1, 2)))
+    one, two, year = F.substring(value, 1, 2), F.substring(value, 4, 2), F.substring(value, 7, 4)
+    parts = F.when(F.substring(value, 5, 1) == "-", value).otherwise(F.concat_ws("-", year, two, one))
     day = parts.try_cast("date")
+    other = F.when(form == "dd/MM/yyyy", F.concat_ws("-", year, one, two)).try_cast("date")  # MM/dd/yyyy
+    since = lambda day: F.datediff(day, F.lit(FIRST_DAY).cast("date")).cast("bigint")
 
     def use(number: Column) -> Column:
         first, second = map(_big, DAYS)
@@ -134,7 +229,13 @@ def _date(value: Column, key: str) -> Column:
         written = F.when(form == "yyyy-MM-dd", F.date_format(moved, "yyyy-MM-dd")).when(form == "dd/MM/yyyy", F.date_format(moved, "dd/MM/yyyy")).otherwise(F.date_format(moved, "dd.MM.yyyy"))
         return F.when(number.between(0, DAYS[0] * DAYS[1] - 1), written).otherwise(value)
 
-    return _let(F.datediff(day, F.lit(FIRST_DAY).cast("date")).cast("bigint"), use)
+    def late(number: Column) -> Column:
+        first, second = map(_big, LATE_DAYS)
+        moved = _let(permuted(number, first, second, key, "late"), _late_day)
+        return F.when(number.between(0, LATE_DAYS[0] * LATE_DAYS[1] - 1), F.date_format(moved, "MM/dd/yyyy")).otherwise(value)
+
+    months = (F.year(other) - 1800) * 12 + F.month(other)
+    return F.when(day.isNull() & other.isNotNull(), _let(since(other) - 12 * months, late)).otherwise(_let(since(day), use))
 
 
 def _ip(value: Column, key: str) -> Column:
@@ -187,7 +288,7 @@ def _email(value: Column, key: str) -> Column:
     return F.concat(F.lit("u"), local, F.lit("@"), F.substring_index(value, "@", -1))
 
 
-WRITE = {"email": _email, "date": _date, "ip": _ip, "ssn": _ssn, "phone": _phone, "card": _card}
+WRITE = {"email": _email, "date": _date, "ip": _ip, "ssn": _ssn, "phone": _phone}
 
 
 def _kind(value: Column) -> Column:
@@ -204,16 +305,17 @@ def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: s
     rows = rows.select("doc_id", "text", F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("values"))
 
     def replaced(value: Column, kind: Column) -> Column:
-        new = value
+        new = _cards(value, key)
         for name, write in WRITE.items():
-            new = F.when(kind == name, write(value, key)).otherwise(new)
+            one = lambda new: F.struct(new.alias("new"), (new != value).cast("int").alias("n"))
+            new = F.when(kind == name, _let(write(value, key), one)).otherwise(new)
         return new
 
     def both(value: Column) -> Column:
-        return _let(_kind(value), lambda kind: F.struct(kind.alias("kind"), value.alias("old"), replaced(value, kind).alias("new")))
+        return _let(_kind(value), lambda kind: _let(replaced(value, kind), lambda r: F.struct(kind.alias("kind"), r["new"].alias("new"), r["n"].alias("n"))))
 
     rows = rows.withColumn("found", F.transform("values", both))
     gaps = F.split("text", ANY, -1)
     whole = F.array_join(F.zip_with(gaps, F.col("found"), lambda g, f: F.concat(g, F.coalesce(f["new"], F.lit("")))), "")
-    count = lambda name: F.size(F.filter("found", lambda f: (f["kind"] == name) & (f["old"] != f["new"]))).cast("bigint").alias(f"n_{name}")
-    return rows.select("doc_id", F.when(F.size("values") > 0, whole).otherwise(F.col("text")).alias("text"), *map(count, WRITE))
+    count = lambda name: F.aggregate(F.filter("found", lambda f: f["kind"] == name), F.lit(0), lambda total, f: total + f["n"]).cast("bigint").alias(f"n_{name}")
+    return rows.select("doc_id", F.when(F.size("values") > 0, whole).otherwise(F.col("text")).alias("text"), *map(count, PATTERNS))

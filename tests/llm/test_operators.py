@@ -525,3 +525,37 @@ def test_page_edges(spark):
     got = htmltext.page_texts(pages).collect()
     assert sorted(r["n_chars"] for r in got) == [0, 0, 20000 + 2 * 19999]
     assert htmltext.page_texts(pages.where("page_id < 0")).count() == 0
+
+
+def _luhn(digits):
+    return sum(sum(divmod(int(d) * (1 + i % 2), 10)) for i, d in enumerate(reversed(digits))) % 10 == 0
+
+
+def test_pii_finds_cards_beside_other_digits_and_american_dates(spark):
+    card, other = "4111 1111 1111 1111", "5500-0055-5555-5559"
+    beside = ["card {} 05/27", "{} 123", "12 {}", "12-{} 0527 123.", "{} 03/05/1980", "{} 555-123-4567", "{} 123-45-6789", "{} 10.0.0.1", "{} 123@example.com", f"{other} {{}}", "1 2 3 4 5 {} 6 7 8"]
+    beside = [b.format(c) for b in beside for c in (card, card.replace(" ", ""), card.replace(" ", "-"))]
+    rows = pii.pseudonymised(spark.createDataFrame(list(enumerate(beside)), "doc_id long, text string"), "k").orderBy("doc_id").collect()
+    plain = re.sub(r"\D", "", pii.pseudonymised(spark.createDataFrame([(1, card)], "doc_id long, text string"), "k").first()["text"])
+    for old, r in zip(beside, rows):
+        new = re.sub("[ -]", "", r["text"])
+        assert "4111111111111111" not in new and plain in new and _luhn(plain), (old, r["text"])
+        assert re.sub("[0-9]", "", old) == re.sub("[0-9]", "", r["text"]) or "@" in old
+        assert r["n_card"] == 1 + (other in old) and ("555555555559" in new) is False
+        assert all(r[f"n_{kind}"] == 1 for kind, value in (("date", "03/05/1980"), ("phone", "555-123-4567"), ("ssn", "123-45-6789"), ("ip", "10.0.0.1"), ("email", "@")) if value in old)
+    # what follows the card and is no value stays
+    assert rows[0]["text"].endswith(" 05/27") and rows[3]["text"].endswith(" 123") and rows[6]["text"].startswith("12 ")
+
+    days = [f"{m:02}/{d:02}/{y}" for y in (1800, 1980, 2000, 2199) for m in range(1, 13) for d in range(13, 32)]
+    got = pii.pseudonymised(spark.createDataFrame([(i, f"on {d}.") for i, d in enumerate(days)], "doc_id long, text string"), "k").orderBy("doc_id").collect()
+    for d, r in zip(days, got):
+        real = int(d[3:5]) <= (29 if int(d[6:]) == 2000 or d[6:] == "1980" else 28) or d[:2] != "02" and (int(d[3:5]) <= 30 or d[:2] in ("01", "03", "05", "07", "08", "10", "12"))
+        assert r["n_date"] == (r["text"] != f"on {d}.") == real, (d, r["text"])
+        assert not real or re.fullmatch(r"on (0[1-9]|1[0-2])/(1[3-9]|2\d|3[01])/(1[89]|20|21)\d\d\.", r["text"])
+    assert len({r["text"] for r in got}) == len(days)
+
+
+def test_pii_numbers_days_after_the_twelfth_one_to_one(spark):
+    late = spark.range(9 * 9833).select(F.col("id"), pii._late_day(F.col("id")).alias("day"))
+    assert late.select("day").distinct().count() == 9 * 9833 and late.where(F.dayofmonth("day") <= 12).count() == 0
+    assert late.agg(F.min("day").cast("string"), F.max("day").cast("string")).first()[:] == ("1800-01-13", "2199-12-31")
