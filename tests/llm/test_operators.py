@@ -559,3 +559,38 @@ def test_pii_numbers_days_after_the_twelfth_one_to_one(spark):
     late = spark.range(9 * 9833).select(F.col("id"), pii._late_day(F.col("id")).alias("day"))
     assert late.select("day").distinct().count() == 9 * 9833 and late.where(F.dayofmonth("day") <= 12).count() == 0
     assert late.agg(F.min("day").cast("string"), F.max("day").cast("string")).first()[:] == ("1800-01-13", "2199-12-31")
+
+
+def test_licenses_within_lines_and_across_unknown_lines():
+    known = licenses.Templates(licenses.TEMPLATES, 0.8)
+    prose = "Some longer prose about the weather of last year, told by an old man. "
+    inline = f"{prose}Licensed under the MIT License. {prose}"
+    assert [(n, d, inline[a:b]) for n, d, a, b in known.notices(inline)] == [("MIT", 1.0, "Licensed under the MIT License.")]
+    mit = next(t for name, t in licenses.TEMPLATES if t.startswith("Permission is hereby granted, free"))
+    one_line = f"{prose * 30}{mit} {prose * 30}\u0130"
+    assert [(n, d, one_line[a:b]) for n, d, a, b in known.notices(one_line)] == [("MIT", 1.0, mit)]
+    half = len(mit) // 2
+    halves = mit[: mit.index(" ", half)] + "\nfoo\nbar baz\n" + mit[mit.index(" ", half) + 1 :]
+    (name, d, a, b), = known.notices(f"{prose}\n{halves}\n{prose}")
+    assert name == "MIT" and d > 0.97 and (f"{prose}\n{halves}\n{prose}")[a:b] == halves
+    single = mit.replace("NONINFRINGEMENT. ", "\nNONINFRINGEMENT.\n")
+    assert [(n, d) for n, d, _, _ in known.notices(single)] == [("MIT", 1.0)]
+
+
+def test_licenses_match_every_window_by_brute_force():
+    rng = random.Random(5)
+    known = licenses.Templates((("A", "a b c d e f"), ("B", "c d c d g")), 0.8)
+    for _ in range(300):
+        words = rng.choices("abcdefgx", k=14) if rng.random() < 0.3 else [w if rng.random() < 0.85 else "x" for w in rng.choice(("xxabcdefxx", "xcdcdgxabcdef", "abcdcdgef"))]
+        text = "".join(w + rng.choice(" \n") for w in words)
+        every = [known.best(licenses.bigrams(words[i:j]), j - i - 1) for i in range(len(words)) for j in range(i + 2, len(words) + 1)]
+        got, best = known.notices(text), max((e[0] for e in every if e), default=0)
+        assert bool(got) == bool(best) and all(known.best(licenses.bigrams(licenses.words_of(text[a:b])), len(licenses.words_of(text[a:b])) - 1)[0] == d for _, d, a, b in got)
+
+
+def test_licenses_know_the_standard_notices():
+    known = licenses.Templates(licenses.TEMPLATES, 0.8)
+    for start, name in (("Redistribution and use", "BSD-3-Clause"), ("Redistribution and use", "BSD-2-Clause"), ("This program is free software;", "GPL-2.0"), ("This program is free software:", "GPL-3.0")):
+        for notice in [t for n, t in licenses.TEMPLATES if n == name and t.startswith(start)][-1:]:
+            (got, d, _, _), = known.notices(f"Some prose, then {notice} And more of it.")  # a line that matches as a whole
+            assert got == name and d > 0.95
