@@ -35,14 +35,18 @@ ASIDE = {"nav", "footer", "aside", "form", "button", "menu", "dialog", "fieldset
 ENDS_P = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul"}
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}}
 LIMITS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}, "tbody": {"table"}}
-#: Words in a class or id that mark a part as something else than the article.
-MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side-?bar|menu|nav|navbar|navigation|breadcrumbs?|footer|masthead|topbar|toolbar"
+#: Names in a class or id that mark a part as something else than the article.
+_NAMES = (
+    r"(?:ad|ads|adv|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side-?bar|menu|nav|navbar|navigation|breadcrumbs?|footer|masthead|topbar|toolbar"
     r"|comments?|comment-?list|replies|disqus|respond|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login"
-    r"|share|sharing|social|related|recommend\w*|widget|pagination|pager|skip-?link|copyright|disclaimer)(?:$|[\s_-])",
-    re.IGNORECASE,
+    r"|share|sharing|social|related|recommend\w*|widget|pagination|pager|skip-?link|copyright|disclaimer)"
 )
-HEADS = re.compile(r"(?:^|[\s_-])(?:site|page|top|global)[_-]?header(?:$|[\s_-])|^header$", re.IGNORECASE)
+#: Names that say where a part is or whose, and ends that speak of a state or a layout.
+_PLACE = r"(?:site|page|main|top|bottom|left|right|side|primary|secondary|global|header|footer|nav|user|reader|post|entry|article|blog|google|cookie|social|mobile|sub)[_-]"
+_STATE = r"(?!.*[_-](?:enabled|disabled|active|inactive|open|opened|closed|visible|hidden|free|on|off|layout|page|content|body|wrapper|container|left|right|none)$)"
+MARKED = re.compile(rf"(?:{_PLACE})*{_NAMES}(?:s|[_-](?:left|right|wrapper|container|content|body))?$|{_STATE}(?:{_PLACE})*{_NAMES}[_-]", re.IGNORECASE)
+OF_READERS = re.compile(r"comment|replies|disqus|respond", re.IGNORECASE)
+HEADS = re.compile(rf"{_STATE}(?:site|page|top|global)[_-]?header(?:$|[_-])", re.IGNORECASE)
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "form"}
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
@@ -52,10 +56,10 @@ ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'
 
 
 class Element:
-    __slots__ = ("aside", "chars", "depth", "link_chars", "links", "parent", "tag", "path", "chosen")
+    __slots__ = ("aside", "chars", "depth", "link_chars", "links", "marked", "parent", "tag", "path", "chosen")
 
     def __init__(self, tag: str, parent: Element | None, aside: bool):
-        self.tag, self.parent, self.aside = tag, parent, aside
+        self.tag, self.parent, self.aside, self.marked = tag, parent, aside, ""
         self.path = (parent.path + "/" if parent else "") + tag
         self.depth = parent.depth + 1 if parent else 0
         self.chars = self.link_chars = self.links = 0
@@ -72,21 +76,35 @@ def _is_aside(tag: str, attributes: str, parents: list[Element]) -> bool:
         return False
     for name, *values in ATTRIBUTE.findall(attributes):
         value, name = next(filter(None, values), ""), name.lower()
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
-            if any(MARKED.search(part) for part in value.split()) or HEADS.search(value) and not inside:
-                return True
-        elif name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+        if name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
             return True
     return False
 
 
-def _read(page: str) -> list[tuple[Element, str, int]]:
-    """Text nodes in page order: their element, raw text and number of the block they are in."""
+def _mark(tag: str, attributes: str, parents: list[Element]) -> str:
+    """The class or id that marks an element as something else than the article, or nothing."""
+    if tag in ("html", "body", "article", "main") or "=" not in attributes:
+        return ""
+    for name, *values in ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id"):
+            value = next(filter(None, values), "")
+            for part in value.split():
+                if MARKED.match(part):
+                    return part
+                if (HEADS.match(part) or value.lower() == "header") and not any(e.tag in ("article", "main") for e in parents):
+                    return part
+    return ""
+
+
+def _read(page: str) -> tuple[list[tuple[Element, str, int]], list[Element]]:
+    """Text nodes in page order (their element, raw text and number of the block they are in), and
+    the elements, parents first."""
     nodes: list[tuple[Element, str, int]] = []
     root = Element("#", None, False)
     stack, block, at, low = [root], 0, 0, None
+    elements: list[Element] = []
 
     def close_to(depth: int) -> None:
         nonlocal block
@@ -157,8 +175,10 @@ def _read(page: str) -> list[tuple[Element, str, int]]:
             continue
         if tag not in INLINE:
             block += 1
-        stack.append(Element(tag, stack[-1], stack[-1].aside or _is_aside(tag, found[3], stack)))
-    return nodes
+        elements.append(Element(tag, stack[-1], stack[-1].aside or _is_aside(tag, found[3], stack)))
+        elements[-1].marked = _mark(tag, found[3], stack)
+        stack.append(elements[-1])
+    return nodes, elements
 
 
 def _smooth(values: list[float]) -> list[float]:
@@ -171,18 +191,61 @@ def _smooth(values: list[float]) -> list[float]:
     return out
 
 
-def main_text(page: str, spread: float = 0.8, share: float = 0.9) -> str:
-    """The page's main text, its blocks joined by two line feeds."""
-    nodes = [(e, html.unescape(t), b) for e, t, b in _read(page)]
-    solid = [(e, t, len(" ".join(t.split()))) for e, t, _ in nodes if not e.aside and t.strip()]
-    if not solid:
-        return ""
+def _chosen(solid: list[tuple[Element, str, int]], spread: float) -> list[bool]:
+    """Which text nodes are content, by the smoothed ratios of their paths."""
     texts: dict[str, list[int]] = {}
     for e, t, size in solid:
         of = texts.setdefault(e.path, [0, 0, 0])
         of[0] += size
         of[1] += len(PUNCTUATION.findall(t))
         of[2] += 1
+    text_ratio = _smooth([texts[e.path][0] / texts[e.path][2] for e, _, _ in solid])
+    mark_ratio = _smooth([texts[e.path][1] / texts[e.path][2] for e, _, _ in solid])
+    fused = [t * (1 + m) for t, m in zip(text_ratio, mark_ratio)]
+    mean = sum(fused) / len(fused)
+    least = min(spread * math.sqrt(sum((f - mean) ** 2 for f in fused) / len(fused)), max(fused))
+    return [f >= least for f in fused]
+
+
+def _leave_out_marked(nodes: list[tuple[Element, str, int]], elements: list[Element], spread: float) -> None:
+    """Marked elements become asides with all in them, but for those that hold the page's article:
+    its main, most of the text of its articles, or, in an article or where there is none, most of its
+    chosen text. For remarks of readers, which may be longer than the article, most is nearly all."""
+    if not any(e.marked for e in elements):
+        return
+    solid = [(e, t, len(" ".join(t.split()))) for e, t, _ in nodes if not e.aside and t.strip()]
+    held: dict[Element, list[int]] = {}  # characters in articles, characters chosen
+    in_articles = in_chosen = 0
+    for (e, _, size), chosen in zip(solid, _chosen(solid, spread) if solid else ()):
+        line = list(_line(e))
+        article = any(up.tag in ("article", "main") for up in line)
+        in_articles += size * article
+        in_chosen += size * chosen
+        for up in line:
+            if up.marked:
+                sums = held.setdefault(up, [0, 0])
+                # of an article, what is within the marked part counts where the article is
+                sums[0] += size * any(a.tag in ("article", "main") for a in line[: line.index(up)])
+                sums[1] += size * chosen
+    mains = {up for e in elements if e.tag == "main" and not e.aside for up in _line(e.parent)}
+    for e in elements:
+        if e.marked and e not in mains:
+            articles, chosen = held.get(e, (0, 0))
+            most = 0.95 if OF_READERS.search(e.marked) else 0.5
+            inside = any(up.tag in ("article", "main") for up in _line(e))
+            holds = chosen > most * in_chosen if inside or not in_articles else articles > most * in_articles
+            e.aside = e.aside or not holds
+        e.aside = e.aside or e.parent.aside
+
+
+def main_text(page: str, spread: float = 0.8, share: float = 0.9) -> str:
+    """The page's main text, its blocks joined by two line feeds."""
+    read, elements = _read(page)
+    nodes = [(e, html.unescape(t), b) for e, t, b in read]
+    _leave_out_marked(nodes, elements, spread)
+    solid = [(e, t, len(" ".join(t.split()))) for e, t, _ in nodes if not e.aside and t.strip()]
+    if not solid:
+        return ""
     for e, _, size in solid:
         link = e
         while link and link.tag != "a":
@@ -193,12 +256,7 @@ def main_text(page: str, spread: float = 0.8, share: float = 0.9) -> str:
             up.link_chars += size if link else 0
             up.links += bool(link)
             up = up.parent
-    text_ratio = _smooth([texts[e.path][0] / texts[e.path][2] for e, _, _ in solid])
-    mark_ratio = _smooth([texts[e.path][1] / texts[e.path][2] for e, _, _ in solid])
-    fused = [t * (1 + m) for t, m in zip(text_ratio, mark_ratio)]
-    mean = sum(fused) / len(fused)
-    least = min(spread * math.sqrt(sum((f - mean) ** 2 for f in fused) / len(fused)), max(fused))
-    chosen = [(e, size) for (e, _, size), f in zip(solid, fused) if f >= least]
+    chosen = [(e, size) for (e, _, size), content in zip(solid, _chosen(solid, spread)) if content]
     total = sum(size for _, size in chosen)
     for e, size in chosen:
         up = e

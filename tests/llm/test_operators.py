@@ -594,3 +594,22 @@ def test_licenses_know_the_standard_notices():
         for notice in [t for n, t in licenses.TEMPLATES if n == name and t.startswith(start)][-1:]:
             (got, d, _, _), = known.notices(f"Some prose, then {notice} And more of it.")  # a line that matches as a whole
             assert got == name and d > 0.95
+
+
+STORY = "<p>First paragraph, with some words, and more of them.</p><p>Second, longer paragraph; it goes on, and on, and on.</p>"
+STORY_TEXT = "First paragraph, with some words, and more of them.\n\nSecond, longer paragraph; it goes on, and on, and on."
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "no-comments", "content with-menu", "article-share-enabled", "sidebar", "comments", "page-header"])
+def test_a_name_on_the_wrapper_does_not_drop_the_page(name):
+    for wrapped in (f"<article>{STORY}</article>", f"<main>{STORY}</main>", STORY):
+        page = f"<body><div class='{name}'>{wrapped}<div class='ad'>Buy this.</div></div><footer>Imprint.</footer></body>"
+        assert htmltext.main_text(page) == STORY_TEXT
+
+
+def test_marked_parts_beside_the_article_are_left_out():
+    for name in ("main-menu", "sidebar-left", "site-footer", "post-comments", "social-share", "ad_slot", "related"):
+        for part in ("<p>A remark, which is short.</p>", "<article>Another story.</article>"):
+            page = f"<body><div><article>{STORY}</article><div class='{name}'>{part}</div></div></body>"
+            assert htmltext.main_text(page) == STORY_TEXT
+    assert htmltext.main_text(f"<body><div>{STORY}<div id='comments'>{STORY * 3}</div></div></body>") == STORY_TEXT
