@@ -9,7 +9,7 @@ sidebars, notices, adverts, forms, scripts, comments of readers) or are lists of
 
 Defined cases: a null or empty page, or one without text, gives an empty text; broken markup is
 read as browsers do where it matters (unclosed tags end with their parent, a new paragraph ends
-the one before, an unclosed comment takes the rest); equal rows give equal results each; very
+the one before, a tag or text not allowed in the head ends it, an unclosed comment takes the rest); equal rows give equal results each; very
 long pages are read whole; an empty table gives no rows; other columns are ignored.
 """
 
@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from coinwharf.llm.common import text_slices
 
-RAW = {"script", "style", "noscript", "template", "iframe", "svg", "math", "object", "title", "textarea", "select", "canvas", "audio", "video", "head"}
+RAW = {"script", "style", "noscript", "template", "iframe", "svg", "math", "object", "title", "textarea", "select", "canvas", "audio", "video"}
+IN_HEAD = {"base", "basefont", "bgsound", "link", "meta", "noscript", "noframes", "script", "style", "template", "title"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark",
@@ -67,7 +68,7 @@ class Element:
 
 
 def _is_aside(tag: str, attributes: str, parents: list[Element]) -> bool:
-    if tag in ASIDE:
+    if tag in ASIDE or tag == "head":
         return True
     inside = any(e.tag in ("article", "main") for e in parents)
     if tag == "header" and not inside:
@@ -112,11 +113,30 @@ def _read(page: str) -> tuple[list[tuple[Element, str, int]], list[Element]]:
             block += 1
         del stack[depth:]
 
+    def raw_end(tag: str, at: int) -> int:
+        """Where the end tag of a raw element begins, or -1."""
+        nonlocal low
+        low = page.lower() if low is None else low
+        if len(low) != len(page):
+            ended = re.compile(f"</{tag}(?=[\\s/>]|$)", re.IGNORECASE).search(page, at)
+            return ended.start() if ended else -1
+        end = low.find(f"</{tag}", at)
+        while end >= 0 and not (low[(after := end + len(tag) + 2) : after + 1].isspace() or low[after : after + 1] in ("", "/", ">")):
+            end = low.find(f"</{tag}", after)
+        return end
+
+    def leave_head() -> None:
+        for depth in range(len(stack) - 1, 0, -1):
+            if stack[depth].tag == "head":
+                close_to(depth)
+
     while at < len(page):
         sign = page.find("<", at)
         if sign < 0:
             sign = len(page)
         if sign > at:
+            if stack[-1].tag == "head" and not page[at:sign].isspace():
+                leave_head()
             nodes.append((stack[-1], page[at:sign], block))
         if sign == len(page):
             break
@@ -130,6 +150,8 @@ def _read(page: str) -> tuple[list[tuple[Element, str, int]], list[Element]]:
             continue
         found = TAG.match(page, sign) or LOOSE_TAG.match(page, sign)
         if not found:
+            if stack[-1].tag == "head":
+                leave_head()
             nodes.append((stack[-1], "<", block))
             at = sign + 1
             continue
@@ -142,12 +164,13 @@ def _read(page: str) -> tuple[list[tuple[Element, str, int]], list[Element]]:
                 if tag in INLINE and stack[depth].tag not in INLINE:
                     break
             continue
+        if tag == "head":
+            if len(stack) > 1 + (stack[-1].tag == "html") or any(t.strip() for _, t, _ in nodes):
+                continue  # only the first part of a page is its head
+        elif tag not in IN_HEAD and stack[-1].tag == "head":
+            leave_head()
         if tag in RAW and not found[3].endswith("/"):
-            low = page.lower() if low is None else low
-            end = low.find(f"</{tag}", at) if len(low) == len(page) else -1
-            if end < 0:
-                ended = re.compile(f"</{tag}", re.IGNORECASE).search(page, at)
-                end = ended.start() if ended else -1
+            end = raw_end(tag, at)
             if end < 0:
                 at = len(page)
             else:
@@ -256,20 +279,40 @@ def main_text(page: str, spread: float = 0.8, share: float = 0.9) -> str:
             up.link_chars += size if link else 0
             up.links += bool(link)
             up = up.parent
-    chosen = [(e, size) for (e, _, size), content in zip(solid, _chosen(solid, spread)) if content]
+    content = _chosen(solid, spread)
+    in_links = [any(map(_link_list, _line(e))) for e, _, _ in solid]
+    if any(c and not links for c, links in zip(content, in_links)):
+        content = [c and not links for c, links in zip(content, in_links)]
+    chosen = [(e, size) for (e, _, size), c in zip(solid, content) if c]
     total = sum(size for _, size in chosen)
     for e, size in chosen:
         up = e
         while up:
             up.chosen += size
             up = up.parent
-    home = max((up for e, _ in chosen for up in _line(e) if up.chosen >= share * total), key=lambda up: up.depth)
+    home = inner = max((up for e, _ in chosen for up in _line(e) if up.chosen >= share * total), key=lambda up: up.depth)
+    if not any(up.tag in ("article", "main") for up in _line(home)):
+        heads = [up for e, _, _ in solid for up in _line(e) if up.tag == "h1"]
+        lines = [set(_line(e)) for e in {*heads, *(e for e, _ in chosen)}]
+        home = max(set.intersection(*lines), key=lambda up: up.depth)
     while home.parent and home.tag not in ("article", "main") and (home.tag in INLINE or home.tag in ("p", "li", "pre", "td", "h1", "h2", "h3", "h4", "h5", "h6") or any(up.tag in ("article", "main") for up in _line(home))):
         home = home.parent
+    # link lists go outside the chosen content: before it, or behind it in other elements
+    places = [i for i, c in enumerate(content) if c]
+    first, last = places[0], places[-1]
+    held = home.tag in ("article", "main")
+    dropped: set[Element] = set()
+    for i, (e, _, _) in enumerate(solid):
+        if in_links[i] and not held and not first <= i <= last:
+            line = list(_line(e))
+            within = i > last and inner in line and inner.tag not in ("#", "html", "body")
+            below = line[: line.index(home)] if home in line else []
+            if not within:
+                dropped.update(filter(_link_list, below))
     blocks: dict[int, list[str]] = {}
     for e, t, b in nodes:
         line = list(_line(e))
-        if e.aside or home not in line or any(_link_list(up) for up in line[: line.index(home)]):
+        if e.aside or home not in line or dropped and not dropped.isdisjoint(line[: line.index(home)]):
             continue
         blocks.setdefault(b, []).append(t)
     joined = (" ".join("".join(parts).split()) for parts in blocks.values())

@@ -613,3 +613,27 @@ def test_marked_parts_beside_the_article_are_left_out():
             page = f"<body><div><article>{STORY}</article><div class='{name}'>{part}</div></div></body>"
             assert htmltext.main_text(page) == STORY_TEXT
     assert htmltext.main_text(f"<body><div>{STORY}<div id='comments'>{STORY * 3}</div></div></body>") == STORY_TEXT
+
+
+LINKS = "<ul><li><a>One source</a></li><li><a>Two source</a></li><li><a>Three source</a></li></ul>"
+LINK_TEXT = "One source\n\nTwo source\n\nThree source"
+LONG_STORY = STORY * 20
+LONG_STORY_TEXT = "\n\n".join([STORY_TEXT] * 20)
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<html><head><title>T</title><meta name=a><body><header>Top</header>{STORY}</body>", STORY_TEXT),
+        (f"<head><title>T</title><link rel=x><div>{STORY}</div>", STORY_TEXT),
+        ("<head><script>var a = '</scripts>';</script>plain text", "plain text"),
+        (f"<head><title>T</title></head><body><style>a</styles> b</style>{STORY}</body>", STORY_TEXT),
+        (f"<html><head><style>a</style></head><body>{STORY}<head>x</body>", f"{STORY_TEXT}\n\nx"),
+        (f"<body><div><h1>A headline</h1></div><div><p>A lead, which says it all, in one sentence, not too long.</p></div><div>{LONG_STORY}</div></body>", f"A headline\n\nA lead, which says it all, in one sentence, not too long.\n\n{LONG_STORY_TEXT}"),
+        (f"<body><article>{STORY}{LINKS}</article></body>", f"{STORY_TEXT}\n\n{LINK_TEXT}"),
+        (f"<body><div>{LINKS}</div><div>{STORY}<h2>References</h2>{LINKS}</div><div>{LINKS}</div></body>", f"{STORY_TEXT}\n\nReferences\n\n{LINK_TEXT}"),
+        (f"<body>{LINKS}{STORY}{LINKS}{STORY}{LINKS}</body>", f"{STORY_TEXT}\n\n{LINK_TEXT}\n\n{STORY_TEXT}"),
+    ],
+)
+def test_open_heads_leads_and_lists_of_links(page, text):
+    assert htmltext.main_text(page) == text
