@@ -4,7 +4,9 @@ The base kinds are ``assign`` (a credential word, a sign and a value), ``access`
 ids) and ``hex`` (long hexadecimal runs). The kind ``guess`` adds values that stand in a wider
 credential context and would take at least ``least`` guesses (as a power of ten). Guesses are
 those of the cheapest segmentation of the value into common words, dates, repeats, keyboard
-walks and brute-force spans, found by dynamic programming over its end positions.
+walks and brute-force spans, found by dynamic programming over its end positions. After a sign the
+guesses alone decide; after a blank (``is``, ``bearer``) the value must also have two kinds of
+characters, as words of a sentence do not. A value partly held by base spans is added whole.
 
 Defined cases: a null text is empty and has no spans; equal rows give equal results each; very
 long values are segmented whole; an empty table gives no rows; other columns are ignored, and
@@ -33,7 +35,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 CONTEXT = re.compile(
     r"""(?<![A-Za-z])(?:pass(?:word|wd|phrase|code|key)?|pwd|(?:client[\x20_-]?|shared[\x20_-]?)?secret|(?:auth|access|refresh)?[\x20_-]?token"""
     r"""|(?:api|access|private|secret|signing|encryption)[\x20_-]?key|authorization|bearer|credentials?|login|pin[\x20_-]?code)"""
-    r"""["'`]?(?:\x20{0,3}(?::=|=>|[:=])\x20{0,3}|\x20is\x20|(?<=bearer)\x20)["'`]?([^\s"'`<>]{6,})""",
+    r"""["'`]?(?:\x20{0,3}(?::=|=>|[:=])\x20{0,3}|(?P<prose>\x20is\x20|(?<=bearer)\x20))["'`]?(?P<value>[^\s"'`<>]{6,})""",
     re.ASCII | re.IGNORECASE,
 )
 #: A text without any of these has no credential context.
@@ -123,6 +125,14 @@ def _mixed(value: str) -> bool:
     return sum((any(c.islower() for c in letters[1:]), any(c.isupper() for c in letters[1:]), any(c.isdigit() for c in letters))) >= 2 or any(c in "#$%&*+=@^~|\\" for c in letters)
 
 
+def _covered(start: int, end: int, spans: list[tuple[str, int, int]]) -> bool:
+    """Whether spans together hold all from start to end."""
+    for _, a, b in sorted(spans, key=lambda s: s[1]):
+        if a <= start < b:
+            start = b
+    return start >= end
+
+
 KINDS = ("assign", "access", "hex", "guess")
 
 
@@ -134,10 +144,11 @@ def find_secrets(text: str, least: float = LEAST_GUESSES) -> list[tuple[str, int
     spans += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     if marked:
         spans += [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
+        base = list(spans)
         for m in CONTEXT.finditer(text):
-            value = m[1].rstrip(".,;:!?)]}")
-            start, end = m.start(1), m.start(1) + len(value)
-            if len(value) >= 6 and not any(a < end and start < b for _, a, b in spans) and _mixed(value) and guesses(value) >= least:
+            value = m["value"].rstrip(".,;:!?)]}")
+            start, end = m.start("value"), m.start("value") + len(value)
+            if len(value) >= 6 and not _covered(start, end, [s for s in base if s[1] < end and start < s[2]]) and (not m["prose"] or _mixed(value)) and guesses(value) >= least:
                 spans.append(("guess", start, end))
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 

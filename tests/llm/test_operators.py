@@ -637,3 +637,15 @@ LONG_STORY_TEXT = "\n\n".join([STORY_TEXT] * 20)
 )
 def test_open_heads_leads_and_lists_of_links(page, text):
     assert htmltext.main_text(page) == text
+
+
+def test_guessed_values_beyond_base_spans_and_of_one_kind_of_characters():
+    text = "password: Abcdef1!xyz9Q#77 and more"
+    spans = secrets.find_secrets(text)
+    assert ("guess", 10, 26) in spans and secrets.masked(text, spans, "[X]") == "[X] and more"
+    held = "password: Abcdef1xyz9Q77 and more"
+    assert [kind for kind, _, _ in secrets.find_secrets(held)] == ["assign"]
+    for sign in ("=", ": ", " => ", " := "):
+        text = f"pwd{sign}qzkxvbnwtrplmhg"
+        assert secrets.find_secrets(text) == [("guess", 3 + len(sign), len(text))]
+    assert secrets.find_secrets("The passphrase is unfortunately lost, pwd=passwordpassword") == []
