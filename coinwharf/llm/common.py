@@ -69,6 +69,15 @@ def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> Data
     return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
 
 
+def with_row_keys(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows, written with a key each, and the key's column: ids may repeat or be null, and a
+    key that is not written may change when it is computed again."""
+    key = "row_key"
+    while key in map(str.lower, docs.columns):
+        key += "_"
+    return staged(docs.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
+
+
 def reach_workers(spark: SparkSession) -> None:
     """Sends this package to the executors where their path does not have it."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(coinwharf.__file__)))

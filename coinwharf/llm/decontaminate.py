@@ -25,7 +25,7 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from coinwharf.llm.common import id_and_text, text_slices, without_ids
+from coinwharf.llm.common import id_and_text, text_slices, with_row_keys, without_ids
 
 RATE = 0.1
 #: Characters of items in one block, which a worker holds as one automaton.
@@ -217,6 +217,7 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
 
 
 def without_benchmark(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents, all columns, that hold no item; rows without an id stay."""
-    found = benchmark_matches(docs, items, **options).select("doc_id")
-    return without_ids(docs, found, options.get("id_col", "doc_id"))
+    """The documents, all columns, that hold no item, each row by itself whatever its id."""
+    keyed, key = with_row_keys(docs)
+    found = benchmark_matches(keyed, items, **options | {"id_col": key}).select("doc_id")
+    return without_ids(keyed, found, key).drop(key)

@@ -20,7 +20,7 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from coinwharf.llm.common import without_ids
+from coinwharf.llm.common import with_row_keys, without_ids
 from coinwharf.session import staged
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -190,7 +190,6 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rou
 
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows, all columns, whose text is kept. Rows that share an id stay if one of them is
-    kept; rows without an id stay."""
-    judged = quality(docs, id_col, text_col).groupBy("doc_id").agg(F.max("kept").alias("kept"))
-    return without_ids(docs, judged.where("not kept").select("doc_id"), id_col)
+    """The rows, all columns, whose text is kept, each judged by itself whatever its id."""
+    keyed, key = with_row_keys(docs)
+    return without_ids(keyed, quality(keyed, key, text_col).where("not kept").select("doc_id"), key).drop(key)

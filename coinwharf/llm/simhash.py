@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from coinwharf.llm import golay
-from coinwharf.llm.common import hot_values, id_and_text, slices, without_ids
+from coinwharf.llm.common import hot_values, id_and_text, slices, with_row_keys, without_ids
 from coinwharf.llm.components import components
 from coinwharf.session import staged
 
@@ -166,15 +166,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row, all columns, of each group: of those with its smallest id the first by all
-    columns. Rows without an id stay, as they cannot be told apart."""
-    groups = staged(near_groups(docs, id_col, text_col, shingle, max_bits), "members")
-    left = without_ids(docs, groups.where("id <> group").select("id"), id_col)
-    again = groups.where("id = group").groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select("id")
-    again = staged(again, "again")
-    if again.isEmpty():
-        return left
-    single = without_ids(left, again, id_col)
-    several = left.join(again, left[id_col] == again["id"], "left_semi")
-    first = several.groupBy(id_col).agg(F.min(F.struct(*several.columns)).alias("row")).select("row.*")
-    return single.unionByName(first.select(*single.columns))
+    """One row, all columns, of each group: the one with its smallest id, of several the first
+    written. A row without an id stays only where no row of its group has one."""
+    keyed, key = with_row_keys(docs)
+    groups = near_groups(keyed, key, text_col, shingle, max_bits).select("id", "group")
+    named = keyed.select(F.col(key).alias("row"), F.col(id_col).alias("name"))
+    order = F.struct(F.col("name").isNull().alias("unnamed"), "name", "id")
+    members = staged(groups.join(named, groups["id"] == named["row"]).select("id", "group", order.alias("place")), "members")
+    first = members.groupBy("group").agg(F.min("place")["id"].alias("first")).select("first")
+    gone = members.select("id").join(first, members["id"] == first["first"], "left_anti")
+    return without_ids(keyed, gone, key).drop(key)

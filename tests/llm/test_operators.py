@@ -649,3 +649,17 @@ def test_guessed_values_beyond_base_spans_and_of_one_kind_of_characters():
         text = f"pwd{sign}qzkxvbnwtrplmhg"
         assert secrets.find_secrets(text) == [("guess", 3 + len(sign), len(text))]
     assert secrets.find_secrets("The passphrase is unfortunately lost, pwd=passwordpassword") == []
+
+
+def test_stages_decide_on_rows_and_not_on_ids(spark, documents):
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string, row_key string")
+    of = lambda df: sorted(r["row_key"] for r in df.collect())
+    x, y = "alpha beta gamma delta epsilon zeta eta", "one whole other text about rivers and hills far away"
+    assert of(simhash.one_of_each_group(frame([(3, x, "a"), (5, x, "b"), (5, y, "c"), (None, x, "d"), (None, y + " z", "e"), (None, y + " z", "f")]))) in (["a", "c", "e"], ["a", "c", "f"])
+    assert of(simhash.one_of_each_group(frame([(9, x, "a"), (2, x, "b"), (4, x, "c")]))) == ["b"]
+    items = spark.createDataFrame([(1, x)], "item_id long, text string")
+    assert of(decontaminate.without_benchmark(frame([(5, x, "a"), (5, y, "b"), (None, f"so {x} too", "c"), (None, y, "d")]), items)) == ["b", "d"]
+    judged = quality.quality(documents)
+    good, bad = (documents.join(judged.where(kept).select("doc_id"), "doc_id").select("text").first()[0] for kept in ("kept", "not kept"))
+    several = frame([(100_000 + i, r["text"], "x") for i, r in enumerate(documents.select("text").collect())] + [(5, good, "a"), (5, bad, "b"), (None, good, "c"), (None, bad, "d")])
+    assert [k for k in of(quality.kept_documents(several)) if k != "x"] == ["a", "c"]
