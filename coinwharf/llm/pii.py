@@ -15,7 +15,9 @@ and pseudonyms are valid themselves:
 * phone numbers: North American ones permute area, exchange and line within what is allowed,
   others all digits after the first two.
 
-An e-mail address keeps its domain; its local part is a keyed digest.
+An e-mail address keeps its domain, of at most 127 labels as names have; its local part is a keyed
+digest of 96 bits. No pattern repeats a group without a bound unless it never steps back, so the
+depth of a match does not grow with the text.
 
 Defined cases: a null text is empty; numbers that fail their check stay; equal values get equal
 pseudonyms in all rows; very long texts are replaced whole; an empty table gives no rows; other
@@ -30,7 +32,7 @@ ROUNDS = 10
 EDGE, END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){0,125}\.[A-Za-z]{2,}",
     "date": EDGE + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})" + END,
     "ip": r"(?<![0-9A-Za-z.])" + OCTET + r"(?:\." + OCTET + r"){3}(?![0-9A-Za-z]|\.[0-9])",
     "ssn": EDGE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + END,
@@ -46,6 +48,9 @@ ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 ISSUED = r"^(?:4(?:[0-9]{12}|[0-9]{15}|[0-9]{18})|5[0-9]{15}|2[2-7][0-9]{14}|3[47][0-9]{13}|3[0689][0-9]{12}|35[0-9]{14}|6[0-9]{15,18})$"
 #: How issuers group them.
 GROUPED = r"^(?:[0-9]+|(?:[0-9]{4} ){3}[0-9]{4}(?: [0-9]{3})?|[0-9]{4} [0-9]{6} [0-9]{4,5}|[0-9]{6} [0-9]{13})$"
+#: Groups of a digit run that are gone through at a time; sets the speed only.
+BLOCK = 1000
+STRETCHES = "array<array<struct<issued:boolean,usual:boolean,size:int>>>"
 FIRST_DAY, DAYS = "1800-01-01", (189, 773)  # 146097 days of the Gregorian cycle
 LATE_DAYS = (9, 9833)  # 88497 of them are after the 12th of their month
 
@@ -131,22 +136,27 @@ def _card(digits: Column, key: str) -> Column:
     return _let(F.concat(F.substring(digits, 1, 1), body), closed)
 
 
+def _part(array: Column, at: Column, size: Column) -> Column:
+    """Some elements, by their places: ``slice`` goes through the whole array for each call."""
+    return F.when(size > 0, F.transform(F.sequence(at + 1, at + F.greatest(size, F.lit(1))), lambda i: F.element_at(array, i)))
+
+
 def _joined(groups: Column, at: Column, size: Column) -> Column:
-    return F.array_join(F.slice(groups, at + 1, size), "")
+    return F.coalesce(F.array_join(_part(groups, at, size), ""), F.lit(""))
 
 
 def _card_stretches(groups: Column) -> Column:
     """Per group, the stretches of whole groups from it on that are card numbers: how many groups,
     and whether in an issuer's form; the preferred one first."""
 
-    def of(_: Column, i: Column) -> Column:
-        sizes = F.sequence(F.lit(1), F.least(F.lit(19), F.size(groups) - i))
-        tried = F.transform(sizes, lambda k: F.struct(k.alias("size"), _joined(groups, i, k).alias("digits")))
+    def of(ahead: Column) -> Column:
+        sizes = F.sequence(F.lit(1), F.size(ahead))
+        tried = F.transform(sizes, lambda k: F.struct(k.alias("size"), F.array_join(F.slice(ahead, F.lit(1), k), "").alias("digits")))
         valid = F.filter(tried, lambda t: F.length(t["digits"]).between(13, 19) & (F.pmod(_luhn_sum(t["digits"]), F.lit(10)) == 0))
-        ranked = lambda t: F.struct((F.regexp_like(t["digits"], F.lit(ISSUED)) & F.regexp_like(F.array_join(F.slice(groups, i + 1, t["size"]), " "), F.lit(GROUPED))).alias("issued"), (F.length(t["digits"]) == 16).alias("usual"), t["size"].alias("size"))
+        ranked = lambda t: F.struct((F.regexp_like(t["digits"], F.lit(ISSUED)) & F.regexp_like(F.array_join(F.slice(ahead, F.lit(1), t["size"]), " "), F.lit(GROUPED))).alias("issued"), (F.length(t["digits"]) == 16).alias("usual"), t["size"].alias("size"))
         return F.sort_array(F.transform(valid, ranked), asc=False)
 
-    return F.transform(groups, of)
+    return F.transform(groups, lambda _, i: _let(_part(groups, i, F.least(F.lit(19), F.size(groups) - i)), of))
 
 
 def _card_pieces(found: Column) -> Column:
@@ -154,7 +164,7 @@ def _card_pieces(found: Column) -> Column:
 
     def step(state: Column, i: Column) -> Column:
         here = F.element_at(found, i + 1)
-        later = lambda t: F.exists(F.slice(found, i + 2, t["size"] - 1), lambda others: F.exists(others, lambda o: o["issued"]))
+        later = lambda t: F.exists(F.coalesce(_part(found, i + 1, t["size"] - 1), F.array().cast(STRETCHES)), lambda others: F.exists(others, lambda o: o["issued"]))
         allowed = F.filter(here, lambda t: t["issued"] | ((i >= state["issued"]) & ~later(t)))
 
         def after(allowed: Column) -> Column:
@@ -174,8 +184,17 @@ def _card_pieces(found: Column) -> Column:
         return F.when(F.size(here) == 0, F.when((i >= state["until"]) & (i < state["reach"]), after(allowed=here)).otherwise(state)).otherwise(_let(allowed, after))
 
     none = F.array().cast("array<struct<at:int,size:int,card:boolean>>")
-    start = F.struct(none.alias("pieces"), *[F.lit(0).alias(name) for name in ("until", "reach", "issued")])
-    return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), start, step, lambda s: s["pieces"])
+    places = ("until", "reach", "issued")
+
+    def block(state: Column, b: Column) -> Column:
+        """The pieces that start in some groups, added to the state at once: an array grows by a copy."""
+        last = F.least(F.size(found), (b + 1) * BLOCK) - 1
+        begun = F.struct(none.alias("pieces"), *[state[name].alias(name) for name in places])
+        done = F.aggregate(F.sequence(b * BLOCK, last), begun, step)
+        return _let(done, lambda d: F.struct(F.concat(state["pieces"], d["pieces"]).alias("pieces"), *[d[name].alias(name) for name in places]))
+
+    start = F.struct(none.alias("pieces"), *[F.lit(0).alias(name) for name in places])
+    return F.aggregate(F.sequence(F.lit(0), ((F.size(found) - 1) / BLOCK).cast("int")), start, block, lambda s: s["pieces"])
 
 
 def _cards(value: Column, key: str) -> Column:
@@ -284,7 +303,7 @@ def _phone(value: Column, key: str) -> Column:
 
 
 def _email(value: Column, key: str) -> Column:
-    local = F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit("email"), F.lower(value)), 256), 1, 12)
+    local = F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit("email"), F.lower(value)), 256), 1, 24)
     return F.concat(F.lit("u"), local, F.lit("@"), F.substring_index(value, "@", -1))
 
 

@@ -663,3 +663,12 @@ def test_stages_decide_on_rows_and_not_on_ids(spark, documents):
     good, bad = (documents.join(judged.where(kept).select("doc_id"), "doc_id").select("text").first()[0] for kept in ("kept", "not kept"))
     several = frame([(100_000 + i, r["text"], "x") for i, r in enumerate(documents.select("text").collect())] + [(5, good, "a"), (5, bad, "b"), (None, good, "c"), (None, bad, "d")])
     assert [k for k in of(quality.kept_documents(several)) if k != "x"] == ["a", "c"]
+
+
+def test_pii_of_endless_values_keeps_its_depth(spark):
+    """Each text would overflow the stack, or take hours, if depth or work grew with its square."""
+    n = 200_000
+    texts = ["x a@" + "b." * n + "com y", "a@" + "ab." * n, "a@" + "b" * n, "a." * n, "1.2.3.4." * (n // 4), "+1 " * n, "4111 1111 1111 1111 " * (n // 20)]
+    rows = pii.pseudonymised(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").orderBy("doc_id").collect()
+    assert rows[0]["text"] == texts[0] and [r["n_email"] for r in rows] == [0, 1, 0, 0, 0, 0, 0]
+    assert rows[1]["text"].endswith(texts[1][1:]) and rows[6]["n_card"] == n // 20
