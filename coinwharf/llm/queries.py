@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from coinwharf.llm import decontaminate, htmltext, licenses, packing, pii, quality, secrets, simhash, token_files, toxicity
+from coinwharf.llm import bpe, decontaminate, htmltext, licenses, packing, pii, quality, secrets, simhash, token_files, toxicity
 from coinwharf.llm.common import reach_workers, table
 from coinwharf.session import work_path
 
@@ -63,6 +63,10 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.page_texts(table(spark, sf_dir, "pages"))
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.there_and_back(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
 def _reaching(query: Callable) -> Callable:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         reach_workers(spark)
@@ -73,7 +77,7 @@ def _reaching(query: Callable) -> Callable:
 
 QUERIES = {
     query.__name__: _reaching(query)
-    for query in (op1_decontaminate, op2_secrets, op3_quality, op4_packing, op5_licenses, op6_pii, op7_token_files, op8_simhash, op9_toxicity, op10_html)
+    for query in (op1_decontaminate, op2_secrets, op3_quality, op4_packing, op5_licenses, op6_pii, op7_token_files, op8_simhash, op9_toxicity, op10_html, op13_bpe)
 }
 #: None of these has a whole equivalent in SQL; tests/llm holds brute-force versions.
 ORACLE: dict[str, str] = {}
