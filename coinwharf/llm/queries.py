@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from coinwharf.llm import bpe, decontaminate, htmltext, licenses, packing, pii, quality, secrets, simhash, spelling, token_files, toxicity
+from coinwharf.llm import align, bpe, decontaminate, htmltext, licenses, packing, pii, quality, secrets, simhash, spelling, token_files, toxicity
 from coinwharf.llm.common import reach_workers, table
 from coinwharf.session import work_path
 
@@ -63,6 +63,11 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.page_texts(table(spark, sf_dir, "pages"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align.token_links(table(spark, sf_dir, "documents"), *paths)
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
@@ -81,7 +86,7 @@ def _reaching(query: Callable) -> Callable:
 
 QUERIES = {
     query.__name__: _reaching(query)
-    for query in (op1_decontaminate, op2_secrets, op3_quality, op4_packing, op5_licenses, op6_pii, op7_token_files, op8_simhash, op9_toxicity, op10_html, op12_spelling, op13_bpe)
+    for query in (op1_decontaminate, op2_secrets, op3_quality, op4_packing, op5_licenses, op6_pii, op7_token_files, op8_simhash, op9_toxicity, op10_html, op11_alignment, op12_spelling, op13_bpe)
 }
 #: None of these has a whole equivalent in SQL; tests/llm holds brute-force versions.
 ORACLE: dict[str, str] = {}
