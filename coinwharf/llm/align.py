@@ -9,8 +9,10 @@ The matrices of token ids by groups, multiplied in the same way, have the shared
 each pair of ids, how many pairs of their occurrences lie in one group. No pair of occurrences is
 ever written out, so a long group costs its different ids, not its tokens squared.
 
-Both tokenizers cut a text before a single blank or line feed between other letters, so texts are
-taken apart there and each distinct chunk is aligned once. A text of which a chunk does not come
+Both tokenizers cut a text before a single blank or line feed between other letters, and before a
+full stop or comma between a letter and one of these (A by its pattern, B as none of its pieces has
+a letter before them, which is checked), so texts are taken apart there and each distinct chunk is
+aligned once. A text of which a chunk does not come
 back byte by byte is aligned as a whole; if it does not come back either, it has no tokens.
 
 How many documents hold a pair of ids is counted over the corpus. Documents are worked on in blocks
@@ -32,6 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -43,7 +46,14 @@ from coinwharf.session import staged
 B_BITS = 20
 #: Products that are formed at a time; chunks, pairs and letters a worker remembers; pairs of a block;
 #: pairs of a dictionary row.
-EXPANDED, MAX_CHUNKS, MAX_KEPT, BLOCK_PAIRS, DICTIONARY_ROW = 1 << 21, 200_000, 1 << 23, 2_000_000, 100_000
+EXPANDED, MAX_CHUNKS, MAX_KEPT, BLOCK_PAIRS, DICTIONARY_ROW = 1 << 20, 300_000, 1 << 24, 2_000_000, 100_000
+#: Chunks that are aligned together, and that are encoded as one line.
+TOGETHER, LINE = 20_000, 500
+#: A chunk that can stand in a line: a blank, then none.
+PLAIN = re.compile(r" [^\s▁\0\x1c-\x1f]+")
+#: Letters after which a full stop or comma is cut off.
+LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]"
+STOPS = re.compile(LETTER + "[.,]")
 CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 #: Texts with other than single blanks and line feeds between words.
 ODD = re.compile("[ \\n]{2}|[\\0\\t\\x0b-\\r\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]|^[ \\n]|[ \\n]\\Z")
@@ -142,23 +152,52 @@ class Tokenizers:
             piece = self.b.id_to_piece(i)
             plain = b"" if self.b.is_control(i) or self.b.is_unknown(i) else piece.replace("▁", " ").encode()
             self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else plain)
-        self.blank_b = self.b.piece_to_id("▁")
+        self.blank_b, self.feed_b = self.b.piece_to_id("▁"), self.b.encode("\n")
+        if any("▁" in p.lstrip("▁") or "\n" in p or STOPS.search(p) for p in map(self.b.id_to_piece, range(len(self.bytes_b)))):
+            raise ValueError("the pieces of B must end where words and clauses do")
         self.lengths_a, self.lengths_b = (np.array(list(map(len, t)), np.int64) for t in (self.bytes_a, self.bytes_b))
+        self.begins_a, self.begins_b = (np.array([t.startswith(b" ") for t in side]) for side in (self.bytes_a, self.bytes_b))
+        # ids as they are written, before another one of the group and at its end
+        self.written_a, self.written_b = (np.array([f"{i}{c}" for i in range(n) for c in f",{end}"], object) for n, end in ((len(self.bytes_a), "|"), (len(self.bytes_b), ";")))
 
-    def encode(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """The ids of pieces that begin with a blank or line feed; B adds a blank of its own, which
-        stands for the one or is dropped."""
+    def _one_by_one(self, pieces: list[str]) -> Iterator[tuple[list[int], list[int]]]:
+        """The ids of pieces. B puts a blank before a text: it stands for the piece's own, or is
+        dropped, where need be with a line feed that keeps it apart."""
         of_a = [e.ids for e in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
-        of_b = self.b.encode([p[1:] if p[0] == " " else p for p in pieces], num_threads=1)
-        return of_a, [ids[1:] if p[0] != " " and ids[:1] == [self.blank_b] else ids for p, ids in zip(pieces, of_b)]
-
-    def come_back(self, piece: str, of_a: list[int], of_b: list[int]) -> bool:
-        text = piece.encode()
-        return b"".join(map(self.bytes_a.__getitem__, of_a)) == text == b"".join(map(self.bytes_b.__getitem__, of_b))
-
-
-def _flat(lists: Sequence[Sequence[int]]) -> np.ndarray:
-    return np.array([i for ids in lists for i in ids], np.int64)
+        of_b = self.b.encode([p[1:] if p[0] == " " else p if p[0] == "\n" else "\n" + p for p in pieces], num_threads=1)
+        for piece, a, b in zip(pieces, of_a, of_b):
+            extra = [] if piece[0] == " " else [self.blank_b] if piece[0] == "\n" else self.feed_b
+            yield a, b[len(extra) :] if b[: len(extra)] == extra else []
+
+    def _come_back(self, text: str, of_a: Sequence[int], of_b: Sequence[int]) -> bool:
+        encoded = text.encode()
+        return b"".join(map(self.bytes_a.__getitem__, of_a)) == encoded == b"".join(map(self.bytes_b.__getitem__, of_b))
+
+    def encode(self, pieces: list[str]) -> tuple[list[str], list[np.ndarray]]:
+        """Those pieces that come back byte by byte, and the ids of A, how many each piece has, and
+        the same of B. Plain ones are encoded many in a line, in which blanks show where each begins."""
+        plain = [p for p in pieces if PLAIN.fullmatch(p)]
+        single = [p for p in pieces if not PLAIN.fullmatch(p)]
+        kept: list[str] = []
+        parts: list[list[np.ndarray]] = [[], [], [], []]
+        lines = [plain[i : i + LINE] for i in range(0, len(plain), LINE)]
+        texts = ["".join(line) for line in lines]
+        lines_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        for line, text, a, b in zip(lines, texts, lines_a, self.b.encode([t[1:] for t in texts], num_threads=1)):
+            ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
+            starts = [np.flatnonzero(begins[ids]) for begins, ids in ((self.begins_a, ids_a), (self.begins_b, ids_b))]
+            if not len(starts[0]) == len(starts[1]) == len(line) or not self._come_back(text, a, b):
+                single += line
+                continue
+            kept += line
+            for part, value in zip(parts, (ids_a, np.diff(starts[0], append=len(a)), ids_b, np.diff(starts[1], append=len(b)))):
+                part.append(value)
+        for piece, (a, b) in zip(single, self._one_by_one(single) if single else ()):
+            if self._come_back(piece, a, b):
+                kept.append(piece)
+                for part, value in zip(parts, (a, [len(a)], b, [len(b)])):
+                    part.append(np.array(value, np.int64))
+        return kept, [np.concatenate([np.empty(0, np.int64), *part]) for part in parts]
 
 
 @dataclass
@@ -170,41 +209,34 @@ class Aligned:
     pairs: Csr  # per piece: links of each pair of ids, by the pair's key
 
 
-def align(tokenizers: Tokenizers, lists_a: list[list[int]], lists_b: list[list[int]]) -> Aligned:
-    """Groups and links of pieces whose tokens come back byte by byte."""
-    ids_a, ids_b = _flat(lists_a), _flat(lists_b)
-    pieces = len(lists_a)
-    piece_a = np.repeat(np.arange(pieces), list(map(len, lists_a)))
-    piece_b = np.repeat(np.arange(pieces), list(map(len, lists_b)))
+def align(tokenizers: Tokenizers, ids_a: np.ndarray, sizes_a: np.ndarray, ids_b: np.ndarray, sizes_b: np.ndarray) -> Aligned:
+    """Groups and links of pieces (one at least) whose tokens come back byte by byte."""
+    pieces = len(sizes_a)
+    piece_a = np.repeat(np.arange(pieces), sizes_a)
     holds_a, holds_b = incidence(tokenizers.lengths_a[ids_a]), incidence(tokenizers.lengths_b[ids_b])
     group_a, group_b = groups(holds_a.times(holds_b.transposed()), len(ids_b))
-    n_groups = int(group_a[-1]) + 1 if len(group_a) else 0
+    n_groups = int(group_a[-1]) + 1
 
     # rows: the different A ids of each piece; columns: groups. The other way round for B.
     row_keys, rows = np.unique(piece_a * len(tokenizers.bytes_a) + ids_a, return_inverse=True)
     by_group = Csr.of(group_b, ids_b, n_groups, len(tokenizers.bytes_b))
-    links = Csr.of(rows, group_a, len(row_keys), max(n_groups, 1)).times(by_group)
+    links = Csr.of(rows, group_a, len(row_keys), n_groups).times(by_group)
     of_piece, a = row_keys // len(tokenizers.bytes_a), row_keys % len(tokenizers.bytes_a)
-    row_of = links.rows()
     starts = links.starts[np.searchsorted(of_piece, np.arange(pieces + 1))]
-    pairs = Csr(starts, (a[row_of] << B_BITS) | links.columns, links.values, 1 << 40)
-
-    sizes_a, sizes_b = (np.bincount(g, minlength=n_groups) for g in (group_a, group_b))
-    piece_of_group = np.zeros(n_groups, np.int64)
-    piece_of_group[group_a] = piece_a
-    per_piece = lambda values: np.array([int(v.sum()) for v in np.split(values, np.searchsorted(piece_of_group, np.arange(1, pieces)))], np.int64)
-    counts = np.stack([np.bincount(piece_a, minlength=pieces), np.bincount(piece_b, minlength=pieces), np.bincount(piece_of_group, minlength=pieces), per_piece(sizes_a * sizes_b)], axis=1)
-
-    parts = [f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in zip(_cut(ids_a, sizes_a), _cut(ids_b, sizes_b))]
-    ends = np.searchsorted(piece_of_group, np.arange(pieces + 1))
-    return Aligned(counts, [";".join(parts[s:e]) for s, e in zip(ends[:-1], ends[1:])], pairs)
+    pairs = Csr(starts, (a[links.rows()] << B_BITS) | links.columns, links.values, 1 << 40)
 
+    # each piece ends a group, so groups belong to one piece
+    ends = np.cumsum(sizes_a)
+    firsts = group_a[ends - sizes_a]
+    products = np.bincount(group_a, minlength=n_groups) * np.bincount(group_b, minlength=n_groups)
+    counts = np.stack([sizes_a, sizes_b, np.diff(firsts, append=n_groups), np.add.reduceat(products, firsts)], axis=1)
 
-def _cut(ids: np.ndarray, sizes: np.ndarray) -> Iterator[list[int]]:
-    listed, start = ids.tolist(), 0
-    for size in sizes.tolist():
-        yield listed[start : start + size]
-        start += size
+    # all ids in the order in which they are written, each with what follows it
+    last = lambda group: np.concatenate((group[1:] != group[:-1], [True])).astype(np.int64)
+    ids = np.concatenate((tokenizers.written_a[2 * ids_a + last(group_a)], tokenizers.written_b[2 * ids_b + last(group_b)]))
+    parts = ids[np.argsort(np.concatenate((2 * group_a, 2 * group_b + 1)), kind="stable")].tolist()
+    borders = [0, *np.cumsum(sizes_a + sizes_b).tolist()]
+    return Aligned(counts, ["".join(parts[s:e])[:-1] for s, e in zip(borders[:-1], borders[1:])], pairs)
 
 
 class Aligner:
@@ -223,33 +255,51 @@ class Aligner:
 
     def _learn(self, pieces: list[str]) -> None:
         """Align pieces and remember them; one that does not come back is remembered as place -1."""
-        found = [(p, a, b) for p, a, b in zip(pieces, *self.tokenizers.encode(pieces)) if self.tokenizers.come_back(p, a, b)]
-        self.index.update(dict.fromkeys(pieces, -1))
-        if not found:
-            return
-        new = align(self.tokenizers, [f[1] for f in found], [f[2] for f in found])
-        self.index.update(zip((f[0] for f in found), range(len(self.written), len(self.written) + len(found))))
-        self.written += new.written
-        self.letters += sum(map(len, new.written))
-        self.counts = np.concatenate([self.counts, new.counts])
-        old = self.pairs
-        self.pairs = Csr(np.concatenate([old.starts, new.pairs.starts[1:] + old.starts[-1]]), np.concatenate([old.columns, new.pairs.columns]), np.concatenate([old.values, new.pairs.values]), old.width)
+        counts, pairs = [self.counts], [self.pairs]
+        for i in range(0, len(pieces), TOGETHER):
+            some = pieces[i : i + TOGETHER]
+            self.index.update(dict.fromkeys(some, -1))
+            kept, tokens = self.tokenizers.encode(some)
+            if kept:
+                new = align(self.tokenizers, *tokens)
+                self.index.update(zip(kept, range(len(self.written), len(self.written) + len(kept))))
+                self.written += new.written
+                self.letters += sum(map(len, new.written))
+                counts.append(new.counts)
+                pairs.append(new.pairs)
+        self.counts = np.concatenate(counts)
+        ends = np.cumsum([0, *(len(p.columns) for p in pairs)])
+        starts = np.concatenate([[0], *(p.starts[1:] + e for p, e in zip(pairs, ends))])
+        self.pairs = Csr(starts, np.concatenate([p.columns for p in pairs]), np.concatenate([p.values for p in pairs]), 1 << 40)
 
     def places(self, texts: list[str]) -> list[np.ndarray | None]:
         """The places of each text's pieces among those remembered; None for a text without tokens."""
         if len(self.index) > MAX_CHUNKS or len(self.pairs.columns) + self.letters > MAX_KEPT:
             self._forget()
-        cut = [[] if not t else CUT.split(" " + t) if ODD.search(t) else (" " + t).replace(" ", "\0 ").replace("\n", "\0\n").split("\0")[1:] for t in texts]
+        odd = [bool(ODD.search(t)) for t in texts]
+        marked = pa.array([" " + t for t, o in zip(texts, odd) if t and not o], pa.string())
+        marked = pc.replace_substring(pc.replace_substring(marked, " ", "\0 "), "\n", "\0\n")
+        lists = pc.split_pattern(pc.replace_substring_regex(marked, f"({LETTER})([.,])(\\x00|$)", "\\1\0\\2\\3"), "\0")
+        coded = lists.values.dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        cut = {i: CUT.split(" " + t) for i, (t, o) in enumerate(zip(texts, odd)) if t and o}
         known = self.index
-        if unknown := list({p: None for pieces in cut for p in pieces if p not in known}):
-            self._learn(unknown)
-        found = [np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces)) for pieces in cut]
-        broken = [i for i, at in enumerate(found) if len(at) and at.min() < 0]
-        for i in broken:  # as a whole, which may be a chunk already
-            if " " + texts[i] not in known:
-                self._learn([" " + texts[i]])
-            found[i] = np.array([known[" " + texts[i]]])
-        return [at if len(at) and at.min() >= 0 else None for at in found]
+        wanted = dict.fromkeys(p for some in (pieces, *cut.values()) for p in some if p and p not in known)
+        if wanted:
+            self._learn(list(wanted))
+        of_piece = np.fromiter((known[p] if p else -2 for p in pieces), np.int64, len(pieces))
+        at = of_piece[np.asarray(coded.indices, np.int64)]
+        offsets = np.asarray(lists.offsets)
+        plain = iter([at[s + 1 : e] for s, e in zip(offsets[:-1], offsets[1:])])  # a mark stands first
+        found: list[np.ndarray | None] = []
+        for i, text in enumerate(texts):
+            places = np.empty(0, np.int64) if not text else np.fromiter(map(known.__getitem__, cut[i]), np.int64) if odd[i] else next(plain)
+            if len(places) and places.min() < 0:  # as a whole, which may be a chunk already
+                if " " + text not in known:
+                    self._learn([" " + text])
+                places = np.array([known[" " + text]])
+            found.append(places if len(places) and places.min() >= 0 else None)
+        return found
 
     def document(self, at: np.ndarray) -> tuple[np.ndarray, str, np.ndarray, np.ndarray]:
         """Counts, groups, and the keys and links of the pairs of a text with these pieces."""
