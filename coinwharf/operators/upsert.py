@@ -71,3 +71,23 @@ def apply_updates(
             for c in target.columns
         ]
     )
+
+
+def outranks(newest: Sequence[str]) -> Column:
+    """1 if the source's row (columns ``s_...``) comes after the target's by these columns in turn,
+    NULL least; 0 if they are equal; else -1."""
+    old, new = F.struct(*newest), F.struct(*[F.col(f"s_{c}").alias(c) for c in newest])
+    return F.when(new > old, 1).when(new == old, 0).otherwise(-1)
+
+
+def images(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], on_match: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
+    """Some columns of each matched row before (``sign`` -1) and after (1) the update."""
+    joined = target.join(_renamed(source), _same_key(keys))
+
+    def side(name: str, after: bool) -> Column:
+        return (F.col(f"s_{name}") if after and name in on_match else F.col(name)).alias(name)
+
+    both = [F.struct(*[side(c, sign > 0) for c in columns], F.lit(sign).alias("sign")) for sign in (-1, 1)]
+    return joined.select(F.inline(F.array(*both)))

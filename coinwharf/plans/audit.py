@@ -4,15 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Mapping
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from coinwharf.functions.temporal import instant_literal
-from coinwharf.plans.curated import CuratedSpec, blank_key
+from coinwharf.plans.curated import CuratedSpec, accepted_rows, classified
 from coinwharf.schemas import AUDIT_DDL
 from coinwharf.session import small_frame
 
@@ -23,27 +21,40 @@ def action_counts(merged: DataFrame) -> DataFrame:
 
 
 def quality_counts(raw: DataFrame, spec: CuratedSpec, null_keys: bool = False) -> DataFrame:
-    """One row: rows read, rows without a required field, and unreadable values per typed column.
+    """One row: rows read, rows without a required field, and unreadable values per typed column."""
+    return verdict_counts(classified(raw, spec, null_keys=null_keys), spec)
+
+
+def verdict_counts(rows: DataFrame, spec: CuratedSpec) -> DataFrame:
+    """The same of classified rows.
 
     A plain aggregate instead of an observed metric: metrics are counted again when a task
     is retried, and the log has to be exact.
     """
-    incomplete = reduce(or_, [F.col(c).isNull() for c in spec.needed(null_keys)], blank_key(spec))
-    unreadable = []
-    for name in spec.typed:
-        value = F.col(spec.raw_name(name))
-        unreadable.append(
-            F.count_if(value.isNotNull() & spec.rules[name](value).isNull()).alias(f"unreadable_{name}")
-        )
-    return raw.agg(F.count("*").alias("rows_in"), F.count_if(incomplete).alias("rejected"), *unreadable)
+    unreadable = [
+        F.count_if(F.col("_unreadable").bitwiseAND(F.lit(1 << bit)) > 0).alias(f"unreadable_{name}")
+        for bit, name in enumerate(spec.typed)
+    ]
+    return rows.agg(F.count("*").alias("rows_in"), F.count_if(F.size("_missing") > 0).alias("rejected"), *unreadable)
+
+
+def collapsed_keys(rows: DataFrame, spec: CuratedSpec) -> DataFrame:
+    """One row: how many keys came in more than one spelling, as ``A-1`` and ``A1`` do.
+
+    Each task keeps the first and last spelling of a key, so a key of many rows is sent once a task.
+    """
+    spellings = accepted_rows(rows).groupBy(spec.key).agg((F.min("_spelled") != F.max("_spelled")).alias("several"))
+    return spellings.agg(F.count_if(F.col(spec.key).isNotNull() & F.col("several")).alias("collapsed"))
 
 
 def rejected_rows(raw: DataFrame, spec: CuratedSpec, null_keys: bool = False) -> DataFrame:
     """Raw rows that curation leaves out, with the columns they lack."""
-    needed = spec.needed(null_keys)
-    blank = F.when(blank_key(spec), F.lit(spec.raw_name(spec.key)))
-    missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in needed], blank))
-    return raw.where(reduce(or_, [F.col(c).isNull() for c in needed], blank_key(spec))).withColumn("missing", missing)
+    return refused(classified(raw, spec, null_keys=null_keys))
+
+
+def refused(rows: DataFrame) -> DataFrame:
+    """The same of classified rows."""
+    return rows.where(F.size("_missing") > 0).select("_raw.*", F.col("_missing").alias("missing"))
 
 
 def write_log(

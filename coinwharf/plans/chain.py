@@ -11,11 +11,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from coinwharf.plans import reports
-from coinwharf.plans.audit import quality_counts, rejected_rows, write_log
-from coinwharf.plans.curated import SPECS, check_spellings, touched_rows, upsert_source
+from coinwharf.plans.audit import collapsed_keys, refused, verdict_counts, write_log
+from coinwharf.plans.curated import ORDER_STAMPS, SPECS, accepted_rows, check_spellings, classified, latest_rows
 from coinwharf.plans.lake import Lake
 from coinwharf.plans.raw_load import files_per_table, load_table, skipped
+from coinwharf.plans.summaries import ACCOUNT_VOLUMES, IMAGED, MONTHLY_TOTALS, PRODUCT_REVENUE, inactive_by_state, refresh_activity
 from coinwharf.schemas import ENTITIES
+from coinwharf.session import staged
 from coinwharf.sources.landing import list_files
 
 Entry = tuple[str, str, dict[str, int]]
@@ -87,23 +89,27 @@ def load_raw(
     return loaded, entries
 
 
-def load_curated(lake: Lake, entity: str, raw: DataFrame, run: Run, history: DataFrame | None = None) -> Entry:
+def load_curated(lake: Lake, entity: str, raw: DataFrame, run: Run, only_new: bool = False) -> Entry:
     """Upsert one curated table from raw rows; returns its audit entry.
 
-    With the raw table's ``history``, the latest row of each key of ``raw`` is chosen over all
-    rows that ever came in, so the result does not depend on how arrivals were cut.
+    The raw rows are scanned and cleaned once: all that is said and done about them is read from the
+    classified rows. With ``only_new`` they are not all raw rows but those that just arrived: one of
+    them replaces the row of its key only if it is the later one by the order stamps that the
+    curated row keeps, so the result does not depend on how arrivals were cut, and no raw row
+    of an older load is read.
     """
     spec = SPECS[entity]
     if run.strict:
         check_spellings(raw, spec)
-    quality = quality_counts(raw, spec, run.null_keys).first().asDict()
-    if quality["rejected"]:
-        rejected = rejected_rows(raw, spec, run.null_keys)
-        rejected.write.mode("overwrite").parquet(f"{lake.rejects(entity)}/run_id={run.run_id}")
-    rows = raw if history is None else touched_rows(history, raw, spec)
-    source = upsert_source(rows, spec, run.as_of, run.run_ts, run.normalize_phone, run.null_keys)
-    actions = lake.curated(entity).merge(source, [spec.key], spec.on_match, load_id=run.run_id)
-    return "curated", entity, {**quality, **actions}
+    rows = staged(classified(raw, spec, run.as_of, run.normalize_phone, run.null_keys), "classified")
+    counts = verdict_counts(rows, spec).first().asDict() | collapsed_keys(rows, spec).first().asDict()
+    if counts["rejected"]:
+        refused(rows).write.mode("overwrite").parquet(f"{lake.rejects(entity)}/run_id={run.run_id}")
+    source = latest_rows(accepted_rows(rows), spec, run.run_ts, ordered=True)
+    order = {"newest": ORDER_STAMPS.names, "tie": spec.tie} if only_new else {}
+    changes = IMAGED if only_new and entity == "transaction" else ()
+    actions = lake.curated(entity).merge(source, [spec.key], spec.on_match, load_id=run.run_id, changes=changes, **order)
+    return "curated", entity, {**counts, **actions}
 
 
 def build_reports(lake: Lake, run: Run) -> dict[str, DataFrame]:
@@ -120,14 +126,33 @@ def build_reports(lake: Lake, run: Run) -> dict[str, DataFrame]:
     }
 
 
-def refresh_reports(lake: Lake, run: Run) -> list[Entry]:
+def build_from_summaries(lake: Lake, run: Run) -> dict[str, DataFrame]:
+    """The same reports; four of them from summaries that take in only what changed."""
+    stored = lake.curated("transaction")
+    summaries = (ACCOUNT_VOLUMES, MONTHLY_TOTALS, PRODUCT_REVENUE)
+    *tables, activity = _together(
+        lambda refresh: refresh(lake, stored), [*(summary.refresh for summary in summaries), refresh_activity]
+    )
+    volumes, months, revenue = (summary.read(table) for summary, table in zip(summaries, tables))
+    customers, accounts, products = (lake.curated(entity).read() for entity in ("customer", "account", "products"))
+    return {
+        reports.TOP_CUSTOMERS: reports.greatest_customers(volumes, customers),
+        reports.MONTHLY_TREND: reports.trend_rows(months),
+        reports.PRODUCT_SHARE: reports.shares(revenue, products),
+        reports.INACTIVE_ACCOUNTS: inactive_by_state(accounts, activity.read(), run.as_of),
+        reports.SUSPICIOUS: reports.suspicious(stored.read(), customers),
+    }
+
+
+def refresh_reports(lake: Lake, run: Run, only_new: bool = False) -> list[Entry]:
     """Compute the reports and put them in place of the old ones."""
 
     def refresh(item):
         name, report = item
         return "reporting", name, {"rows": lake.report(name).replace(report, load_id=run.run_id)}
 
-    return _together(refresh, build_reports(lake, run).items())
+    build = build_from_summaries if only_new else build_reports
+    return _together(refresh, build(lake, run).items())
 
 
 def run_files(
@@ -141,7 +166,8 @@ def run_files(
     """Load the listed files and bring curated tables and reports up to date.
 
     A batch run curates the whole raw tables. ``only_new`` is what a stream of arrivals needs:
-    it adds to the raw tables and curates just the keys that these files brought.
+    it adds to the raw tables, curates just the rows that these files brought, and brings the
+    summaries behind the reports up to date by what that changed.
     """
     loaded, entries = load_raw(lake, files, run, config_path, append=only_new)
     if only_new:
@@ -150,9 +176,8 @@ def run_files(
         states = {entity: lake.raw(entity).state() for entity in ENTITIES}
         sources = {entity: lake.raw(entity).read(state) for entity, state in states.items() if state.rows}
     _together(lambda entity: lake.curated(entity).ensure(), ENTITIES)
-    history = {entity: lake.raw(entity).read() for entity in sources} if only_new else {}
-    entries += _together(lambda entity: load_curated(lake, entity, sources[entity], run, history.get(entity)), sources)
-    entries += [*refresh_reports(lake, run), *noted]
+    entries += _together(lambda entity: load_curated(lake, entity, sources[entity], run, only_new), sources)
+    entries += [*refresh_reports(lake, run, only_new), *noted]
     write_log(lake.spark, lake.audit, run.run_id, entries, run.run_ts)
     return entries
 

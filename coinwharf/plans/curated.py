@@ -6,9 +6,10 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DateType, StructField, StructType, TimestampType
 
 from coinwharf.functions.numeric import flag_text, to_flag, to_number
 from coinwharf.functions.temporal import clamp_future, day_literal, instant_literal, to_day, to_instant
@@ -25,6 +26,8 @@ from coinwharf.operators.upsert import check_unique, merge_upsert
 from coinwharf.schemas import curated_schema
 
 Expression = Callable[[Column], Column]
+#: Stored with each curated row, to compare it with rows that arrive later.
+ORDER_STAMPS = StructType([StructField("_newest", DateType()), StructField("_arrived", TimestampType())])
 
 
 @dataclass(frozen=True)
@@ -58,6 +61,11 @@ class CuratedSpec:
     def cleaned(self) -> list[str]:
         return [c for c in self.columns if c not in self.stamps]
 
+    @property
+    def tie(self) -> list[str]:
+        """Columns that settle which row is the latest where the order stamps are equal."""
+        return [c for c in self.cleaned if c != self.key]
+
     @property
     def on_match(self) -> list[str]:
         return [c for c in self.columns if c != self.key and c not in self.kept_on_match]
@@ -193,13 +201,6 @@ def accepted(raw: DataFrame, spec: CuratedSpec, null_keys: bool = False) -> Data
     return complete_rows(raw, spec.needed(null_keys)).where(~blank_key(spec))
 
 
-def touched_rows(raw: DataFrame, new: DataFrame, spec: CuratedSpec) -> DataFrame:
-    """All raw rows of the keys that new rows have, and the new rows without a key."""
-    keys = new.select(cleaned_key(spec).alias("_touched")).where("_touched is not null").distinct()
-    of_keys = raw.join(keys, cleaned_key(spec) == keys["_touched"], "left_semi")
-    return of_keys.unionByName(new.where(F.col(spec.raw_name(spec.key)).isNull()))
-
-
 def check_spellings(raw: DataFrame, spec: CuratedSpec) -> None:
     """Raise when two raw keys become one by cleaning, as ``A-1`` and ``A1`` do."""
     spelled = F.col(spec.raw_name(spec.key))
@@ -212,8 +213,9 @@ def clean(
     spec: CuratedSpec,
     as_of: dt.date | str | None = None,
     normalize_phone: bool = False,
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
-    """Cleaned columns, with the order columns of the latest-row choice (``_newest``, ``_arrived``)."""
+    """Cleaned columns and ``extra`` ones, with the order columns of the latest-row choice (``_newest``, ``_arrived``)."""
 
     def cleaned(name: str) -> Column:
         value = F.col(spec.raw_name(name))
@@ -230,6 +232,7 @@ def clean(
         *[cleaned(c) for c in spec.cleaned],
         to_day(F.col(spec.newest)).alias("_newest"),
         arrived.alias("_arrived"),
+        *extra,
     )
 
 
@@ -245,13 +248,53 @@ def upsert_source(
 
     The latest row is chosen by the cleaned key, so ``A-1`` and ``A1`` are one account.
     """
-    rows = clean(accepted(raw, spec, null_keys), spec, as_of, normalize_phone)
-    latest = latest_per_key(rows, [spec.key], ["_newest", "_arrived"])
+    return latest_rows(clean(accepted(raw, spec, null_keys), spec, as_of, normalize_phone), spec, run_ts)
+
+
+def latest_rows(
+    cleaned: DataFrame, spec: CuratedSpec, run_ts: dt.datetime | str | None = None, ordered: bool = False
+) -> DataFrame:
+    """The latest row of each key, stamped; ``ordered`` keeps its order stamps."""
+    latest = latest_per_key(cleaned.select(*spec.cleaned, *ORDER_STAMPS.names), [spec.key], ORDER_STAMPS.names)
     fields = curated_schema(spec.entity)
     now = instant_literal(run_ts)
-    return latest.select(
-        *[(now if c in spec.stamps else F.col(c)).cast(fields[c].dataType).alias(c) for c in spec.columns]
-    )
+    columns = [(now if c in spec.stamps else F.col(c)).cast(fields[c].dataType).alias(c) for c in spec.columns]
+    return latest.select(*columns, *(ORDER_STAMPS.names if ordered else ()))
+
+
+def classified(
+    raw: DataFrame,
+    spec: CuratedSpec,
+    as_of: dt.date | str | None = None,
+    normalize_phone: bool = False,
+    null_keys: bool = False,
+) -> DataFrame:
+    """Every raw row cleaned, with what there is to say about it.
+
+    ``_missing`` names the required columns it lacks (none: it is accepted), ``_unreadable`` has a
+    bit for each typed column whose text could not be read, ``_spelled`` is the key as it came, and
+    ``_raw`` is the whole raw row where it is rejected.
+    """
+    needed = spec.needed(null_keys)
+    blank = F.when(blank_key(spec), F.lit(spec.raw_name(spec.key)))
+    missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in needed], blank))
+    rejected = reduce(or_, [F.col(c).isNull() for c in needed], blank_key(spec))
+    unreadable = F.lit(0)
+    for bit, name in enumerate(spec.typed):
+        value = F.col(spec.raw_name(name))
+        unreadable = unreadable + F.when(value.isNotNull() & spec.rules[name](value).isNull(), 1 << bit).otherwise(0)
+    verdict = [
+        missing.alias("_missing"),
+        unreadable.alias("_unreadable"),
+        F.col(spec.raw_name(spec.key)).alias("_spelled"),
+        F.when(rejected, F.struct(*raw.columns)).alias("_raw"),
+    ]
+    return clean(raw, spec, as_of, normalize_phone, verdict)
+
+
+def accepted_rows(rows: DataFrame) -> DataFrame:
+    """The classified rows fit for curation."""
+    return rows.where(F.size("_missing") == 0)
 
 
 def merge_curated(target: DataFrame, source: DataFrame, spec: CuratedSpec) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from coinwharf.plans.curated import SPECS
+from coinwharf.plans.curated import ORDER_STAMPS, SPECS
 from coinwharf.plans.reports import in_order
 from coinwharf.schemas import ENTITIES, curated_schema, raw_schema
 from coinwharf.session import small_frame
@@ -35,8 +36,12 @@ class Lake:
             curated_schema(entity),
             spec.partition,
             spec.cluster,
+            hidden=ORDER_STAMPS,
         )
 
+    def summary(self, name: str, schema: StructType) -> SnapshotTable:
+        return SnapshotTable(self.spark, f"{self.root}/summaries/{name}", schema)
+
     def report(self, name: str) -> SnapshotTable:
         return SnapshotTable(self.spark, f"{self.root}/reporting/{name}")
 

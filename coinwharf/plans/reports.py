@@ -38,6 +38,12 @@ INACTIVE_MONTHS = 3
 SUSPICIOUS_ABOVE = 100000
 
 
+def account_volumes(transactions: DataFrame, status: str = SUCCESS, scale: int = AMOUNT_SCALE) -> DataFrame:
+    """Successful amount per account; the status may be in any case."""
+    successful = transactions.where(same_word(F.col("status"), status) & F.col("account_id").isNotNull())
+    return successful.groupBy("account_id").agg(exact_sum(F.col("amount"), scale).alias("amount"))
+
+
 def top_customers(
     transactions: DataFrame,
     customers: DataFrame,
@@ -46,15 +52,15 @@ def top_customers(
     scale: int = AMOUNT_SCALE,
 ) -> DataFrame:
     """The ``n`` customers with the greatest successful amount; the status may be in any case."""
-    per_account = (
-        transactions.where(same_word(F.col("status"), status) & F.col("account_id").isNotNull())
-        .groupBy("account_id")
-        .agg(exact_sum(F.col("amount"), scale).alias("account_volume"))
-    )
+    return greatest_customers(account_volumes(transactions, status, scale), customers, n)
+
+
+def greatest_customers(volumes: DataFrame, customers: DataFrame, n: int = TOP_N) -> DataFrame:
+    """The same from (account_id, amount) rows, one per account."""
     return (
-        per_account.join(customers.select("account_id", "customer_id", "name"), "account_id")
+        volumes.join(customers.select("account_id", "customer_id", "name"), "account_id")
         .groupBy("customer_id", F.col("name").alias("customer_name"))
-        .agg(F.sum("account_volume").cast("double").alias("total_volume"))
+        .agg(F.sum("amount").cast("double").alias("total_volume"))
         .orderBy(F.desc("total_volume"), "customer_id", "customer_name")
         .limit(n)
     )
@@ -65,16 +71,18 @@ def monthly_trend(transactions: DataFrame, scale: int = AMOUNT_SCALE) -> DataFra
 
     Grouped by the first day of the month; the text is made once per group, not per row.
     """
-    return (
-        transactions.groupBy("branch_id", F.trunc("date", "month").alias("month"), "status")
-        .agg(F.count("*").alias("total_transactions"), exact_sum(F.col("amount"), scale).alias("amount"))
-        .select(
-            "branch_id",
-            year_month(F.col("month")).alias("year_month"),
-            "total_transactions",
-            F.col("amount").cast("double").alias("total_amount"),
-            F.col("status").alias("transaction_status"),
-        )
+    groups = transactions.groupBy("branch_id", F.trunc("date", "month").alias("month"), "status")
+    return trend_rows(groups.agg(F.count("*").alias("n"), exact_sum(F.col("amount"), scale).alias("amount")))
+
+
+def trend_rows(groups: DataFrame) -> DataFrame:
+    """The same from (branch_id, month, status, n, amount) rows, one per group."""
+    return groups.select(
+        "branch_id",
+        year_month(F.col("month")).alias("year_month"),
+        F.col("n").alias("total_transactions"),
+        F.col("amount").cast("double").alias("total_amount"),
+        F.col("status").alias("transaction_status"),
     )
 
 
@@ -88,15 +96,16 @@ def product_share(
 
     Amounts of products that are not in ``products`` count neither in a group nor in the total.
     """
-    per_product = (
-        transactions.where((F.col("status") == status) & F.col("product_id").isNotNull())
-        .groupBy("product_id")
-        .agg(exact_sum(F.col("amount"), scale).alias("revenue"))
-    )
+    sold = transactions.where((F.col("status") == status) & F.col("product_id").isNotNull())
+    return shares(sold.groupBy("product_id").agg(exact_sum(F.col("amount"), scale).alias("amount")), products)
+
+
+def shares(per_product: DataFrame, products: DataFrame) -> DataFrame:
+    """The same from (product_id, amount) rows, one per product."""
     revenue = (
         per_product.join(products.select("product_id"), "product_id")
         .groupBy("product_id")
-        .agg(F.sum("revenue").alias("revenue"))
+        .agg(F.sum("amount").alias("revenue"))
     )
     return (
         with_percentage(revenue, "revenue", "revenue_percentage")

@@ -2,28 +2,34 @@
 
 Spark refuses to overwrite a table it is reading, and a dynamic partition overwrite
 leaves the old copy of a row whose partition changed. So each change writes new files
-under ``data/v=<n>`` and then one small ``log/v=<n>`` that says which folders joined
-the table and which left it. Readers see the table before the change or after it, and
-a job that dies on the way leaves nothing they would read. Every COMPACT commits the log so far
+under ``data/v=<n>-<id>``, a folder no other writer uses, and then one small ``log/v=<n>``
+that says which folders joined the table and which folders or files left it. The log entry is
+written aside and renamed into place, which fails if another writer has committed that version:
+then this one's files are deleted and ``ConcurrentWrite`` is raised. Readers see the table before
+the change or after it, and a job that dies on the way leaves nothing they would read. Every COMPACT commits the log so far
 is also written to ``snapshot/v=<n>``; readers take the newest one and the few log entries after
-it, so the files they open stay few however long a table lives. ``expire`` deletes the files of
-folders that left the table. One writer per table at a time; a version that another writer has
-committed meanwhile is refused.
+it, so the files they open stay few however long a table lives. ``expire`` deletes the files that left the table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F
-from pyspark.sql.types import DateType, IntegerType, StructField, StructType
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
+from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
-from coinwharf.operators.upsert import apply_updates, check_unique
+from coinwharf.operators.interleave import BOUNDS_DDL, bounds_of, interleaved
+from coinwharf.operators.upsert import apply_updates, check_unique, images, outranks
 from coinwharf.session import empty_frame, small_frame, staged
 
-LOG_DDL = "location string, day string, rows long, removed boolean, load_id string"
+#: ``location`` is a folder, or a file that left its folder; a commit's own row has none, and names
+#: the folder of its row changes: empty where no row changed, NULL where they were not kept.
+LOG_DDL = "location string, day string, rows long, removed boolean, load_id string, changes string"
 #: Commits after which the log is written as one.
 COMPACT = 50
 
@@ -39,6 +45,7 @@ class State:
     version: int
     live: list[Row]
     seen: bool
+    last_load: str | None = None
 
     @property
     def locations(self) -> list[str]:
@@ -49,25 +56,37 @@ class State:
         return sum(entry["rows"] for entry in self.live)
 
 
-def _places(folders: Sequence[Row]) -> list[str]:
-    """Paths to read: a version's root where all its folders are wanted, else each folder."""
+def _places(folders: Sequence[Row], files_of: Callable[[Row], list[str]] | None = None) -> list[str]:
+    """Paths to read: a version's root where all its folders are wanted, else each folder, or the
+    files that are left of one that lost some."""
     versions: dict[str, list[Row]] = {}
     for folder in folders:
         versions.setdefault(folder["location"].split("/")[0], []).append(folder)
     places = []
     for version, wanted in versions.items():
-        whole = len(wanted) == wanted[0]["siblings"]
-        places += [version] if whole else [folder["location"] for folder in wanted]
+        if len(wanted) == wanted[0]["siblings"] and not any(folder["gone"] for folder in wanted):
+            places.append(version)
+            continue
+        for folder in wanted:
+            places += files_of(folder) if folder["gone"] else [folder["location"]]
     return places
 
 
+def _file(metadata: Column) -> Column:
+    """A file's place under the table's data folder."""
+    return F.regexp_extract(metadata, "/data/(v=[^/]+/.*)$", 1)
+
+
 class SnapshotTable:
     """A parquet table with an optional day partition.
 
     ``partition`` is (partition column, column it is derived from); the two may be the
     same. ``cluster`` columns sort the rows inside each file, so that their min/max
-    statistics let readers skip row groups. ``gather`` brings each day's rows together
+    statistics let readers skip row groups; several are interleaved bit by bit, so that a filter
+    on any one of them skips some. ``gather`` brings each day's rows together
     before they are written; without it rows are written where they are, unshuffled.
+    ``hidden`` columns are stored with the others but not among the table's rows; where a write
+    lacks them they are NULL. ``options`` go to the Parquet writer.
     """
 
     def __init__(
@@ -78,6 +97,8 @@ class SnapshotTable:
         partition: tuple[str, str] | None = None,
         cluster: Sequence[str] = (),
         gather: bool = True,
+        hidden: StructType | None = None,
+        options: dict[str, str] | None = None,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -86,6 +107,8 @@ class SnapshotTable:
         self.partition = partition
         self.cluster = list(cluster)
         self.gather = gather
+        self.hidden = hidden or StructType()
+        self.options = options or {}
 
     # -- reading ---------------------------------------------------------------
 
@@ -94,13 +117,17 @@ class SnapshotTable:
         entries = self._entries()
         if entries is None:
             return State(0, [], False)
+        is_file = F.col("location").endswith(".parquet")
+        folder = F.when(is_file, F.regexp_replace("location", "/[^/]+$", "")).otherwise(F.col("location"))
         folders = (
-            entries.groupBy("location", "day")
+            entries.groupBy(folder.alias("location"), "day")
             .agg(
-                F.max("rows").alias("rows"),
-                F.bool_or("removed").alias("removed"),
+                (F.coalesce(F.max(F.when(~is_file, F.col("rows"))), F.max("rows")) - F.coalesce(F.sum(F.when(is_file, F.col("rows"))), F.lit(0))).alias("rows"),
+                F.bool_or(F.col("removed") & F.coalesce(~is_file, F.lit(True))).alias("removed"),
+                F.collect_set(F.when(is_file, F.col("location"))).alias("gone"),
                 F.max("v").alias("v"),
                 F.max("load_id").alias("load_id"),
+                F.max_by("load_id", "v").alias("last_load"),
                 F.bool_or(F.col("load_id") == F.lit(load_id)).alias("seen"),
             )
             .withColumn("siblings", F.count("*").over(Window.partitionBy(F.substring_index("location", "/", 1))))
@@ -112,6 +139,7 @@ class SnapshotTable:
             version=commits[0]["v"] if commits else 0,
             live=[row for row in folders if row["location"] is not None],
             seen=bool(commits and commits[0]["seen"]),
+            last_load=commits[0]["last_load"] if commits else None,
         )
 
     def _hadoop(self, *parts: str):
@@ -149,7 +177,8 @@ class SnapshotTable:
         entries = self._entries()
         commits = entries.where("location is null")
         folders = entries.where("location is not null").withColumn("of", F.substring_index("location", "/", 1))
-        live = folders.join(folders.where("removed").select("location"), "location", "left_anti")
+        gone = folders.where("removed and location not like '%.parquet'").select("location")
+        live = folders.join(gone, "location", "left_anti").where("not removed")
         kept = folders.join(live.select("of").distinct(), "of", "left_semi").select(*commits.columns)
         commits.unionByName(kept).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/snapshot/v={version}")
 
@@ -159,7 +188,8 @@ class SnapshotTable:
         Readers that hold an older state lose their files, so call it when there are none. What
         an unfinished write of the next version left is deleted as well.
         """
-        live = {place for folder in self.state().live for place in (folder["location"], folder["location"].split("/")[0])}
+        folders = self.state().live
+        live = {place for folder in folders for place in (folder["location"], folder["location"].split("/")[0])}
         files, data = self._hadoop("data")
         deleted = 0
         for version in files.listStatus(data) if files.exists(data) else ():
@@ -171,8 +201,19 @@ class SnapshotTable:
                 inner = folder.getPath().getName()
                 if folder.isDirectory() and "=" in inner and f"{name}/{inner}" not in live:
                     deleted += files.delete(folder.getPath(), True)
+        for gone in (file for folder in folders for file in folder["gone"]):
+            files.delete(self._hadoop("data", gone)[1], False)
         return deleted
 
+    def changes_since(self, version: int, until: int) -> DataFrame | None:
+        """The row changes of the commits after a version: images of rows before (``sign`` -1) and
+        after (1). None where a commit did not keep them."""
+        commits = self._entries().where(F.col("location").isNull() & (F.col("v") > version) & (F.col("v") <= until)).select("changes").collect()
+        if len(commits) != until - version or any(row["changes"] is None for row in commits):
+            return None
+        paths = [f"{self.root}/changes/{row['changes']}" for row in commits if row["changes"]]
+        return self.spark.read.parquet(*paths) if paths else None if not commits else self.spark.range(0).select()
+
     def read(self, state: State | None = None) -> DataFrame:
         """The table's rows as of now, or as of a state read before."""
         return self._read((state or self.state()).live)
@@ -189,26 +230,36 @@ class SnapshotTable:
         """Rows in the table, from the log alone."""
         return self.state().rows
 
-    def _read(self, folders: Sequence[Row], partition: bool = False) -> DataFrame:
+    def _read(self, folders: Sequence[Row], partition: bool = False, extra: Sequence[str] = ()) -> DataFrame:
+        """The rows of some folders, where wanted with the partition, hidden columns and ``_file``."""
         schema = self._stored_schema(folders)
-        columns = self.schema.names
+        columns = [*self.schema.names, *extra]
         if partition and self.partition and self.partition[0] not in columns:
             columns = [*columns, self.partition[0]]
         if not folders:
             return empty_frame(self.spark, schema).select(*columns)
+        places = _places(folders, self._files_left)
+        return self._read_places(places, schema).select(*columns, *([_file(F.col("_metadata.file_path")).alias("_file")] if partition else []))
+
+    def _read_places(self, places: Sequence[str], schema: StructType) -> DataFrame:
         reader = self.spark.read.option("basePath", f"{self.root}/data").schema(schema)
-        return reader.parquet(*[f"{self.root}/data/{place}" for place in _places(folders)]).select(*columns)
+        return reader.parquet(*[f"{self.root}/data/{place}" for place in places])
+
+    def _files_left(self, folder: Row) -> list[str]:
+        files, path = self._hadoop("data", folder["location"])
+        names = [f"{folder['location']}/{status.getPath().getName()}" for status in files.listStatus(path)]
+        return [name for name in names if name.endswith(".parquet") and name not in folder["gone"]]
 
     def _stored_schema(self, folders: Sequence[Row] = ()) -> StructType:
-        """The table's columns and those that stand in folder names."""
+        """The table's columns, hidden ones, and those that stand in folder names."""
         if self.schema is None:
             if not folders:
                 raise ValueError(f"{self.root} holds no table and no schema was given")
             self.schema = self.spark.read.parquet(f"{self.root}/data/{folders[0]['location']}").schema
-        fields = list(self.schema)
+        fields = [*self.schema, *self.hidden]
         if self.partition and self.partition[0] not in self.schema.names:
             fields.append(StructField(self.partition[0], DateType()))
-        return StructType([*fields, StructField("v", IntegerType())])
+        return StructType([*fields, StructField("v", StringType())])
 
     # -- writing ---------------------------------------------------------------
 
@@ -216,7 +267,7 @@ class SnapshotTable:
         """Commit an empty first version when there is no table yet."""
         state = self.state()
         if not state.version:
-            self._commit(state, None, [], None)
+            self._commit(state, None, [], None, changes="")
 
     def append(self, df: DataFrame, load_id: str | None = None) -> int:
         """Add rows and return their number. A load id that was committed before adds none."""
@@ -253,95 +304,179 @@ class SnapshotTable:
         on_match: Sequence[str],
         load_id: str | None = None,
         strict: bool = False,
+        newest: Sequence[str] = (),
+        tie: Sequence[str] = (),
+        changes: Sequence[str] = (),
     ) -> dict[str, int]:
         """Upsert ``source`` (unique keys) and return the count of each action.
 
         1. The source is written once to the shared folder.
-        2. A scan of the target's key and partition columns alone finds the matched rows.
-           A small source is broadcast, so the target is not shuffled.
-        3. Only folders that hold a match are read whole and written anew; a row whose
+        2. A scan of the target's key, partition and ``newest`` columns alone finds the matched rows
+           and the files that hold them. A small source is broadcast, so the target is not shuffled.
+        3. Only files that hold a match are read whole and written anew; a row whose
            partition changed moves with them. Inserts are added as new files, so a batch
            of new keys rewrites nothing.
+
+        With ``newest`` a matched row is updated only if the source's row comes after it: by the
+        greatest of these columns in turn, NULL least, then by the least of the ``tie`` columns.
+        ``changes`` names columns whose values before and after the merge are kept.
         """
         state = self.state(load_id)
         if state.seen:
             return {}
-        source = source.select(*self.schema.names)
-        if strict or state.live:
+        stored = [*self.schema.names, *self.hidden.names]
+        source = source.select(*[c if c in source.columns else F.lit(None).cast(self.hidden[c].dataType).alias(c) for c in stored])
+        if strict or state.live or len(self.cluster) > 1:
             source = staged(source, "source")
         if strict:
             check_unique(source, keys)
         if not state.live:
             return {"keep": 0, "update": 0, "insert": self._commit(state, source, [], load_id)}
 
-        target = self._read(state.live, partition=True)
-        day = F.col(self.partition[0]).cast("string") if self.partition else F.lit(None).cast("string")
-        hits = staged(target.select(*keys, day.alias("_day")).join(source.select(*keys), list(keys)), "hits")
-        per_day = {row["_day"]: row["count"] for row in hits.groupBy("_day").count().collect()}
-        touched = [entry for entry in state.live if entry["day"] in per_day]
-        updates = sum(per_day.values())
-
-        changed = source
+        keys, day = list(keys), F.col(self.partition[0]).cast("string") if self.partition else F.lit(None).cast("string")
+        target = self._read(state.live, partition=True, extra=[c for c in newest if c in self.hidden.names])
+        asked = source.select(*keys, *[F.col(c).alias(f"s_{c}") for c in newest])
+        verdict = outranks(newest) if newest else F.lit(1)
+        hits = staged(target.join(asked, keys).select(*keys, day.alias("_day"), "_file", verdict.alias("_verdict")), "hits")
+        per_file = hits.groupBy("_day", "_file").agg(F.count_if(F.col("_verdict") == 1).alias("newer"), F.count_if(F.col("_verdict") == 0).alias("tied")).collect()
+        won = hits.where("_verdict = 1")
+        if tie and any(row["tied"] for row in per_file):
+            places = [unquote(row["_file"]) for row in per_file if row["tied"]]
+            tied = self._read_places(places, self._stored_schema()).select(*keys, *tie).join(hits.where("_verdict = 0"), keys)
+            tied = tied.join(source.select(*keys, *[F.col(c).alias(f"s_{c}") for c in tie]), keys)
+            before = F.struct(*[F.col(f"s_{c}").alias(c) for c in tie]) < F.struct(*tie)
+            won = staged(won.unionByName(tied.where(before).select(*hits.columns)), "won")
+            per_file = won.groupBy("_day", "_file").agg(F.count("*").alias("newer")).collect()
+        touched = {unquote(row["_file"]): row["newer"] for row in per_file if row["newer"]}
+        updates = sum(touched.values())
+
+        changed = fresh = source.join(hits.select(*keys), keys, "left_anti").select(*stored)
+        kept_images = None
         if touched:
-            changed = source.join(hits.select(*keys), list(keys), "left_anti").select(*source.columns)
-            affected = self._read(touched)
-            changed = apply_updates(affected, source, keys, on_match).unionByName(changed)
-        written = self._commit(state, changed, touched, load_id)
-        inserts = written - sum(entry["rows"] for entry in touched)
+            files = self._read_places(list(touched), self._stored_schema()).select(*stored)
+            winners = source.join(won.select(*keys), keys, "left_semi")
+            changed = apply_updates(files, winners, keys, on_match).unionByName(fresh)
+            if changes:
+                kept_images = images(files, winners, keys, on_match, changes)
+        if changes:
+            added = fresh.select(*changes, F.lit(1).alias("sign"))
+            kept_images = kept_images.unionByName(added) if kept_images else added
+        # a folder that loses all its files leaves the table, others lose files
+        gone = self._rows_by_file(list(touched)) if touched else {}
+        folders, files = [], []
+        for entry in state.live:
+            inside = [(f, entry["day"], n) for f, n in gone.items() if f.rsplit("/", 1)[0] == entry["location"]]
+            if inside and sum(n for _, _, n in inside) == entry["rows"]:
+                folders.append(entry)
+            else:
+                files += inside
+        written = self._commit(state, changed, folders, load_id, files, kept_images)
+        inserts = written - sum(gone.values())
         return {"keep": state.rows - updates, "update": updates, "insert": inserts}
 
-    def _write(self, df: DataFrame, version: int) -> list[Row]:
-        """Write rows under ``data/v=<version>`` and describe the folders made.
+    def _rows_by_file(self, places: Sequence[str]) -> dict[str, int]:
+        """Rows of some files, from their footers."""
+        counts = self._read_places(places, self._stored_schema()).groupBy(_file(F.col("_metadata.file_path")).alias("file")).count()
+        return {unquote(row["file"]): row["count"] for row in counts.collect()}
+
+    def _clustered(self, df: DataFrame, order: list[str]) -> DataFrame:
+        """Rows sorted inside each file; several cluster columns are interleaved."""
+        day = order[: len(order) - len(self.cluster)]
+        if len(self.cluster) < 2:
+            return df.sortWithinPartitions(*order)
+        path = f"{self.root}/cluster"
+        files, folder = self._hadoop("cluster", "_SUCCESS")
+        if not files.exists(folder):  # once per table: where each column's values are cut into ranks
+            small_frame(self.spark, bounds_of(df, self.cluster), BOUNDS_DDL).coalesce(1).write.mode("overwrite").parquet(path)
+        bounds: dict[str, list[str]] = {c: [] for c in self.cluster}
+        for row in self.spark.read.schema(BOUNDS_DDL).parquet(path).orderBy("name", "rank").collect():
+            bounds[row["name"]].append(row["bound"])
+        placed = df.withColumn("_place", interleaved(bounds))
+        return placed.sortWithinPartitions(*day, "_place", *self.cluster).drop("_place")
+
+    def _write(self, df: DataFrame, name: str) -> list[Row]:
+        """Write rows under ``data/<name>`` and describe the folders made.
 
         The rebalance hint gathers each day's rows into few files, and adaptive execution
         splits a day that holds far more rows than the others over several tasks.
         """
         if self.schema is None:
             self.schema = df.schema
-        df = df.select(*self.schema.names)
-        path = f"{self.root}/data/v={version}"
+        df = df.select(*self.schema.names, *[c if c in df.columns else F.lit(None).cast(self.hidden[c].dataType).alias(c) for c in self.hidden.names])
+        path = f"{self.root}/data/{name}"
         day, origin = self.partition or (None, None)
         if day and day != origin:
             df = df.withColumn(day, F.to_date(origin))
-        if self.gather and (day or self.cluster):
-            df = df.hint("rebalance", *([day] if day else []))
         order = [c for c in (day, *self.cluster) if c]
         if self.gather and order:
-            df = df.sortWithinPartitions(*order)
+            df = self._clustered(df.hint("rebalance", *([day] if day else [])), order)
         if not day:
-            df.write.mode("overwrite").parquet(path)
+            df.write.options(**self.options).parquet(path)
             rows = self.spark.read.schema(self.schema).parquet(path).count()
-            return [Row(location=f"v={version}", day=None, rows=rows)]
+            return [Row(location=name, day=None, rows=rows)]
 
-        df.write.mode("overwrite").partitionBy(day).parquet(path)
+        df.write.options(**self.options).partitionBy(day).parquet(path)
         stored = self.spark.read.schema(self._stored_schema()).parquet(path)
         counts = stored.groupBy(F.col(day).cast("string").alias("day")).count().collect()
         return [
             Row(
-                location=f"v={version}/{day}={row['day'] or '__HIVE_DEFAULT_PARTITION__'}",
+                location=f"{name}/{day}={row['day'] or '__HIVE_DEFAULT_PARTITION__'}",
                 day=row["day"],
                 rows=row["count"],
             )
             for row in counts
         ]
 
-    def _commit(self, state: State, df: DataFrame | None, removed: Sequence[Row], load_id: str | None) -> int:
+    def _commit(
+        self,
+        state: State,
+        df: DataFrame | None,
+        removed: Sequence[Row],
+        load_id: str | None,
+        removed_files: Sequence[tuple[str, str | None, int]] = (),
+        kept_images: DataFrame | None = None,
+        changes: str | None = None,
+    ) -> int:
         """Write rows, then the log entry that puts them in place; returns the rows written."""
         version = state.version + 1
+        name = f"v={version}-{uuid.uuid4().hex[:12]}"
         if version in self._versions("log"):
             raise ConcurrentWrite(f"version {version} of {self.root} is there already")
-        added = [] if df is None else self._write(df, version)
-        rows = [(None, None, 0, False, load_id)]
-        rows += [(e["location"], e["day"], e["rows"], False, load_id) for e in added]
-        rows += [(e["location"], e["day"], e["rows"], True, None) for e in removed]
-        entries = small_frame(self.spark, rows, LOG_DDL)
-        if version in self._versions("log"):
+        added = [] if df is None else self._write(df, name)
+        if kept_images is not None:
+            kept_images.write.parquet(f"{self.root}/changes/{name}")
+            changes = name
+        rows = [(None, None, 0, False, load_id, changes)]
+        rows += [(e["location"], e["day"], e["rows"], False, load_id, None) for e in added]
+        rows += [(e["location"], e["day"], e["rows"], True, None, None) for e in removed]
+        rows += [(location, day, n, True, None, None) for location, day, n in removed_files]
+        aside = f"log/.{name}"
+        small_frame(self.spark, rows, LOG_DDL).coalesce(1).write.parquet(f"{self.root}/{aside}")
+        if not self._renamed(aside, f"log/v={version}"):
+            for lost in (aside, f"data/{name}", f"changes/{name}"):
+                files, path = self._hadoop(lost)
+                files.delete(path, True)
             raise ConcurrentWrite(f"version {version} of {self.root} is there already")
-        entries.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/log/v={version}")
         if version % COMPACT == 0:
             self._compact(version)
         return sum(entry["rows"] for entry in added)
 
+    def _renamed(self, old: str, new: str) -> bool:
+        """Rename a folder; False where the new name is taken. Atomic where the file system renames
+        folders in one step and refuses to do so onto another, as HDFS does."""
+        fs = self.spark._jvm.org.apache.hadoop.fs
+        _, source = self._hadoop(old)
+        _, target = self._hadoop(new)
+        context = fs.FileContext.getFileContext(target.toUri(), self.spark._jsc.hadoopConfiguration())
+        none = self.spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 0)
+        try:
+            context.rename(source, target, none)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+                raise
+            return False
+        return True
+
 
 def ensure_tables(tables: Sequence[SnapshotTable]) -> None:
     """Create each table that does not exist yet."""

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -23,6 +24,11 @@ def frame(spark, rows):
     return spark.createDataFrame([(k, d(day), x, kept) for k, day, x, kept in rows], DDL)
 
 
+def plain(places):
+    """Places without the part of their names that is a writer's own."""
+    return sorted(re.sub("^(v=[0-9]+)-[0-9a-f]+", r"\1", place) for place in places)
+
+
 def rows_of(t):
     return {tuple(r) for r in t.read().collect()}
 
@@ -51,7 +57,7 @@ def test_only_touched_days_are_rewritten(spark, folder):
     t = table(spark, folder)
     t.merge(frame(spark, [("a", 1, 1, 1), ("b", 2, 2, 2)]), ["k"], ["x"])
     t.merge(frame(spark, [("b", 2, 5, 5)]), ["k"], ["x"])
-    assert set(t.state().locations) == {"v=1/day=2025-01-01", "v=2/day=2025-01-02"}
+    assert plain(t.state().locations) == ["v=1/day=2025-01-01", "v=2/day=2025-01-02"]
     assert rows_of(t) == {("a", d(1), 1, 1), ("b", d(2), 5, 2)}
 
 
@@ -94,7 +100,7 @@ def test_replace_may_read_the_table_itself(spark, folder):
 def test_unfinished_writes_are_not_seen(spark, folder):
     t = table(spark, folder)
     t.append(frame(spark, [("a", 1, 1, 1)]))
-    t._write(frame(spark, [("z", 1, 1, 1)]), 2)  # the job dies before the commit
+    t._write(frame(spark, [("z", 1, 1, 1)]), "v=2-0")  # the job dies before the commit
     assert rows_of(t) == {("a", d(1), 1, 1)}
     t.append(frame(spark, [("b", 1, 2, 2)]))
     assert rows_of(t) == {("a", d(1), 1, 1), ("b", d(1), 2, 2)}
@@ -123,7 +129,7 @@ def test_empty_and_derived_partition(spark, folder):
     t.ensure()
     assert t.state().version == 1 and t.read().columns == ["k", "updated_at"] and t.read().isEmpty()
     t.append(spark.createDataFrame([("a", dt.datetime(2025, 3, 4, 23, 59))], schema))
-    assert t.state().locations == ["v=2/updated_date=2025-03-04"]
+    assert plain(t.state().locations) == ["v=2/updated_date=2025-03-04"]
     assert t.read().columns == ["k", "updated_at"]
     t.append(spark.createDataFrame([], schema))
     assert t.row_count() == 1
@@ -194,9 +200,9 @@ def test_whole_versions_are_read_by_their_root(spark, folder):
 
     t = table(spark, folder)
     t.append(frame(spark, [("a", 1, 1, 1), ("b", 2, 2, 2)]))
-    assert _places(t.state().live) == ["v=1"]
+    assert plain(_places(t.state().live)) == ["v=1"]
     t.merge(frame(spark, [("b", 2, 5, 5), ("c", 3, 3, 3)]), ["k"], ["x"])
-    assert sorted(_places(t.state().live)) == ["v=1/day=2025-01-01", "v=2"]
+    assert plain(_places(t.state().live)) == ["v=1/day=2025-01-01", "v=2"]
     assert rows_of(t) == {("a", d(1), 1, 1), ("b", d(2), 5, 2), ("c", d(3), 3, 3)}
 
 
@@ -223,7 +229,7 @@ def test_a_log_without_snapshots_is_the_same(spark, folder, monkeypatch):
         t = table(spark, f"{folder}/{compact}")
         for n in range(7):
             t.merge(frame(spark, [("a", n % 2 + 1, n, n), (f"b{n}", 2, n, n)]), ["k"], ["x", "day"], load_id=str(n))
-        states.append((t.state().version, sorted(t.state().locations), rows_of(t), sorted(map(tuple, t.rows_of("3").collect()))))
+        states.append((t.state().version, plain(t.state().locations), rows_of(t), sorted(map(tuple, t.rows_of("3").collect()))))
     assert states[0] == states[1]
 
 
@@ -235,7 +241,8 @@ def test_expire_deletes_what_left_the_table(spark, folder):
     t.merge(frame(spark, [("b", 2, 5, 5)]), ["k"], ["x"])
     before = rows_of(t)
     assert t.expire() == 1 and rows_of(t) == before
-    assert not os.path.exists(f"{folder}/data/v=1/day=2025-01-02") and os.path.exists(f"{folder}/data/v=1/day=2025-01-01")
+    (first,) = (name for name in os.listdir(f"{folder}/data") if name.startswith("v=1-"))
+    assert not os.path.exists(f"{folder}/data/{first}/day=2025-01-02") and os.path.exists(f"{folder}/data/{first}/day=2025-01-01")
     t.replace(frame(spark, [("c", None, 1, 1)]))
     assert t.expire() == 2 and rows_of(t) == {("c", None, 1, 1)}
     assert t.expire() == 0
