@@ -78,6 +78,32 @@ INPUTS = {
         "cast(o_orderdate as date) + 40 as day from {orders} "
         "where o_orderdate >= timestamp '1999-01-01 00:00:00'"
     ),
+    # Three loads of transactions: all orders, then changes of day, status and amount, then of
+    # account and to earlier days.
+    "load_1": (
+        "select o_orderkey as k, o_custkey % 100 as account, o_custkey % 30 as product, o_orderkey % 10 as branch, "
+        "cast(date_trunc('month', cast(o_orderdate as date)) as date) as date, case o_orderstatus when 'F' then 'Success' when 'O' then 'SUCCESS' else 'Failed' end as status, "
+        "o_totalprice as amount from {orders} where o_orderkey % 5 > 0"
+    ),
+    "load_2": (
+        "select o_orderkey as k, o_custkey % 100 as account, o_custkey % 30 as product, o_orderkey % 10 as branch, "
+        "cast(date_trunc('month', cast(o_orderdate as date) + 45) as date) as date, case when o_orderkey % 4 = 0 then 'Success' else 'Failed' end as status, "
+        "o_totalprice + 1 as amount from {orders} where o_orderkey % 2 = 0"
+    ),
+    "load_3": (
+        "select o_orderkey as k, o_custkey % 90 as account, o_custkey % 30 as product, o_orderkey % 10 as branch, "
+        "cast(date_trunc('month', cast(o_orderdate as date) - 400) as date) as date, 'Success' as status, case when o_orderkey % 9 > 0 then o_totalprice end as amount "
+        "from {orders} where o_orderkey % 3 = 0"
+    ),
+    # Values of several kinds, as text.
+    "kinds": (
+        "select lpad(cast(o_orderkey as string), 8, '0') as zeros, '+91' || cast(6000000000 + o_orderkey as string) as phone, "
+        "cast(o_orderkey as string) as whole, cast(cast(o_totalprice as decimal(18, 2)) as string) as price, "
+        "cast(cast(o_orderdate as date) as string) as day, cast(cast(o_orderdate as date) as string) || ' 10:11:12' as moment, "
+        "case when o_orderstatus = 'F' then 'true' else 'false' end as flag, "
+        "case when o_orderkey = 7 then 'x' else cast(o_orderkey as string) end as mixed, cast(null as string) as nothing, "
+        "case when o_orderstatus = 'F' then null else cast(o_orderkey as string) end as gaps, o_orderpriority as words from {orders}"
+    ),
     # Raw rows of the five entities, all text: a current and an older copy of each record,
     # whose ids become equal when cleaned.
     "raw_account": (

@@ -101,7 +101,7 @@ ORACLE = {
         select branch_id, total, round(total * 100 / (select {money('total')} from g), 2) as percentage from g""",
     "rows_without_match": f"""
         select product_id from {table('products')} where product_id not in (
-            select product_id from {table('sales')} where status = 'R' and date >= date '2001-06-01')""",
+            select product_id from {table('sales')} group by product_id having max(amount) > 94000)""",
     "upsert_rows": f"""
         select coalesce(t.o_orderkey, s.o_orderkey) as o_orderkey,
                case when s.o_orderkey is null then t.o_totalprice else s.o_totalprice end as o_totalprice,
@@ -376,8 +376,13 @@ ORACLE["message_chain"] = (
 
 def _audit(entity: str) -> str:
     quality, accepted = f"({_quality(entity)})", f"(select count(*) as n from {source(entity)})"
-    lines = []
+    key, lines = columns(entity)[0][0], []
+    collapsed = (
+        f"(select count(*) as n from (select {CLEANING[entity][2].get(key, key)} as k from {raw(entity)} "
+        f"where {CLEANING[entity][0]} group by k having min({key}) <> max({key})))"
+    )
     for run in ("first", "second"):
+        lines.append(f"select '{run}' as run_id, '{entity}' as entity, 'collapsed' as metric, n as rows from {collapsed}")
         inserted, updated = ("n", "0") if run == "first" else ("0", "n")
         lines += [f"select '{run}' as run_id, '{entity}' as entity, '{m}' as metric, {m} as rows from {quality}"
                   for m in ("rows_in", "rejected")]
@@ -387,3 +392,61 @@ def _audit(entity: str) -> str:
 
 
 ORACLE["chain_audit"] = " union all ".join(_audit(e) for e in CURATED_DDL)
+
+# -- the order of reports, and reports kept up to date by what changed -----------------------
+
+ORACLE["product_order"] = (
+    "select row_number() over (order by total_revenue desc, product_id) as place, product_id "
+    f"from ({ORACLE['product_share']})"
+)
+ORACLE["suspicious_order"] = (
+    "select row_number() over (order by amount desc, transaction_id, customer_id) as place, transaction_id, customer_id "
+    f"from ({ORACLE['suspicious']})"
+)
+# Later loads replace rows of earlier ones.
+_FINAL = (
+    f"(select * from {table('load_3')} union all select * from {table('load_2')} where k % 3 <> 0 "
+    f"union all select * from {table('load_1')} where k % 3 <> 0 and k % 2 <> 0)"
+)
+ORACLE["trend_by_deltas"] = (
+    "select 'B' || cast(branch as varchar) as branch_id, strftime(date, '%Y-%m') as year_month, "
+    f"count(*) as total_transactions, {money('amount')} as total_amount, status as transaction_status "
+    f"from {_FINAL} group by branch, year_month, status"
+)
+ORACLE["share_by_deltas"] = f"""
+    with revenue as (
+        select 'P' || cast(product as varchar) as product_id, {money('amount')} as total_revenue from {_FINAL}
+        where status = 'Success' and product in (select p_partkey % 25 from part) group by product)
+    select product_id, total_revenue,
+           round(total_revenue * 100 / (select {money('total_revenue')} from revenue), 2) as revenue_percentage
+    from revenue"""
+ORACLE["customers_by_deltas"] = f"""
+    select c_custkey as customer_id, c_name as customer_name, {money('amount')} as total_volume
+    from {_FINAL} join customer on account = c_custkey % 120 where upper(status) = 'SUCCESS'
+    group by c_custkey, c_name order by total_volume desc, customer_id, customer_name limit 50"""
+ORACLE["inactive_by_state"] = " union all ".join(
+    f"select 'A' || cast(a as varchar) as account_id, '{day}' as as_of "
+    f"from (select distinct c_custkey % 120 as a from customer) where a not in "
+    f"(select account from {_FINAL} where date >= date '{day}' - interval 3 month)"
+    for day in ("2000-01-01", "2001-06-01", "2001-12-15")
+)
+
+
+def _kind(name: str) -> str:
+    def comes_back(kind: str) -> str:
+        return f"bool_and(coalesce(cast(try_cast({name} as {kind}) as varchar) = {name}, false)) filter (where {name} is not null)"
+
+    places, digits = f"length(split_part({name}, '.', 2))", f"length(replace(split_part({name}, '.', 1), '-', ''))"
+    decimal = f"bool_and(regexp_full_match({name}, '-?(0|[1-9][0-9]*)[.][0-9]+'))"
+    return (
+        f"select '{name}' as name, count({name}) as n_values, case when count({name}) = 0 then 'string' "
+        f"when {comes_back('bigint')} then 'bigint' when {decimal} and min({places}) = max({places}) "
+        f"then 'decimal(' || cast(max({digits}) + max({places}) as varchar) || ',' || cast(max({places}) as varchar) || ')' "
+        f"when {comes_back('date')} then 'date' when {comes_back('timestamp')} then 'timestamp' "
+        f"when {comes_back('boolean')} then 'boolean' else 'string' end as kind from {table('kinds')}"
+    )
+
+
+ORACLE["inferred_types"] = " union all ".join(
+    map(_kind, ("zeros", "phone", "whole", "price", "day", "moment", "flag", "mixed", "nothing", "gaps", "words"))
+)

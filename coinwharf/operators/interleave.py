@@ -11,17 +11,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-RANK_BITS = 8
-#: Rows, about, that the bounds are taken from.
+RANK_BITS, STEP = 6, 8
+#: Rows that the bounds are taken from.
 SAMPLE = 65_536
 BOUNDS_DDL = "name string, rank bigint, bound string"
 
 
 def bounds_of(df: DataFrame, columns: Sequence[str], sample: int = SAMPLE) -> list[tuple[str, int, str]]:
-    """(column, rank, least text of that rank) of evenly filled ranks, from rows chosen by a hash."""
+    """(column, rank, least text of that rank) of evenly filled ranks, from the rows of least hash."""
     rows = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    share = min(1.0, sample / max(df.count(), 1))
-    chosen = rows.where(F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) < int(share * (1 << 30))).toArrow().to_pydict()
+    chosen = rows.orderBy(F.xxhash64(*columns)).limit(sample).toArrow().to_pydict()
     found = []
     for column in columns:
         values = sorted(v for v in chosen[column] if v is not None)
@@ -32,14 +31,14 @@ def bounds_of(df: DataFrame, columns: Sequence[str], sample: int = SAMPLE) -> li
 
 
 def _rank(value: Column, bounds: Sequence[str]) -> Column:
-    """How many bounds a value reaches, by steps of 16 and then by one; NULL reaches none."""
+    """How many bounds a value reaches, by steps and then by one; NULL reaches none."""
     if not bounds:
         return F.lit(0)
-    steps = [bounds[i] for i in range(15, len(bounds), 16)]
+    steps = [bounds[i] for i in range(STEP - 1, len(bounds), STEP)]
     all_bounds = F.array(*map(F.lit, bounds))
     reached = lambda some: F.size(F.filter(some, lambda b: b <= value))
-    coarse = (reached(F.array(*map(F.lit, steps))) if steps else F.lit(0)) * 16
-    return F.coalesce(coarse + reached(F.slice(all_bounds, coarse + 1, 16)), F.lit(0))
+    coarse = (reached(F.array(*map(F.lit, steps))) if steps else F.lit(0)) * STEP
+    return F.coalesce(coarse + reached(F.slice(all_bounds, coarse + 1, STEP)), F.lit(0))
 
 
 def interleaved(bounds: dict[str, Sequence[str]]) -> Column:

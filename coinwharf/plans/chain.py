@@ -102,14 +102,15 @@ def load_curated(lake: Lake, entity: str, raw: DataFrame, run: Run, only_new: bo
     if run.strict:
         check_spellings(raw, spec)
     rows = staged(classified(raw, spec, run.as_of, run.normalize_phone, run.null_keys), "classified")
-    counts = verdict_counts(rows, spec).first().asDict() | collapsed_keys(rows, spec).first().asDict()
-    if counts["rejected"]:
-        refused(rows).write.mode("overwrite").parquet(f"{lake.rejects(entity)}/run_id={run.run_id}")
     source = latest_rows(accepted_rows(rows), spec, run.run_ts, ordered=True)
     order = {"newest": ORDER_STAMPS.names, "tie": spec.tie} if only_new else {}
     changes = IMAGED if only_new and entity == "transaction" else ()
-    actions = lake.curated(entity).merge(source, [spec.key], spec.on_match, load_id=run.run_id, changes=changes, **order)
-    return "curated", entity, {**counts, **actions}
+    merge = lambda: lake.curated(entity).merge(source, [spec.key], spec.on_match, load_id=run.run_id, changes=changes, **order)
+    counted = [lambda: verdict_counts(rows, spec).first().asDict(), lambda: collapsed_keys(rows, spec).first().asDict()]
+    quality, collapsed, actions = _together(lambda job: job(), [*counted, merge])
+    if quality["rejected"]:
+        refused(rows).write.mode("overwrite").parquet(f"{lake.rejects(entity)}/run_id={run.run_id}")
+    return "curated", entity, {**quality, **collapsed, **actions}
 
 
 def build_reports(lake: Lake, run: Run) -> dict[str, DataFrame]:
@@ -173,7 +174,7 @@ def run_files(
     if only_new:
         sources = loaded
     else:
-        states = {entity: lake.raw(entity).state() for entity in ENTITIES}
+        states = dict(zip(ENTITIES, _together(lambda entity: lake.raw(entity).state(), ENTITIES)))
         sources = {entity: lake.raw(entity).read(state) for entity, state in states.items() if state.rows}
     _together(lambda entity: lake.curated(entity).ensure(), ENTITIES)
     entries += _together(lambda entity: load_curated(lake, entity, sources[entity], run, only_new), sources)

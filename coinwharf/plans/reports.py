@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from coinwharf.functions.numeric import AMOUNT_SCALE, exact_sum
 from coinwharf.functions.temporal import day_literal, months_before, year_month
 from coinwharf.functions.text import same_word
 from coinwharf.operators.absence import without_match
 from coinwharf.operators.share import with_percentage
+from coinwharf.session import staged
 
 # The names of the report tables and the limits they use.
 TOP_CUSTOMERS = "top_five_customer_trans"
@@ -149,3 +150,18 @@ def in_order(name: str, report: DataFrame) -> DataFrame:
     shuffles it whole just to sort it.
     """
     return report.orderBy(*[F.desc(c[1:]) if c.startswith("-") else F.col(c) for c in ORDER[name]])
+
+
+def placed(name: str, report: DataFrame) -> DataFrame:
+    """A report's rows with their ``place`` in that order, from 1.
+
+    The sort is by ranges, so no task sees all rows: each row has a place in its range, and the
+    ranges, a row each, are added up.
+    """
+    row = F.monotonically_increasing_id()  # the range above 33 bits of the place in it
+    ranges = staged(in_order(name, report).withColumn("_row", row).withColumn("_range", F.shiftright("_row", 33)), "ordered")
+    counts = ranges.groupBy("_range").agg(F.count("*").alias("_rows"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    begins = counts.select("_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_begin"))
+    place = F.col("_begin") + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return ranges.join(begins, "_range").select(place.alias("place"), *report.columns)

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from urllib.parse import unquote
 
@@ -30,8 +30,12 @@ from coinwharf.session import empty_frame, small_frame, staged
 #: ``location`` is a folder, or a file that left its folder; a commit's own row has none, and names
 #: the folder of its row changes: empty where no row changed, NULL where they were not kept.
 LOG_DDL = "location string, day string, rows long, removed boolean, load_id string, changes string"
-#: Commits after which the log is written as one.
-COMPACT = 50
+#: Commits after which the log is written as one; load ids kept with a state that was read.
+COMPACT, RECENT_LOADS = 50, 10_000
+
+
+#: The newest state read of each table; a version never changes once it is committed.
+_STATES: dict[str, State] = {}
 
 
 class ConcurrentWrite(RuntimeError):
@@ -46,6 +50,8 @@ class State:
     live: list[Row]
     seen: bool
     last_load: str | None = None
+    recent: frozenset[str] = frozenset()
+    commits: int = 0
 
     @property
     def locations(self) -> list[str]:
@@ -113,10 +119,25 @@ class SnapshotTable:
     # -- reading ---------------------------------------------------------------
 
     def state(self, load_id: str | None = None) -> State:
+        """What the log says as of now, and whether it holds a load.
+
+        The log is read when it has a version this process has not read; else a listing is enough.
+        """
+        newest = max(self._versions("log"), default=0)
+        state = _STATES.get(self.root)
+        if state is None or state.version != newest:
+            state = _STATES[self.root] = self._state()
+        seen = load_id in state.recent
+        if load_id and not seen and state.commits > RECENT_LOADS:
+            seen = not self._entries().where(F.col("location").isNull() & (F.col("load_id") == load_id)).isEmpty()
+        return replace(state, seen=seen)
+
+    def _state(self) -> State:
         """Read the log: one row per folder, plus one for the commits themselves."""
         entries = self._entries()
         if entries is None:
             return State(0, [], False)
+        commit = F.when(F.col("location").isNull(), F.struct("v", "load_id"))
         is_file = F.col("location").endswith(".parquet")
         folder = F.when(is_file, F.regexp_replace("location", "/[^/]+$", "")).otherwise(F.col("location"))
         folders = (
@@ -128,7 +149,8 @@ class SnapshotTable:
                 F.max("v").alias("v"),
                 F.max("load_id").alias("load_id"),
                 F.max_by("load_id", "v").alias("last_load"),
-                F.bool_or(F.col("load_id") == F.lit(load_id)).alias("seen"),
+                F.slice(F.sort_array(F.collect_list(commit), asc=False), 1, RECENT_LOADS).alias("recent"),
+                F.count(commit).alias("commits"),
             )
             .withColumn("siblings", F.count("*").over(Window.partitionBy(F.substring_index("location", "/", 1))))
             .where("not removed")
@@ -138,8 +160,10 @@ class SnapshotTable:
         return State(
             version=commits[0]["v"] if commits else 0,
             live=[row for row in folders if row["location"] is not None],
-            seen=bool(commits and commits[0]["seen"]),
+            seen=False,
             last_load=commits[0]["last_load"] if commits else None,
+            recent=frozenset(row["load_id"] for row in commits[0]["recent"] if row["load_id"]) if commits else frozenset(),
+            commits=commits[0]["commits"] if commits else 0,
         )
 
     def _hadoop(self, *parts: str):
@@ -333,6 +357,7 @@ class SnapshotTable:
         if not state.live:
             return {"keep": 0, "update": 0, "insert": self._commit(state, source, [], load_id)}
 
+        on_match = [*on_match, *self.hidden.names]
         keys, day = list(keys), F.col(self.partition[0]).cast("string") if self.partition else F.lit(None).cast("string")
         target = self._read(state.live, partition=True, extra=[c for c in newest if c in self.hidden.names])
         asked = source.select(*keys, *[F.col(c).alias(f"s_{c}") for c in newest])
@@ -363,9 +388,12 @@ class SnapshotTable:
             kept_images = kept_images.unionByName(added) if kept_images else added
         # a folder that loses all its files leaves the table, others lose files
         gone = self._rows_by_file(list(touched)) if touched else {}
+        by_folder: dict[str, list[tuple[str, int]]] = {}
+        for file, rows in gone.items():
+            by_folder.setdefault(file.rsplit("/", 1)[0], []).append((file, rows))
         folders, files = [], []
         for entry in state.live:
-            inside = [(f, entry["day"], n) for f, n in gone.items() if f.rsplit("/", 1)[0] == entry["location"]]
+            inside = [(file, entry["day"], rows) for file, rows in by_folder.get(entry["location"], ())]
             if inside and sum(n for _, _, n in inside) == entry["rows"]:
                 folders.append(entry)
             else:
@@ -384,16 +412,22 @@ class SnapshotTable:
         day = order[: len(order) - len(self.cluster)]
         if len(self.cluster) < 2:
             return df.sortWithinPartitions(*order)
-        path = f"{self.root}/cluster"
-        files, folder = self._hadoop("cluster", "_SUCCESS")
-        if not files.exists(folder):  # once per table: where each column's values are cut into ranks
-            small_frame(self.spark, bounds_of(df, self.cluster), BOUNDS_DDL).coalesce(1).write.mode("overwrite").parquet(path)
         bounds: dict[str, list[str]] = {c: [] for c in self.cluster}
-        for row in self.spark.read.schema(BOUNDS_DDL).parquet(path).orderBy("name", "rank").collect():
-            bounds[row["name"]].append(row["bound"])
+        for name, _, bound in self._bounds(df):
+            bounds[name].append(bound)
         placed = df.withColumn("_place", interleaved(bounds))
         return placed.sortWithinPartitions(*day, "_place", *self.cluster).drop("_place")
 
+    def _bounds(self, df: DataFrame) -> list[tuple[str, int, str]]:
+        """Where the values of the cluster columns are cut into ranks; settled by the first rows written."""
+        path = f"{self.root}/cluster"
+        files, done = self._hadoop("cluster", "_SUCCESS")
+        if files.exists(done):
+            return [tuple(row) for row in self.spark.read.schema(BOUNDS_DDL).parquet(path).orderBy("name", "rank").collect()]
+        found = bounds_of(df, self.cluster)
+        small_frame(self.spark, found, BOUNDS_DDL).coalesce(1).write.mode("overwrite").parquet(path)
+        return found
+
     def _write(self, df: DataFrame, name: str) -> list[Row]:
         """Write rows under ``data/<name>`` and describe the folders made.
 
@@ -457,10 +491,30 @@ class SnapshotTable:
                 files, path = self._hadoop(lost)
                 files.delete(path, True)
             raise ConcurrentWrite(f"version {version} of {self.root} is there already")
+        _STATES[self.root] = self._after(state, version, added, removed, removed_files, load_id)
         if version % COMPACT == 0:
             self._compact(version)
         return sum(entry["rows"] for entry in added)
 
+    @staticmethod
+    def _after(
+        state: State, version: int, added: Sequence[Row], removed: Sequence[Row], removed_files: Sequence[tuple], load_id: str | None
+    ) -> State:
+        """The state a commit of this process leads to, as reading the log would give it."""
+        left = {entry["location"] for entry in removed}
+        by_folder: dict[str, list[tuple[str, int]]] = {}
+        for file, _, rows in removed_files:
+            by_folder.setdefault(file.rsplit("/", 1)[0], []).append((file, rows))
+        live = []
+        for entry in state.live:
+            gone = by_folder.get(entry["location"], [])
+            if entry["location"] not in left:
+                changed = {"gone": [*entry["gone"], *(f for f, _ in gone)], "rows": entry["rows"] - sum(n for _, n in gone)}
+                live.append(Row(**(entry.asDict() | changed)) if gone else entry)
+        live += [Row(**entry.asDict(), gone=[], siblings=len(added), load_id=load_id, v=version) for entry in added]
+        recent = state.recent | {load_id} if load_id else state.recent
+        return State(version, live, False, load_id, recent, state.commits + 1)
+
     def _renamed(self, old: str, new: str) -> bool:
         """Rename a folder; False where the new name is taken. Atomic where the file system renames
         folders in one step and refuses to do so onto another, as HDFS does."""

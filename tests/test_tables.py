@@ -257,3 +257,127 @@ def test_a_second_writer_is_refused(spark, folder):
     with pytest.raises(ConcurrentWrite):
         two._commit(stale, frame(spark, [("b", 1, 1, 1)]), [], None)
     assert rows_of(one) == {("a", d(1), 1, 1)}
+
+
+def test_a_refused_writer_leaves_the_other_ones_rows(spark, folder, monkeypatch):
+    """Both begin from one version; the second writes its rows while the first is between its own
+    rows and its log entry."""
+    import os
+
+    from coinwharf.sources.tables import ConcurrentWrite
+
+    one, two = table(spark, folder), table(spark, folder)
+    one.append(frame(spark, [("z", 1, 1, 1)]))
+    mine, theirs = frame(spark, [(f"a{i}", 1, i, i) for i in range(5)]), frame(spark, [(f"b{i}", 1, i, i) for i in range(7)])
+    stale = two.state()
+    renamed, order = SnapshotTable._renamed, []
+
+    def slow(self, old, new):
+        if self is one and not order:
+            order.append("two writes")
+            assert two._write(theirs, "v=2-0") and two._commit(stale, theirs, [], None) == 7
+        return renamed(self, old, new)
+
+    monkeypatch.setattr(SnapshotTable, "_renamed", slow)
+    with pytest.raises(ConcurrentWrite):
+        one.append(mine)
+    assert order and rows_of(one) == {("z", d(1), 1, 1), *((f"b{i}", d(1), i, i) for i in range(7))}
+    assert one.row_count() == 8 and one.append(mine) == 5 and one.row_count() == one.read().count() == 13
+    # what the refused writer had written is gone; "0" is the unfinished write above
+    assert len([n for n in os.listdir(f"{folder}/data") if n.startswith("v=2-") and n != "v=2-0"]) == 1
+
+
+def test_only_files_with_a_match_are_rewritten(spark, folder):
+    """One row of a folder of many files."""
+    t = SnapshotTable(spark, folder, StructType.fromDDL(DDL), ("day", "day"), ["k"], gather=False)
+    rows = frame(spark, [(f"k{i:03}", 1, i, i) for i in range(200)]).repartition(8, "k")
+    t.append(rows)
+    before = {path: spark.read.parquet(path).count() for path in t.read().inputFiles()}
+    assert len(before) == 8
+    for n in (1, 2, 3):
+        counts = t.merge(frame(spark, [("k007", 1, 1000 + n, 0), (f"new{n}", 1, n, n)]), ["k"], ["x"])
+        assert counts == {"keep": 199 + n - 1, "update": 1, "insert": 1}
+        after = set(t.read().inputFiles())
+        if n == 1:
+            assert len(set(before) - after) == 1 and len(set(before) & after) == 7
+            (lost,) = set(before) - after
+            rewritten = sum(spark.read.parquet(path).count() for path in after - set(before))
+            assert rewritten == before[lost] + 1
+    expected = {(f"k{i:03}", d(1), 1003 if i == 7 else i, i) for i in range(200)} | {(f"new{n}", d(1), n, n) for n in (1, 2, 3)}
+    assert rows_of(t) == expected and t.row_count() == 203
+    t.expire()
+    assert rows_of(t) == expected
+
+
+def test_state_after_a_commit_is_what_the_log_says(spark, folder, monkeypatch):
+    from coinwharf.sources import tables
+
+    rng = random.Random(5)
+    monkeypatch.setattr(tables, "COMPACT", 4)
+    t = SnapshotTable(spark, folder, StructType.fromDDL(DDL), ("day", "day"), ["k"], gather=False)
+    for n in range(9):
+        rows = [(k, rng.choice([None, 1, 2]), n, n) for k in {f"k{rng.randrange(30)}" for _ in range(12)}]
+        t.merge(frame(spark, rows).repartition(3), ["k"], ["x", "day"], load_id=str(n))
+        known, read = t.state(), t._state()
+        key = lambda e: (e["location"], e["day"], e["rows"], sorted(e["gone"]), e["siblings"], e["load_id"])
+        assert sorted(map(key, known.live), key=repr) == sorted(map(key, read.live), key=repr)
+        assert (known.version, known.last_load, known.recent, known.commits) == (read.version, read.last_load, read.recent, read.commits)
+    assert t.row_count() == t.read().count()
+
+
+def test_an_older_row_does_not_replace_a_newer_one(spark, folder):
+    """Any order of arrivals gives the row with the greatest stamps, ties by the other columns."""
+    rng = random.Random(9)
+    rows = [("a", day, x, kept) for day in (None, 1, 2) for x in (1, 2) for kept in (None, 4)] + [("b", None, 1, 1)]
+    hidden = StructType.fromDDL("stamp int")
+    for _ in range(2):
+        rng.shuffle(rows)
+        t = SnapshotTable(spark, f"{folder}/{rng.random()}", StructType.fromDDL("k string, x int, kept int"), hidden=hidden)
+        for row in rows:
+            source = spark.createDataFrame([(row[0], row[2], row[3], row[1])], "k string, x int, kept int, stamp int")
+            t.merge(source, ["k"], ["x", "kept"], newest=["stamp", "x"], tie=["kept"])
+        assert rows_of(t) == {("a", 2, None), ("b", 1, 1)} and t.read().columns == ["k", "x", "kept"]
+
+
+def test_images_add_up_to_the_table(spark, folder):
+    rng = random.Random(11)
+    t = table(spark, folder)
+    t.merge(frame(spark, [("a", 1, 1, 1)]), ["k"], ["x", "day"])
+    assert t.changes_since(0, 1) is None
+    start = t.read().select("k", "day", "x").collect()
+    for n in range(3):
+        rows = [(k, rng.choice([None, 1, 2]), n, n) for k in {f"k{rng.randrange(5)}" for _ in range(4)} | {"a"}]
+        t.merge(frame(spark, rows), ["k"], ["x", "day"], changes=["k", "day", "x"])
+    sums = Counter({tuple(r): 1 for r in start})
+    for r in t.changes_since(1, 4).collect():
+        sums[r["k"], r["day"], r["x"]] += r["sign"]
+    assert {k for k, n in sums.items() if n} == {r[:3] for r in rows_of(t)} and set(sums.values()) <= {0, 1}
+
+
+def test_a_filter_on_any_cluster_column_skips_row_groups(spark, folder):
+    """Three columns in one order of rows; the footers tell what a reader may skip."""
+    import glob
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    schema = StructType.fromDDL("day date, branch string, product string, id string")
+    options = {"parquet.block.size": "16384", "parquet.page.size": "2048", "parquet.block.size.row.check.min": "100", "parquet.page.size.row.check.min": "100"}
+    t = SnapshotTable(spark, folder, schema, ("day", "day"), ["branch", "product", "id"], options=options)
+    number = lambda seed, n: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n))
+    rows = spark.range(40000).select(
+        F.lit(d(1)).alias("day"),
+        F.format_string("B%02d", number(1, 40)).alias("branch"),
+        F.format_string("P%03d", number(2, 500)).alias("product"),
+        F.sha2(F.col("id").cast("string"), 256).alias("id"),
+    )
+    t.append(rows)
+    groups = [g for path in glob.glob(f"{folder}/data/*/*/*.parquet") for g in [pq.ParquetFile(path).metadata]]
+    groups = [m.row_group(i) for m in groups for i in range(m.num_row_groups)]
+    assert len(groups) > 30 and sum(g.num_rows for g in groups) == 40000
+    names = [groups[0].column(i).path_in_schema for i in range(groups[0].num_columns)]
+    for column, value in (("branch", "B07"), ("product", "P123"), ("id", "8" + "0" * 63)):
+        stats = [g.column(names.index(column)).statistics for g in groups]
+        kept = sum(s.min <= value <= s.max for s in stats)
+        assert kept < len(groups) / 2, (column, kept, len(groups))
+    assert t.read().exceptAll(rows).isEmpty() and t.read().where("product = 'P123'").count() == rows.where("product = 'P123'").count()
