@@ -22,7 +22,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--follow", action="store_true", help="with --stream: go on waiting for files")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="reference day; default: today (UTC)")
     parser.add_argument("--headers", choices=("by_name", "strict"), default="by_name")
-    parser.add_argument("--infer", action="store_true", help="let Spark guess types before values become text")
+    parser.add_argument("--infer", action="store_true", help="find types that leave every value as it is")
     parser.add_argument("--messages", metavar="FOLDER", help="with --stream: take the files that messages in this folder name")
     parser.add_argument("--normalize-phone", action="store_true")
     parser.add_argument("--null-keys", action="store_true")

@@ -27,8 +27,8 @@ Entry = tuple[str, str, dict[str, int]]
 class Run:
     """The clock, identity and options of one run.
 
-    ``headers`` is how files are read, ``infer`` lets Spark guess their types first (``00123``
-    then becomes ``123``), ``normalize_phone`` repairs numbers before they are
+    ``headers`` is how files are read, ``infer`` finds their types first (none that would change a
+    value), ``normalize_phone`` repairs numbers before they are
     checked, ``null_keys`` lets rows without a key in, and ``strict`` refuses a load in
     which two spellings of a key meet.
     """
