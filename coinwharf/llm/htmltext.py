@@ -18,6 +18,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,12 +26,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from coinwharf.llm.common import text_slices
 
-RAW = {"script", "style", "noscript", "template", "iframe", "svg", "math", "object", "title", "textarea", "select", "canvas", "audio", "video"}
+RAW = {"script", "style", "noscript", "template", "iframe", "svg", "annotation", "annotation-xml", "title", "textarea", "select", "canvas", "audio", "video"}
 IN_HEAD = {"base", "basefont", "bgsound", "link", "meta", "noscript", "noframes", "script", "style", "template", "title"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark",
-    "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
+    "math", "menclose", "merror", "mfenced", "mfrac", "mi", "mmultiscripts", "mn", "mo", "mover", "mpadded", "mphantom", "mroot", "mrow", "ms", "mspace", "msqrt",
+    "mstyle", "msub", "msubsup", "msup", "mtext", "munder", "munderover", "object", "q", "rp", "rt", "ruby", "s", "samp", "semantics", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
 }
 ASIDE = {"nav", "footer", "aside", "form", "button", "menu", "dialog", "fieldset"}
 ENDS_P = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul"}
@@ -57,21 +59,28 @@ ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'
 
 
 class Element:
-    __slots__ = ("aside", "chars", "depth", "link_chars", "links", "marked", "parent", "tag", "path", "chosen")
+    """An element; what its ancestors say about it is carried down when it is made, and sums are
+    carried up once, so no step walks all ancestors of all elements."""
+
+    __slots__ = ("article", "aside", "chars", "chosen", "depth", "in_list", "link", "link_chars", "links", "marked", "parent", "path", "paths", "tag")
 
     def __init__(self, tag: str, parent: Element | None, aside: bool):
         self.tag, self.parent, self.aside, self.marked = tag, parent, aside, ""
-        self.path = (parent.path + "/" if parent else "") + tag
+        # a path has a number: that of its parent's path and the tag
+        self.paths: dict[tuple[int, str], int] = parent.paths if parent else {}
+        self.path = self.paths.setdefault((parent.path if parent else -1, tag), len(self.paths))
         self.depth = parent.depth + 1 if parent else 0
+        self.article = tag in ("article", "main") or bool(parent and parent.article)
+        self.link = tag == "a" or bool(parent and parent.link)
         self.chars = self.link_chars = self.links = 0
         self.chosen = 0.0
+        self.in_list = False
 
 
-def _is_aside(tag: str, attributes: str, parents: list[Element]) -> bool:
+def _is_aside(tag: str, attributes: str, parent: Element) -> bool:
     if tag in ASIDE or tag == "head":
         return True
-    inside = any(e.tag in ("article", "main") for e in parents)
-    if tag == "header" and not inside:
+    if tag == "header" and not parent.article:
         return True
     if not attributes or "=" not in attributes and "hidden" not in attributes:
         return False
@@ -84,7 +93,7 @@ def _is_aside(tag: str, attributes: str, parents: list[Element]) -> bool:
     return False
 
 
-def _mark(tag: str, attributes: str, parents: list[Element]) -> str:
+def _mark(tag: str, attributes: str, parent: Element) -> str:
     """The class or id that marks an element as something else than the article, or nothing."""
     if tag in ("html", "body", "article", "main") or "=" not in attributes:
         return ""
@@ -94,7 +103,7 @@ def _mark(tag: str, attributes: str, parents: list[Element]) -> str:
             for part in value.split():
                 if MARKED.match(part):
                     return part
-                if (HEADS.match(part) or value.lower() == "header") and not any(e.tag in ("article", "main") for e in parents):
+                if (HEADS.match(part) or value.lower() == "header") and not parent.article:
                     return part
     return ""
 
@@ -106,9 +115,11 @@ def _read(page: str) -> tuple[list[tuple[Element, str, int]], list[Element]]:
     root = Element("#", None, False)
     stack, block, at, low = [root], 0, 0, None
     elements: list[Element] = []
+    opened: Counter[str] = Counter()  # tags in the stack, which is searched only for those it holds
 
     def close_to(depth: int) -> None:
         nonlocal block
+        opened.subtract(e.tag for e in stack[depth:])
         if any(e.tag not in INLINE for e in stack[depth:]):
             block += 1
         del stack[depth:]
@@ -157,7 +168,7 @@ def _read(page: str) -> tuple[list[tuple[Element, str, int]], list[Element]]:
             continue
         at, tag = found.end(), found[2].lower()
         if found[1]:
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[depth].tag == tag:
                     close_to(depth)
                     break
@@ -178,14 +189,14 @@ def _read(page: str) -> tuple[list[tuple[Element, str, int]], list[Element]]:
                 at = len(page) if end < 0 else end + 1
             block += tag not in INLINE
             continue
-        if tag in ENDS_P:
+        if tag in ENDS_P and opened["p"]:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == "p":
                     close_to(depth)
                     break
                 if stack[depth].tag not in INLINE:
                     break
-        for depth in range(len(stack) - 1, 0, -1) if tag in ENDS else ():
+        for depth in range(len(stack) - 1, 0, -1) if tag in ENDS and any(opened[t] for t in ENDS[tag]) else ():
             if stack[depth].tag in ENDS[tag]:
                 close_to(depth)
             elif stack[depth].tag in LIMITS[tag]:
@@ -198,9 +209,10 @@ def _read(page: str) -> tuple[list[tuple[Element, str, int]], list[Element]]:
             continue
         if tag not in INLINE:
             block += 1
-        elements.append(Element(tag, stack[-1], stack[-1].aside or _is_aside(tag, found[3], stack)))
-        elements[-1].marked = _mark(tag, found[3], stack)
+        elements.append(Element(tag, stack[-1], stack[-1].aside or _is_aside(tag, found[3], stack[-1])))
+        elements[-1].marked = _mark(tag, found[3], stack[-1])
         stack.append(elements[-1])
+        opened[tag] += 1
     return nodes, elements
 
 
@@ -216,7 +228,7 @@ def _smooth(values: list[float]) -> list[float]:
 
 def _chosen(solid: list[tuple[Element, str, int]], spread: float) -> list[bool]:
     """Which text nodes are content, by the smoothed ratios of their paths."""
-    texts: dict[str, list[int]] = {}
+    texts: dict[int, list[int]] = {}
     for e, t, size in solid:
         of = texts.setdefault(e.path, [0, 0, 0])
         of[0] += size
@@ -237,26 +249,29 @@ def _leave_out_marked(nodes: list[tuple[Element, str, int]], elements: list[Elem
     if not any(e.marked for e in elements):
         return
     solid = [(e, t, len(" ".join(t.split()))) for e, t, _ in nodes if not e.aside and t.strip()]
-    held: dict[Element, list[int]] = {}  # characters in articles, characters chosen
+    sizes: dict[Element, int] = {}  # characters, those chosen, and those in articles below each element
+    picked: dict[Element, int] = {}
+    below: dict[Element, int] = {}
+    has_main: set[Element] = set()
     in_articles = in_chosen = 0
     for (e, _, size), chosen in zip(solid, _chosen(solid, spread) if solid else ()):
-        line = list(_line(e))
-        article = any(up.tag in ("article", "main") for up in line)
-        in_articles += size * article
+        in_articles += size * e.article
         in_chosen += size * chosen
-        for up in line:
-            if up.marked:
-                sums = held.setdefault(up, [0, 0])
-                # of an article, what is within the marked part counts where the article is
-                sums[0] += size * any(a.tag in ("article", "main") for a in line[: line.index(up)])
-                sums[1] += size * chosen
-    mains = {up for e in elements if e.tag == "main" and not e.aside for up in _line(e.parent)}
+        sizes[e] = sizes.get(e, 0) + size
+        picked[e] = picked.get(e, 0) + size * chosen
+    for e in reversed(elements):
+        up = e.parent
+        sizes[up] = sizes.get(up, 0) + sizes.get(e, 0)
+        picked[up] = picked.get(up, 0) + picked.get(e, 0)
+        # of an article, what is within the marked part counts where the article is
+        below[up] = below.get(up, 0) + (sizes.get(e, 0) if e.tag in ("article", "main") else below.get(e, 0))
+        if e in has_main or e.tag == "main" and not e.aside:
+            has_main.add(up)
     for e in elements:
-        if e.marked and e not in mains:
-            articles, chosen = held.get(e, (0, 0))
+        if e.marked and e not in has_main:
+            articles, chosen = below.get(e, 0), picked.get(e, 0)
             most = 0.95 if OF_READERS.search(e.marked) else 0.5
-            inside = any(up.tag in ("article", "main") for up in _line(e))
-            holds = chosen > most * in_chosen if inside or not in_articles else articles > most * in_articles
+            holds = chosen > most * in_chosen if e.article or not in_articles else articles > most * in_articles
             e.aside = e.aside or not holds
         e.aside = e.aside or e.parent.aside
 
@@ -270,61 +285,67 @@ def main_text(page: str, spread: float = 0.8, share: float = 0.9) -> str:
     if not solid:
         return ""
     for e, _, size in solid:
-        link = e
-        while link and link.tag != "a":
-            link = link.parent
-        up = e
-        while up:
-            up.chars += size
-            up.link_chars += size if link else 0
-            up.links += bool(link)
-            up = up.parent
+        e.chars += size
+        e.link_chars += size * e.link
+        e.links += e.link
+    for e in reversed(elements):
+        e.parent.chars += e.chars
+        e.parent.link_chars += e.link_chars
+        e.parent.links += e.links
+    for e in elements:
+        e.in_list = e.parent.in_list or _link_list(e)
     content = _chosen(solid, spread)
-    in_links = [any(map(_link_list, _line(e))) for e, _, _ in solid]
+    in_links = [e.in_list for e, _, _ in solid]
     if any(c and not links for c, links in zip(content, in_links)):
         content = [c and not links for c, links in zip(content, in_links)]
     chosen = [(e, size) for (e, _, size), c in zip(solid, content) if c]
     total = sum(size for _, size in chosen)
     for e, size in chosen:
-        up = e
-        while up:
-            up.chosen += size
-            up = up.parent
-    home = inner = max((up for e, _ in chosen for up in _line(e) if up.chosen >= share * total), key=lambda up: up.depth)
-    if not any(up.tag in ("article", "main") for up in _line(home)):
-        heads = [up for e, _, _ in solid for up in _line(e) if up.tag == "h1"]
-        lines = [set(_line(e)) for e in {*heads, *(e for e, _ in chosen)}]
-        home = max(set.intersection(*lines), key=lambda up: up.depth)
-    while home.parent and home.tag not in ("article", "main") and (home.tag in INLINE or home.tag in ("p", "li", "pre", "td", "h1", "h2", "h3", "h4", "h5", "h6") or any(up.tag in ("article", "main") for up in _line(home))):
+        e.chosen += size
+    for e in reversed(elements):
+        e.parent.chosen += e.chosen
+    root = solid[0][0]
+    while root.parent:
+        root = root.parent
+    everything = [root, *elements]
+    home = inner = max((e for e in everything if e.chosen >= share * total), key=lambda e: e.depth)
+    if not home.article:
+        # the deepest element with all chosen ones and all headlines in it
+        wanted = {e for e, _ in chosen} | {e for e in elements if e.tag == "h1" and e.chars}
+        count = dict.fromkeys(everything, 0) | dict.fromkeys(wanted, 1)
+        for e in reversed(elements):
+            count[e.parent] += count[e]
+        home = max((e for e in everything if count[e] == len(wanted)), key=lambda e: e.depth)
+    while home.parent and home.tag not in ("article", "main") and (home.tag in INLINE or home.tag in ("p", "li", "pre", "td", "h1", "h2", "h3", "h4", "h5", "h6") or home.article):
         home = home.parent
+    in_home, in_inner = {home}, {inner}
+    for e in elements:
+        for part in (in_home, in_inner):
+            if e.parent in part:
+                part.add(e)
     # link lists go outside the chosen content: before it, or behind it in other elements
     places = [i for i, c in enumerate(content) if c]
     first, last = places[0], places[-1]
     held = home.tag in ("article", "main")
-    dropped: set[Element] = set()
+    seen: set[Element] = set()
     for i, (e, _, _) in enumerate(solid):
-        if in_links[i] and not held and not first <= i <= last:
-            line = list(_line(e))
-            within = i > last and inner in line and inner.tag not in ("#", "html", "body")
-            below = line[: line.index(home)] if home in line else []
-            if not within:
-                dropped.update(filter(_link_list, below))
+        if in_links[i] and not held and not first <= i <= last and e in in_home:
+            if not (i > last and e in in_inner and inner.tag not in ("#", "html", "body")):
+                while e is not home and e not in seen:
+                    seen.add(e)
+                    e = e.parent
+    gone: set[Element] = set()
+    for e in elements:
+        if e in in_home and e is not home and (e.parent in gone or e in seen and _link_list(e)):
+            gone.add(e)
     blocks: dict[int, list[str]] = {}
     for e, t, b in nodes:
-        line = list(_line(e))
-        if e.aside or home not in line or dropped and not dropped.isdisjoint(line[: line.index(home)]):
-            continue
-        blocks.setdefault(b, []).append(t)
+        if not e.aside and e in in_home and e not in gone:
+            blocks.setdefault(b, []).append(t)
     joined = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n\n".join(filter(None, joined))
 
 
-def _line(e: Element | None) -> Iterator[Element]:
-    while e:
-        yield e
-        e = e.parent
-
-
 def _link_list(e: Element) -> bool:
     return e.tag in ("ul", "ol", "dl", "div", "table", "section") and e.links >= 3 and e.link_chars >= 0.8 * e.chars
 
