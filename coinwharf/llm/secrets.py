@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -125,12 +126,23 @@ def _mixed(value: str) -> bool:
     return sum((any(c.islower() for c in letters[1:]), any(c.isupper() for c in letters[1:]), any(c.isdigit() for c in letters))) >= 2 or any(c in "#$%&*+=@^~|\\" for c in letters)
 
 
-def _covered(start: int, end: int, spans: list[tuple[str, int, int]]) -> bool:
-    """Whether spans together hold all from start to end."""
-    for _, a, b in sorted(spans, key=lambda s: s[1]):
-        if a <= start < b:
-            start = b
-    return start >= end
+class _Cover:
+    """Spans joined where they touch or overlap, so that one look-up tells what holds a value."""
+
+    def __init__(self, spans: list[tuple[str, int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for _, start, end in sorted(spans, key=lambda s: s[1]):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def holds(self, start: int, end: int) -> bool:
+        """Whether spans together hold all from start to end."""
+        at = bisect_right(self.starts, start) - 1
+        return at >= 0 and end <= self.ends[at]
 
 
 KINDS = ("assign", "access", "hex", "guess")
@@ -144,11 +156,11 @@ def find_secrets(text: str, least: float = LEAST_GUESSES) -> list[tuple[str, int
     spans += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     if marked:
         spans += [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
-        base = list(spans)
+        base = _Cover(spans)
         for m in CONTEXT.finditer(text):
             value = m["value"].rstrip(".,;:!?)]}")
             start, end = m.start("value"), m.start("value") + len(value)
-            if len(value) >= 6 and not _covered(start, end, [s for s in base if s[1] < end and start < s[2]]) and (not m["prose"] or _mixed(value)) and guesses(value) >= least:
+            if len(value) >= 6 and not base.holds(start, end) and (not m["prose"] or _mixed(value)) and guesses(value) >= least:
                 spans.append(("guess", start, end))
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
