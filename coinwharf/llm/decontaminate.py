@@ -10,8 +10,9 @@ the group around it exceeds its budget. The last group is the whole item; its di
 
 Items are the stated queries: they go out in blocks of bounded size, each block to all documents.
 
-Defined cases: null and empty texts and items match nothing; an item shorter than ``min_chars``
-after reduction is no evidence and is left out; equal items are each reported; equal rows or ids
+Defined cases: null and empty texts and items match nothing; an item shorter than ``SHORT``
+after reduction matches whole words without edits only, and is no evidence that a document holds a
+benchmark (``without_benchmark`` leaves it out); equal items are each reported; equal rows or ids
 of documents are reported each; an empty table gives no rows; other columns are ignored. Where
 an item occurs more than once in a text, the place with the fewest edits counts, then the first.
 """
@@ -28,6 +29,8 @@ from pyspark.sql import DataFrame
 from coinwharf.llm.common import id_and_text, text_slices, with_row_keys, without_ids
 
 RATE = 0.1
+#: Characters of an item from which a passage near to it, in the middle of a word too, is evidence.
+SHORT = 20
 #: Characters of items in one block, which a worker holds as one automaton.
 BLOCK_CHARS = 1_000_000
 MATCHES = "doc_id long, item_id long, edits int, start long, end long"
@@ -35,8 +38,14 @@ MATCHES = "doc_id long, item_id long, edits int, start long, end long"
 _WORD = re.compile(r"[^\W_]+")
 
 
+def lower(text: str) -> str:
+    """Lower case, code point by code point where the length would change."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(one if len(one := c.lower()) == 1 else c for c in text)
+
+
 def reduced(text: str) -> str:
-    return " ".join(_WORD.findall(text.lower()))
+    return " ".join(_WORD.findall(lower(text)))
 
 
 def letter_masks(pattern: str) -> dict[str, int]:
@@ -72,7 +81,8 @@ class Item:
 
     def __init__(self, item_id: int, pattern: str, rate: float):
         self.id, self.pattern = item_id, pattern
-        self.budget = min(int(len(pattern) * rate), len(pattern) - 1)
+        self.short = len(pattern) < SHORT
+        self.budget = 0 if self.short else min(int(len(pattern) * rate), len(pattern) - 1)
         n = self.budget + 1
         self.bounds = [len(pattern) * j // n for j in range(n + 1)]
         self.around: list[list[tuple[int, int, int]]] = [[] for _ in range(n)]
@@ -109,7 +119,9 @@ class Item:
         """Edits, start and end of the item around a hit of a piece at ``at``, if within budget."""
         start = self.bounds[piece]
         if not self.budget:
-            return 0, at, at + len(self.pattern)
+            end = at + len(self.pattern)
+            cut = self.short and (at and text[at - 1] != " " or end < len(text) and text[end] != " ")
+            return None if cut else (0, at, end)
         if not self._near(piece, text, at):
             return None
         for a, b, k in self.around[piece]:
@@ -158,7 +170,7 @@ class Matcher:
 def _offsets(text: str, low: int, high: int) -> tuple[int, int]:
     """Code points of the original text for a place in its reduced form."""
     at, start, end = 0, None, 0
-    for found in _WORD.finditer(text.lower()):
+    for found in _WORD.finditer(lower(text)):
         size = found.end() - found.start()
         if start is None and at + size > low:
             start = found.start() + max(0, low - at)
@@ -205,7 +217,7 @@ def _blocks(items: DataFrame, id_col: str, text_col: str, min_chars: int) -> Ite
         yield block
 
 
-def benchmark_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", rate: float = RATE, min_chars: int = 20) -> DataFrame:
+def benchmark_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", rate: float = RATE, min_chars: int = 1) -> DataFrame:
     """One row per document and item found in it: MATCHES. Offsets are code points of the text."""
     spark = docs.sparkSession
     rows = id_and_text(docs, id_col, text_col)
@@ -217,7 +229,8 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
 
 
 def without_benchmark(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents, all columns, that hold no item, each row by itself whatever its id."""
+    """The documents, all columns, that hold no item of ``SHORT`` characters or more, each row by
+    itself whatever its id."""
     keyed, key = with_row_keys(docs)
-    found = benchmark_matches(keyed, items, **options | {"id_col": key}).select("doc_id")
+    found = benchmark_matches(keyed, items, **{"min_chars": SHORT} | options | {"id_col": key}).select("doc_id")
     return without_ids(keyed, found, key).drop(key)

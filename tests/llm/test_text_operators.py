@@ -672,3 +672,38 @@ def test_pii_of_endless_values_keeps_its_depth(spark):
     rows = pii.pseudonymised(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").orderBy("doc_id").collect()
     assert rows[0]["text"] == texts[0] and [r["n_email"] for r in rows] == [0, 1, 0, 0, 0, 0, 0]
     assert rows[1]["text"].endswith(texts[1][1:]) and rows[6]["n_card"] == n // 20
+
+
+def test_short_items_match_whole_words(spark):
+    items = spark.createDataFrame([(1, "Boiling point?"), (2, "ab"), (3, "a long enough item of words"), (4, ""), (5, "İİ")], "item_id long, text string")
+    rows = [(1, "The boiling  POINT, ab."), (2, "boiling points, cab abc"), (3, "İİİİ a long enough item of wordz"), (4, None), (5, "İİ boiling point")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["edits"], r["start"], r["end"]) for r in decontaminate.benchmark_matches(docs, items).collect()}
+    assert got == {(1, 1): (0, 4, 18), (1, 2): (0, 20, 22), (3, 3): (1, 5, 31), (5, 5): (0, 0, 2), (5, 1): (0, 3, 16)}
+    # in the pipeline only passages long enough to be evidence count
+    assert {r["doc_id"] for r in decontaminate.without_benchmark(docs, items).collect()} == {1, 2, 4, 5}
+
+
+def test_values_beside_many_spans_take_linear_time():
+    rng = random.Random(4)
+    for _ in range(300):
+        spans = [("hex", a, a + rng.randint(1, 9)) for a in rng.choices(range(60), k=rng.randint(0, 12))]
+        cover = secrets._Cover(spans)
+        start = rng.randrange(60)
+        end = start + rng.randint(1, 15)
+        held = all(any(a <= at < b for _, a, b in spans) for at in range(start, end))
+        assert cover.holds(start, end) == held
+    line = "password: Zq8#kLm2!xWv\n"
+    short, long = (len(secrets.find_secrets(line * n)) for n in (10, 20_000))
+    assert long == 2000 * short
+
+
+def test_formulas_and_fallbacks_stay_in_the_text():
+    page = "<article><p>The energy is <math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup><annotation>E=mc^2</annotation></math> here, and more.</p><p><object data=x>Fallback text.</object></p></article>"
+    assert htmltext.main_text(page) == "The energy is E=mc2 here, and more.\n\nFallback text."
+
+
+def test_deep_and_unclosed_markup_takes_linear_time():
+    for part, n in (("<div>", 100_000), ("<font>", 100_000), ("<div>text, more. ", 30_000), ("<li>a ", 30_000), ("</b>", 100_000)):
+        assert len(htmltext.main_text(part * n + "end of it, all.")) >= 15
+    assert len(htmltext.main_text("<font>" * 30_000 + "<p>x</p>" * 30_000)) == 30_000 * 3 - 2
