@@ -30,7 +30,7 @@ RAW = {"script", "style", "noscript", "template", "iframe", "svg", "annotation",
 IN_HEAD = {"base", "basefont", "bgsound", "link", "meta", "noscript", "noframes", "script", "style", "template", "title"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
-    "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark",
+    "a", "abbr", "acronym", "annotation", "annotation-xml", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark",
     "math", "menclose", "merror", "mfenced", "mfrac", "mi", "mmultiscripts", "mn", "mo", "mover", "mpadded", "mphantom", "mroot", "mrow", "ms", "mspace", "msqrt",
     "mstyle", "msub", "msubsup", "msup", "mtext", "munder", "munderover", "object", "q", "rp", "rt", "ruby", "s", "samp", "semantics", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
 }
