@@ -10,6 +10,7 @@ from coinwharf.plans.lake import Lake
 from coinwharf.session import build_session
 from coinwharf.sources.settings import job_settings
 from coinwharf.streaming.arrivals import file_arrivals, message_arrivals, start_chain
+from coinwharf.streaming.messages import acknowledged_arrivals
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -24,6 +25,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--headers", choices=("by_name", "strict"), default="by_name")
     parser.add_argument("--infer", action="store_true", help="find types that leave every value as it is")
     parser.add_argument("--messages", metavar="FOLDER", help="with --stream: take the files that messages in this folder name")
+    parser.add_argument("--acks", metavar="FOLDER", help="with --messages and --follow: take them in bounded batches, acknowledged in this folder")
     parser.add_argument("--normalize-phone", action="store_true")
     parser.add_argument("--null-keys", action="store_true")
     parser.add_argument("--strict", action="store_true")
@@ -46,7 +48,11 @@ def main(argv: list[str] | None = None) -> None:
         "strict": args.strict,
     }
     if args.stream:
-        if args.messages:
+        if args.acks and not (args.messages and args.follow):
+            raise SystemExit("--acks needs --messages and --follow")
+        if args.acks:
+            arrivals = acknowledged_arrivals(spark, args.messages, args.acks, args.scheme)
+        elif args.messages:
             arrivals = message_arrivals(spark, args.messages, args.scheme)
         else:
             arrivals = file_arrivals(spark, landing)
