@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 RANK_BITS, STEP = 6, 8
 #: Rows that the bounds are taken from.
-SAMPLE = 65_536
+SAMPLE = 16_384
 BOUNDS_DDL = "name string, rank bigint, bound string"
 
 
