@@ -29,6 +29,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--normalize-phone", action="store_true")
     parser.add_argument("--null-keys", action="store_true")
     parser.add_argument("--strict", action="store_true")
+    parser.add_argument("--split-hot", action="store_true", help="deal accounts that are hot on both sides of a join over many tasks")
     return parser.parse_args(argv)
 
 
@@ -46,6 +47,7 @@ def main(argv: list[str] | None = None) -> None:
         "normalize_phone": args.normalize_phone,
         "null_keys": args.null_keys,
         "strict": args.strict,
+        "split_hot": args.split_hot,
     }
     if args.stream:
         if args.acks and not (args.messages and args.follow):

@@ -92,6 +92,12 @@ ORACLE = {
         select t.transaction_id, c.customer_id, c.name, t.amount, t.date, t.status
         from {table('transactions')} t join {table('customers')} c on t.account_id = c.account_id
         where t.amount > 450000""",
+    "suspicious_hot": f"""
+        with t as (select *, case when day(date) > 10 then 'hot' else 'cold' end as account from {table('transactions')}
+            where amount > 400000),
+        c as (select *, case when customer_id % 10 > 3 then 'hot' else 'cold' end as account from {table('customers')})
+        select c.customer_id, t.status, count(*) as n, {money('t.amount')} as amount
+        from t join c on t.account = c.account group by c.customer_id, t.status""",
     "latest_per_customer": f"""
         select account_id, date, transaction_id, amount from (
             select *, row_number() over (partition by account_id order by date desc, transaction_id desc) as place

@@ -79,6 +79,17 @@ def suspicious(spark, sf):
     )
 
 
+@query
+def suspicious_hot(spark, sf):
+    """Amounts per customer where all rows share two accounts, which are dealt over many tasks on both sides."""
+    account = F.when(F.dayofmonth("date") > 10, "hot").otherwise("cold").alias("account_id")
+    sales = spark_input(spark, sf, "transactions").select("transaction_id", account, "amount", "date", "status")
+    owner = F.when(F.col("customer_id") % 10 > 3, "hot").otherwise("cold").alias("account_id")
+    people = spark_input(spark, sf, "customers").select("customer_id", "name", owner)
+    pairs = reports.suspicious(sales, people, above=400000, hot={"part_rows": 100})
+    return pairs.groupBy("customer_id", "status").agg(F.count("*").alias("n"), numeric.exact_sum(F.col("amount"), 2).cast("double").alias("amount"))
+
+
 @query
 def product_order(spark, sf):
     """The order a report is shown in, as a column."""

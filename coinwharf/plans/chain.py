@@ -29,8 +29,9 @@ class Run:
 
     ``headers`` is how files are read, ``infer`` finds their types first (none that would change a
     value), ``normalize_phone`` repairs numbers before they are
-    checked, ``null_keys`` lets rows without a key in, and ``strict`` refuses a load in
-    which two spellings of a key meet.
+    checked, ``null_keys`` lets rows without a key in, ``strict`` refuses a load in
+    which two spellings of a key meet, and ``split_hot`` deals accounts that are hot among
+    transactions and customers over many tasks.
     """
 
     run_id: str
@@ -41,6 +42,7 @@ class Run:
     normalize_phone: bool = False
     null_keys: bool = False
     strict: bool = False
+    split_hot: bool = False
 
     @staticmethod
     def of(
@@ -123,7 +125,7 @@ def build_reports(lake: Lake, run: Run) -> dict[str, DataFrame]:
         reports.MONTHLY_TREND: reports.monthly_trend(transactions),
         reports.PRODUCT_SHARE: reports.product_share(transactions, products),
         reports.INACTIVE_ACCOUNTS: reports.inactive_accounts(accounts, transactions, run.as_of),
-        reports.SUSPICIOUS: reports.suspicious(transactions, customers),
+        reports.SUSPICIOUS: reports.suspicious(transactions, customers, hot={} if run.split_hot else None),
     }
 
 
@@ -141,7 +143,7 @@ def build_from_summaries(lake: Lake, run: Run) -> dict[str, DataFrame]:
         reports.MONTHLY_TREND: reports.trend_rows(months),
         reports.PRODUCT_SHARE: reports.shares(revenue, products),
         reports.INACTIVE_ACCOUNTS: inactive_by_state(accounts, activity.read(), run.as_of),
-        reports.SUSPICIOUS: reports.suspicious(stored.read(), customers),
+        reports.SUSPICIOUS: reports.suspicious(stored.read(), customers, hot={} if run.split_hot else None),
     }
 
 

@@ -16,6 +16,7 @@ from coinwharf.functions.numeric import AMOUNT_SCALE, exact_sum
 from coinwharf.functions.temporal import day_literal, months_before, year_month
 from coinwharf.functions.text import same_word
 from coinwharf.operators.absence import without_match
+from coinwharf.operators.hot_join import hot_join
 from coinwharf.operators.share import with_percentage
 from coinwharf.session import staged
 
@@ -127,20 +128,20 @@ def inactive_accounts(
 
 
 def suspicious(
-    transactions: DataFrame, customers: DataFrame, above: float = SUSPICIOUS_ABOVE
+    transactions: DataFrame, customers: DataFrame, above: float = SUSPICIOUS_ABOVE, hot: dict | None = None
 ) -> DataFrame:
     """Transactions strictly above a limit, for every customer that shares the account.
 
-    Nothing can be summed here, so a hot account is left to adaptive execution, which
-    splits an outsized partition of either side.
+    Nothing can be summed here. A hot account is left to adaptive execution, which splits an
+    outsized partition of either side, or, with ``hot`` (the options of ``hot_join``, may be
+    empty), found by a sketch and dealt over many tasks on both sides.
     """
     large = transactions.where(F.col("amount") > above).select(
         "transaction_id", "account_id", "amount", "date", "status"
     )
-    return (
-        large.join(customers.select("account_id", "customer_id", "name"), "account_id")
-        .select("transaction_id", "customer_id", "name", "amount", "date", "status")
-    )
+    owners = customers.select("account_id", "customer_id", "name")
+    joined = large.join(owners, "account_id") if hot is None else hot_join(large, owners, "account_id", **hot)
+    return joined.select("transaction_id", "customer_id", "name", "amount", "date", "status")
 
 
 def in_order(name: str, report: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from coinwharf.operators.absence import without_match
+from coinwharf.operators.hot_join import hot_join, hot_keys
 from coinwharf.operators.latest import latest_per_key
 from coinwharf.operators.share import with_percentage
 from coinwharf.operators.upsert import (
@@ -138,3 +139,36 @@ def test_adaptive_execution_splits_a_hot_join_key(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_join_deals_a_key_that_is_hot_on_both_sides(spark):
+    """A third of both sides on one key: every pair once, and no part holds more than its share."""
+    big = spark.range(0, 9000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise(F.concat(F.lit("k"), F.col("id") % 1000)).alias("k"), F.col("id").alias("a"))
+    small = spark.range(0, 600, 1, 3).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"), (F.col("id") % 590).alias("b"))
+    assert {r["k"]: r["rows"] for r in hot_keys(big, "k", 0.01, 50).collect()} == {"hot": 3000}
+    expected = sorted(tuple(r) for r in big.join(small, "k").collect())
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = hot_join(big, small, "k", part_rows=50)
+        assert joined.columns == ["k", "a", "b"] and sorted(tuple(r) for r in joined.collect()) == expected
+        # 60 x 4 cells over 8 tasks: none does more than about twice its share of 600,000 pairs
+        cells = joined.where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+        assert len(cells) == 8 and max(r["count"] for r in cells) < 150_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_hot_join_edges(spark):
+    rows = [(1, "x"), (1, "x"), (None, "y"), (2, None)]
+    left = spark.createDataFrame(rows, "k int, a string")
+    right = left.withColumnRenamed("a", "b")
+    for part_rows in (1, 100):
+        got = sorted((tuple(r) for r in hot_join(left, right, "k", part_rows=part_rows).collect()), key=str)
+        assert got == [(1, "x", "x")] * 4 + [(2, None, None)]
+        assert hot_join(left, right.limit(0), "k", part_rows=part_rows).count() == 0
+        assert hot_join(left.limit(0), right, "k", part_rows=part_rows).count() == 0

@@ -140,6 +140,7 @@ def test_reports_against_brute_force_on_skewed_rows(spark):
         ((i, c, n, a, d, s) for i, acc, _, _, d, a, s in rows if a > 100000 for c, n, own in people if own == acc),
         key=lambda r: (-r[3], r[0], r[1]))
     assert tuples(reports.in_order(reports.SUSPICIOUS, reports.suspicious(df, who))) == expected
+    assert tuples(reports.in_order(reports.SUSPICIOUS, reports.suspicious(df, who, hot={"part_rows": 20}))) == expected
 
     accounts = spark.createDataFrame([(f"A{k}", "x") for k in range(40)] + [("hot", "x")], "account_id string, account_name string")
     active = {acc for _, acc, _, _, d, _, _ in rows if d >= dt.date(2025, 7, 15)}
