@@ -2,13 +2,14 @@
 
 Texts are encoded and cut into pieces of at most ``capacity`` tokens; pieces are then packed
 into as few sequences as can be found. A piece of full length is a sequence of its own. The
-others are dealt at random into blocks of about BLOCK pieces; on every block ISLANDS islands
-breed solutions. A solution is a set of bins (sequences). Crossover injects the well-filled bins
+others are dealt into blocks of about BLOCK pieces, sorted by length and in turn, so that all blocks
+hold like lengths; on every block ISLANDS islands breed solutions. A solution is a set of bins (sequences). Crossover injects the well-filled bins
 of one parent into the other, removes bins of the other that hold a piece twice, and best-fits
 the displaced pieces. After each epoch the best solution of each island migrates to the next
 island of its block. An island stops once it needs no more bins than its tokens fill. Bins that
 are not nearly full are taken apart in the end and packed again, in rounds over ever fewer blocks,
-until one block is left. All steps are groups of bounded size; random choices are seeded by block,
+until one block is left; where that is nearly all of them, only the emptier half of the bins goes
+on to the next round. All steps are groups of bounded size; random choices are seeded by block,
 island and epoch, so a lost task repeats its result.
 
 Defined cases: a null or empty text is one piece with the end id only; repeated rows and equal
@@ -34,8 +35,6 @@ from coinwharf.session import staged
 BLOCK, ISLANDS, EPOCHS, PARENTS, GENERATIONS = 1024, 2, 2, 4, 5
 #: Bins at least this full stay as they are when a round ends.
 GOOD_FILL = 0.998
-#: What an island of many may leave unused outside its emptiest bin, as a share of one bin.
-SPARE = 0.5
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -156,19 +155,17 @@ def _child(one: list[list[int]], two: list[list[int]], sizes: list[int], capacit
     return bins.solution()
 
 
-def solved(bins: list[list[int]], sizes: list[int], capacity: int, only: bool) -> bool:
-    """Whether more breeding is in vain: no fewer bins are possible, or, where other blocks
-    share the rest, hardly any room is lost outside the emptiest bin."""
-    rooms = [capacity - sum(sizes[i] for i in b) for b in bins]
-    return sum(rooms) < capacity or not only and sum(rooms) - max(rooms) <= SPARE * capacity
+def solved(bins: list[list[int]], sizes: list[int], capacity: int) -> bool:
+    """Whether more breeding is in vain, as no fewer bins can hold the tokens."""
+    return sum(capacity - sum(sizes[i] for i in b) for b in bins) < capacity
 
 
-def evolve(sizes: list[int], capacity: int, seeds: list[list[list[int]]], rng: random.Random, only: bool = True) -> list[list[int]]:
+def evolve(sizes: list[int], capacity: int, seeds: list[list[list[int]]], rng: random.Random) -> list[list[int]]:
     """The best solution an island finds, from the solutions that it starts with and its own."""
     falling = sorted(range(len(sizes)), key=lambda i: -sizes[i])
     island = list(seeds) or [_packed(sizes, capacity, falling)]
     best = min(island, key=lambda s: (len(s), -score(s, sizes, capacity)))
-    if solved(best, sizes, capacity, only):
+    if solved(best, sizes, capacity):
         return best
     while len(island) < PARENTS:
         noisy = sorted(range(len(sizes)), key=lambda i: -sizes[i] * rng.uniform(0.7, 1.3))
@@ -179,12 +176,12 @@ def evolve(sizes: list[int], capacity: int, seeds: list[list[list[int]]], rng: r
             island.append(_child(one, two, sizes, capacity, rng))
         island.sort(key=lambda s: (len(s), -score(s, sizes, capacity)))
         island = island[:PARENTS]
-        if solved(island[0], sizes, capacity, only):
+        if solved(island[0], sizes, capacity):
             break
     return island[0]
 
 
-def _island(capacity: int, epoch: int, only: bool):
+def _island(capacity: int, epoch: int):
     """One epoch of one island: ``own`` and ``guest`` hold the bin of each piece in its own best
     solution and in its neighbour's, null before the first epoch."""
 
@@ -199,7 +196,7 @@ def _island(capacity: int, epoch: int, only: bool):
                 for i, b in enumerate(rows[column].astype("int64").tolist()):
                     bins.setdefault(b, []).append(i)
                 seeds.append(list(bins.values()))
-        best = evolve(sizes, capacity, seeds, random.Random(f"{block} {island} {epoch}"), only)
+        best = evolve(sizes, capacity, seeds, random.Random(f"{block} {island} {epoch}"))
         bin_, offset, fill = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
         for number, members in enumerate(best):
             at = 0
@@ -208,7 +205,7 @@ def _island(capacity: int, epoch: int, only: bool):
                 at += sizes[i]
             fill[members] = at
         return pd.DataFrame(
-            {"uid": rows["uid"], "length": rows["length"], "block": block, "island": island, "bin": bin_, "offset": offset, "fill": fill, "bins": len(best), "done": solved(best, sizes, capacity, only)}
+            {"uid": rows["uid"], "length": rows["length"], "block": block, "island": island, "bin": bin_, "offset": offset, "fill": fill, "bins": len(best), "done": solved(best, sizes, capacity)}
         )
 
     return run
@@ -217,12 +214,20 @@ def _island(capacity: int, epoch: int, only: bool):
 _SOLVED = "uid long, length long, block long, island int, bin long, offset long, fill long, bins long, done boolean"
 
 
-def _solve(pieces: DataFrame, capacity: int, blocks: int, salt: int) -> DataFrame:
-    """The best island's solution of every block, for pieces ``uid``, ``length``."""
-    dealt = pieces.select("uid", "length", F.pmod(F.xxhash64("uid", F.lit(salt)), F.lit(blocks)).alias("block"))
+def _dealt(pieces: DataFrame, blocks: int) -> DataFrame:
+    """The pieces with a ``block``: sorted by length in each partition and dealt in turn, each
+    partition from another block on."""
+    turn = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    first = F.pmod(F.xxhash64(F.spark_partition_id()), F.lit(blocks))
+    return pieces.sortWithinPartitions("length", "uid").select("uid", "length", ((turn + first) % blocks).alias("block"))
+
+
+def _solve(pieces: DataFrame, capacity: int, blocks: int) -> DataFrame:
+    """The best island's solution of every block, for written pieces ``uid``, ``length``."""
+    dealt = _dealt(pieces, blocks)
     state = dealt.select("*", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island"), F.lit(None).cast("long").alias("own"), F.lit(None).cast("long").alias("guest"))
     for epoch in range(EPOCHS):
-        found = staged(state.groupBy("block", "island").applyInPandas(_island(capacity, epoch, blocks == 1), _SOLVED), "islands")
+        found = staged(state.groupBy("block", "island").applyInPandas(_island(capacity, epoch), _SOLVED), "islands")
         if epoch + 1 == EPOCHS or found.where(~F.col("done")).isEmpty():
             break
         home = found.select("uid", "length", "block", "island", F.col("bin").alias("own"))
@@ -241,21 +246,22 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     count = left.count()
     while count:
         blocks = max(1, -(-count // BLOCK))
-        solved = _solve(left, capacity, blocks, turn)
+        found = _solve(left, capacity, blocks)
         last = blocks == 1
-        if not last:
-            solved = staged(solved, "solved")
-        sound = F.lit(last) | (F.col("fill") >= int(capacity * GOOD_FILL))
         number = (F.lit(turn).cast("long") * (1 << 56)) + F.col("block") * (1 << 20) + F.col("bin")
-        placed.append(solved.where(sound).select("uid", number.alias("sequence_id"), "offset"))
         if last:
+            placed.append(found.select("uid", number.alias("sequence_id"), "offset"))
             break
-        left = solved.where(~sound).select("uid", "length")
-        fewer = left.count()
-        if fewer > 0.9 * count:  # nearly nothing packs well: more rounds would not end
-            placed[-1] = solved.select("uid", number.alias("sequence_id"), "offset")
-            break
-        count, turn = fewer, turn + 1
+        found = staged(found, "solved")
+        sound = F.col("fill") >= int(capacity * GOOD_FILL)
+        open_bins = found.where(~sound)
+        fewer = open_bins.count()
+        if fewer > 0.9 * count:  # nearly nothing packs well: the fuller half of the bins stays, so that rounds end
+            fills = open_bins.where(F.col("offset") == 0).agg(F.expr(f"percentile_approx(fill, 0.5, {capacity})"))
+            sound = F.col("fill") >= fills.first()[0]
+            fewer = found.where(~sound).count()
+        placed.append(found.where(sound).select("uid", number.alias("sequence_id"), "offset"))
+        left, count, turn = found.where(~sound).select("uid", "length"), fewer, turn + 1
     places = placed[0]
     for more in placed[1:]:
         places = places.unionByName(more)

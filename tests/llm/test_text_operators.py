@@ -252,6 +252,22 @@ def test_breeding_never_loses_pieces_and_beats_no_bound():
     assert len(packing.evolve([30, 34, 20, 44, 12, 52, 10, 54], 64, [], rng)) == 4
 
 
+def test_packing_of_lengths_that_pair_up(spark):
+    """Six blocks of which every piece needs one of the other length: a sequence for each pair."""
+    rows = spark.range(0, 6000, 1, 3).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 3000, 1100).otherwise(900).cast("long").alias("length"))
+    packed = packing.pack(rows, 2048).collect()
+    assert len(packed) == 6000 and len({r["sequence_id"] for r in packed}) == 3000
+    assert len({(r["sequence_id"], r["offset"]) for r in packed}) == 6000
+
+
+def test_packing_goes_on_where_nothing_fills_well(spark):
+    """Bins of two that are never nearly full: rounds end, and all pieces are placed once."""
+    rows = spark.range(0, 5000, 1, 3).select(F.col("id").alias("doc_id"), (F.col("id") % 7 + 700).alias("length"))
+    packed = packing.pack(rows, 2048).collect()
+    assert sorted(r["doc_id"] for r in packed) == list(range(5000))
+    assert len({r["sequence_id"] for r in packed}) == 2500
+
+
 def test_packing_edges(edges, nothing):
     got = packing.pack(packing.cut_texts(edges, BYTE, 0, 2048), 2048).collect()
     assert sum(r["piece"] == 0 for r in got) == len(EDGES)
