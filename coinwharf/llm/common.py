@@ -32,7 +32,11 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Runs of rows whose texts together have about ``size`` bytes (one text at least)."""
+    """Runs of rows whose texts together have about ``size`` bytes (one text at least).
+
+    Memory that Arrow's pool keeps after a run is given back before the next one, so that workers
+    that stay alive from stage to stage do not hold what only one of them needed.
+    """
     for batch in batches:
         ends = np.cumsum(np.asarray(pc.binary_length(batch.column(column)).fill_null(0), np.int64))
         start = 0
@@ -41,6 +45,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
             end = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
             yield batch.slice(start, end - start)
             start = end
+            pa.default_memory_pool().release_unused()
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list]]:
