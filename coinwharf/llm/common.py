@@ -17,6 +17,8 @@ from coinwharf.session import staged
 
 #: Bytes of whole texts that Python works on at a time, so that a task needs little memory.
 SLICE_BYTES = 4_000_000
+#: Bytes of rows that a task hands to Python at a time; the session's own setting, if smaller, stays.
+BATCH_BYTES = 8_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,8 +85,19 @@ def with_row_keys(docs: DataFrame) -> tuple[DataFrame, str]:
     return staged(docs.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
 
 
+def _bytes(size: str) -> int:
+    """A setting such as ``64MB`` in bytes."""
+    number = size.lower().rstrip("ib")
+    power = "kmgt".find(number[-1]) + 1
+    return int(number[:-1] if power else number) << 10 * power
+
+
 def reach_workers(spark: SparkSession) -> None:
-    """Sends this package to the executors where their path does not have it."""
+    """Sends this package to the executors where their path does not have it, and bounds the
+    batches that tasks hand to Python, which hold thousands of texts otherwise."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if _bytes(spark.conf.get(setting)) > BATCH_BYTES:
+        spark.conf.set(setting, str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.abspath(coinwharf.__file__)))
     places = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
     sent = spark.sparkContext._python_includes
