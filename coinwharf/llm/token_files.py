@@ -8,14 +8,15 @@ by id reads few stripes. Readers take stripes in parallel. Only ``n_tokens`` and
 ``start_in_part`` are read to find where a part begins in the whole sequence, never the ids.
 
 Defined cases: a null text is empty and has the end id only; a null id sorts first; rows with
-equal ids stay separate, ordered by a hash of their text, then as dealt; an empty table gives
+equal ids stay separate, ordered by a hash of their text, then as they were read, so that equal
+rows need not share a part; an empty table gives
 files without rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ OPTIONS = {
     "compression": "zstd",
     "orc.bloom.filter.columns": "doc_id",
     "orc.bloom.filter.fpp": "0.01",
-    "orc.row.index.stride": "10000",
+    "orc.row.index.stride": "1000",  # the least; some MB of ids
     "orc.stripe.size": str(64 << 20),
 }
 
@@ -67,8 +68,8 @@ def _encode(path: str, end_id: int, keeps_blanks: bool):
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", keeps_blanks: bool = False, parts: int | None = None) -> None:
     """Write the ids of every whole text, each closed by ``end_id``, in ascending order of the id."""
     parts = parts or max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    rows = id_and_text(docs, id_col, text_col).withColumn("tie", F.xxhash64("text"))
-    ordered = rows.repartitionByRange(parts, "id", "tie").sortWithinPartitions("id", "tie").select("id", "text")
+    rows = id_and_text(docs, id_col, text_col).withColumn("tie", F.xxhash64("text")).withColumn("place", F.monotonically_increasing_id())
+    ordered = rows.repartitionByRange(parts, "id", "tie", "place").sortWithinPartitions("id", "tie", "place").select("id", "text")
     ordered.mapInArrow(_encode(tokenizer, end_id, keeps_blanks), STORED).write.options(**OPTIONS).orc(path)
 
 
@@ -80,6 +81,14 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return stored.join(F.broadcast(begins), "part").withColumn("start", F.col("begin") + F.col("start_in_part")).drop("begin")
 
 
+def look_up(spark: SparkSession, path: str, doc_ids: Sequence[int]) -> DataFrame:
+    """The stored rows of a few documents.
+
+    Files, stripes and row groups whose minima, maxima or Bloom filters rule the ids out are skipped.
+    """
+    return spark.read.schema(STORED).orc(path).where(F.col("doc_id").isin(list(doc_ids)))
+
+
 def _running(sizes: DataFrame) -> DataFrame:
     """Where each part begins. One row per file, whose number the writer's ``parts`` sets, so the
     list is small at any input size."""

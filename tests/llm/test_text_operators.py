@@ -301,6 +301,34 @@ def test_token_files(spark, documents, texts, folder):
     assert len(got) == len(texts)
 
 
+def test_look_up_skips_row_groups_by_their_ranges_and_bloom_filters(spark, folder):
+    docs = spark.range(0, 24000, 2, 3).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    token_files.write_tokens(docs, f"{folder}/t", WORD, 1, parts=2)
+
+    def read(ids):
+        found = token_files.look_up(spark, f"{folder}/t", ids)
+        rows = found.collect()
+        leaf = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return [r["doc_id"] for r in rows], leaf.metrics().apply("numOutputRows").value()
+
+    assert read([6000]) == ([6000], 1000)  # one group of 1000 rows of 12,000
+    assert sorted(read([2, 23998])[0]) == [2, 23998] and read([2, 23998])[1] <= 2000  # a last group may be shorter
+    # absent ids within the range of every group: their Bloom filters rule nearly all out
+    read_rows = [read([i])[1] for i in range(1001, 21001, 1000)]
+    assert sum(read_rows) <= 2000
+
+
+def test_equal_rows_share_no_part_alone(spark, folder):
+    """A third of all rows without id and text are dealt over the parts."""
+    docs = spark.range(0, 9000, 1, 3).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 > 0, F.lit("a b")).alias("text"))
+    token_files.write_tokens(docs, f"{folder}/t", WORD, 1, parts=6)
+    stored = token_files.read_tokens(spark, f"{folder}/t")
+    assert max(r["count"] for r in stored.groupBy("part").count().collect()) < 2500
+    rows = token_files.token_digests(stored).orderBy("start").collect()
+    assert [r["start"] for r in rows] == [0, *itertools.accumulate([r["n_tokens"] for r in rows])][:-1]
+    assert [r["doc_id"] for r in rows] == [None] * 3000 + [i for i in range(9000) if i % 3]
+
+
 def test_token_files_edges(spark, edges, nothing, folder):
     token_files.write_tokens(edges, f"{folder}/t", WORD, 1)
     rows = token_files.token_digests(token_files.read_tokens(spark, f"{folder}/t")).orderBy("start").collect()
