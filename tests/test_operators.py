@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from coinwharf.operators.absence import without_match
-from coinwharf.operators.hot_join import hot_join, hot_keys
+from coinwharf.operators.hot_join import MOST_PARTS, _parts, hot_join, hot_keys
+from coinwharf.operators.interleave import _rank
 from coinwharf.operators.latest import latest_per_key
 from coinwharf.operators.share import with_percentage
 from coinwharf.operators.upsert import (
@@ -172,3 +173,22 @@ def test_hot_join_edges(spark):
         assert got == [(1, "x", "x")] * 4 + [(2, None, None)]
         assert hot_join(left, right.limit(0), "k", part_rows=part_rows).count() == 0
         assert hot_join(left.limit(0), right, "k", part_rows=part_rows).count() == 0
+
+
+def test_hot_join_copies_a_row_a_bounded_number_of_times(spark):
+    cuts = spark.createDataFrame([(5,), (1_000,), (10**9,), (None,)], "n long").select("n", _parts(F.col("n"), 100).alias("p"))
+    assert {r["n"]: r["p"] for r in cuts.collect()} == {5: 1, 1_000: 10, 10**9: MOST_PARTS, None: 1}
+    left = spark.range(300).select(F.lit("hot").alias("k"), F.col("id").alias("a"))
+    right = spark.range(200).select(F.lit("hot").alias("k"), F.col("id").alias("b"))
+    joined = hot_join(left, right, "k", part_rows=1)
+    assert joined.count() == joined.distinct().count() == 300 * 200
+
+
+def test_interleaved_ranks_are_the_bounds_a_value_reaches(spark):
+    rng = random.Random(5)
+    texts = [None, "", "z", *(f"{rng.randrange(500)}" for _ in range(200))]
+    bounds = sorted({t for t in texts if t})[::3][:63]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", _rank(F.col("t"), bounds).alias("r"))
+    assert all(r["r"] == sum(r["t"] is not None and b <= r["t"] for b in bounds) for r in df.collect())
+    comparisons = _rank(F.col("t"), bounds)._jc.toString().count("CASE WHEN")
+    assert comparisons == len(bounds)
