@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-RANK_BITS, STEP = 6, 8
+RANK_BITS = 6
 #: Rows that the bounds are taken from.
 SAMPLE = 16_384
 BOUNDS_DDL = "name string, rank bigint, bound string"
@@ -30,15 +30,13 @@ def bounds_of(df: DataFrame, columns: Sequence[str], sample: int = SAMPLE) -> li
     return found
 
 
-def _rank(value: Column, bounds: Sequence[str]) -> Column:
-    """How many bounds a value reaches, by steps and then by one; NULL reaches none."""
+def _rank(value: Column, bounds: Sequence[str], least: int = 0) -> Column:
+    """How many bounds a value reaches, halving them with each comparison; NULL reaches none."""
     if not bounds:
-        return F.lit(0)
-    steps = [bounds[i] for i in range(STEP - 1, len(bounds), STEP)]
-    all_bounds = F.array(*map(F.lit, bounds))
-    reached = lambda some: F.size(F.filter(some, lambda b: b <= value))
-    coarse = (reached(F.array(*map(F.lit, steps))) if steps else F.lit(0)) * STEP
-    return F.coalesce(coarse + reached(F.slice(all_bounds, coarse + 1, STEP)), F.lit(0))
+        return F.lit(least)
+    middle = len(bounds) // 2
+    reached = _rank(value, bounds[middle + 1 :], least + middle + 1)
+    return F.when(value >= bounds[middle], reached).otherwise(_rank(value, bounds[:middle], least))
 
 
 def interleaved(bounds: dict[str, Sequence[str]]) -> Column:

@@ -17,7 +17,7 @@ from coinwharf.plans.lake import Lake
 from coinwharf.plans.raw_load import files_per_table, load_table, skipped
 from coinwharf.plans.summaries import ACCOUNT_VOLUMES, IMAGED, MONTHLY_TOTALS, PRODUCT_REVENUE, inactive_by_state, refresh_activity
 from coinwharf.schemas import ENTITIES
-from coinwharf.session import staged
+from coinwharf.session import join_side, staged
 from coinwharf.sources.landing import list_files
 
 Entry = tuple[str, str, dict[str, int]]
@@ -115,11 +115,17 @@ def load_curated(lake: Lake, entity: str, raw: DataFrame, run: Run, only_new: bo
     return "curated", entity, {**quality, **collapsed, **actions}
 
 
+def _joined(lake: Lake, entity: str) -> DataFrame:
+    """A curated table that reports join."""
+    table = lake.curated(entity)
+    state = table.state()
+    return join_side(table.read(state), state.rows)
+
+
 def build_reports(lake: Lake, run: Run) -> dict[str, DataFrame]:
     """The five reports over the curated tables, not yet computed."""
-    customers, accounts, products, transactions = (
-        lake.curated(entity).read() for entity in ("customer", "account", "products", "transaction")
-    )
+    customers, accounts, products = (_joined(lake, entity) for entity in ("customer", "account", "products"))
+    transactions = lake.curated("transaction").read()
     return {
         reports.TOP_CUSTOMERS: reports.top_customers(transactions, customers),
         reports.MONTHLY_TREND: reports.monthly_trend(transactions),
@@ -137,7 +143,7 @@ def build_from_summaries(lake: Lake, run: Run) -> dict[str, DataFrame]:
         lambda refresh: refresh(lake, stored), [*(summary.refresh for summary in summaries), refresh_activity]
     )
     volumes, months, revenue = (summary.read(table) for summary, table in zip(summaries, tables))
-    customers, accounts, products = (lake.curated(entity).read() for entity in ("customer", "account", "products"))
+    customers, accounts, products = (_joined(lake, entity) for entity in ("customer", "account", "products"))
     return {
         reports.TOP_CUSTOMERS: reports.greatest_customers(volumes, customers),
         reports.MONTHLY_TREND: reports.trend_rows(months),

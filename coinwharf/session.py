@@ -50,11 +50,24 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/coinwharf/{label}-{uuid.uuid4().hex}"
 
 
+#: Rows that a join may send to every task.
+BROADCAST_ROWS = 100_000
+
+
+def join_side(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` as a side of a join that is broadcast only if it has few rows.
+
+    The planner takes the size of compressed files for that of their rows, which can be many times
+    as large: keys that it holds for 10 MB have filled the driver.
+    """
+    return df if rows <= BROADCAST_ROWS else df.hint("merge")
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    Cuts the lineage, survives lost executors, and gives the planner real file
-    sizes, so that a later join is broadcast only when the data is truly small.
+    Cuts the lineage, survives lost executors, and gives the planner real file sizes. These are
+    compressed: a join of what may have many rows takes it as a :func:`join_side`.
     """
     spark = df.sparkSession
     path = work_path(spark, label)

@@ -4,9 +4,11 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from coinwharf.operators.upsert import DuplicateSourceKeys
+from coinwharf.session import join_side, staged
 from coinwharf.sources.tables import SnapshotTable
 
 DDL = "k string, day date, x int, kept int"
@@ -381,3 +383,32 @@ def test_a_filter_on_any_cluster_column_skips_row_groups(spark, folder):
         kept = sum(s.min <= value <= s.max for s in stats)
         assert kept < len(groups) / 2, (column, kept, len(groups))
     assert t.read().exceptAll(rows).isEmpty() and t.read().where("product = 'P123'").count() == rows.where("product = 'P123'").count()
+
+
+def test_many_rows_in_small_files_are_not_broadcast(spark):
+    keys = staged(spark.range(200_000).select("id", F.lit("x").alias("day")), "keys")
+    for rows, sent in ((10, True), (200_000, False)):
+        joined = spark.range(10**8).join(join_side(keys.select("id"), rows), "id", "left_semi")
+        assert ("BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()) == sent
+
+
+@pytest.mark.parametrize("newest", [(), ("day",)])
+def test_a_merge_of_many_rows_joins_without_broadcast(spark, folder, monkeypatch, newest):
+    plans = []
+
+    def write(df, name, own=SnapshotTable._write):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return own(stored, df, name)
+
+    monkeypatch.setattr("coinwharf.sources.tables.BROADCAST_ROWS", 0)
+    monkeypatch.setattr("coinwharf.session.BROADCAST_ROWS", 0)
+    stored = table(spark, folder)
+    stored.append(frame(spark, [("a", 1, 1, 1), ("b", 1, 1, 1), ("c", 2, 1, 1), (None, 2, 1, 1)]))
+    monkeypatch.setattr(stored, "_write", write)
+    source = frame(spark, [("a", 3, 2, 2), ("b", 1, 2, 2), ("d", 1, 2, 2), ("e", None, 2, 2), (None, 2, 2, 2)])
+    counts = stored.merge(source, ["k"], ["day", "x"], newest=newest)
+    b = ("b", d(1), 2 - len(newest), 1)
+    expected = [("a", d(3), 2, 1), b, ("c", d(2), 1, 1), ("d", d(1), 2, 2), ("e", None, 2, 2), (None, d(2), 1, 1), (None, d(2), 2, 2)]
+    assert Counter(tuple(r) for r in stored.read().collect()) == Counter(expected)
+    assert counts == {"keep": 2 + len(newest), "update": 2 - len(newest), "insert": 3}
+    assert plans and "BroadcastHashJoin" not in plans[0]
