@@ -6,7 +6,7 @@ import os
 import pytest
 
 from coinwharf.plans.lake import Lake
-from coinwharf.plans.raw_load import files_per_table, skipped
+from coinwharf.plans.raw_load import files_per_table, load_table, skipped
 from coinwharf.schemas import RAW_COLUMNS
 from coinwharf.sources.landing import list_files, load_plan, planned, read_raw, stamped
 from coinwharf.sources.notifications import decode_notifications, encode_notifications, undecodable
@@ -143,3 +143,11 @@ def test_header_lines_are_read_up_to_their_break_only(spark, folder, monkeypatch
 
     monkeypatch.setattr(landing, "_first_lines", lambda: unreachable)
     assert landing.header_lines(spark, [path, other]) == {path: first, other: ",".join(RAW_COLUMNS["account"][::-1])}
+
+
+def test_files_of_a_raw_table_hold_a_bounded_number_of_rows(spark, folder, monkeypatch):
+    monkeypatch.setattr("coinwharf.plans.lake.FILE_ROWS", 10)
+    path = write_csv(folder, "accounts.csv", [account(f"A{i}") for i in range(35)])
+    rows = load_table(Lake(spark, folder + "/lake"), "account", [path], "append", "load")
+    per_file = rows.groupBy("_metadata.file_path").count().collect()
+    assert sum(r["count"] for r in per_file) == 35 and max(r["count"] for r in per_file) <= 10
