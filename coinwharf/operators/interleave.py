@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 RANK_BITS = 6
+#: Bounds that are written out as nested cases at most.
+WRITTEN_OUT = 8
 #: Rows that the bounds are taken from.
 SAMPLE = 16_384
 BOUNDS_DDL = "name string, rank bigint, bound string"
@@ -39,6 +41,16 @@ def _rank(value: Column, bounds: Sequence[str], least: int = 0) -> Column:
     return F.when(value >= bounds[middle], reached).otherwise(_rank(value, bounds[:middle], least))
 
 
+def _looked_up(value: Column, bounds: Sequence[str]) -> Column:
+    """The same for many bounds, which are looked up in an array: as nested cases they make generated
+    code that is too long for the JVM to compile. Past the last bound the look-up is NULL, which no
+    value reaches."""
+    rank, cuts = F.lit(0), F.array(*[F.lit(bound) for bound in bounds])
+    for bit in reversed(range(len(bounds).bit_length())):
+        rank = rank + F.when(value >= F.get(cuts, rank + ((1 << bit) - 1)), 1 << bit).otherwise(0)
+    return rank
+
+
 def interleaved(bounds: dict[str, Sequence[str]]) -> Column:
     """A number that orders rows by the interleaved bits of their columns' ranks."""
     columns = len(bounds)
@@ -46,6 +58,7 @@ def interleaved(bounds: dict[str, Sequence[str]]) -> Column:
     place = F.lit(0).cast("bigint")
     for i, (column, cuts) in enumerate(bounds.items()):
         # few different values still use the highest bits
-        rank = F.floor(_rank(F.col(column).cast("string"), cuts) * (1 << RANK_BITS) / (len(cuts) + 1)).cast("int")
+        reached = _rank if len(cuts) <= WRITTEN_OUT else _looked_up
+        rank = F.floor(reached(F.col(column).cast("string"), cuts) * (1 << RANK_BITS) / (len(cuts) + 1)).cast("int")
         place = place + F.shiftleft(F.element_at(spread, rank + 1), columns - 1 - i)
     return place

@@ -192,3 +192,21 @@ def test_interleaved_ranks_are_the_bounds_a_value_reaches(spark):
     assert all(r["r"] == sum(r["t"] is not None and b <= r["t"] for b in bounds) for r in df.collect())
     comparisons = _rank(F.col("t"), bounds)._jc.toString().count("CASE WHEN")
     assert comparisons == len(bounds)
+
+
+def test_ranks_count_the_bounds_a_value_reaches_in_short_code(spark):
+    """Generated methods of more than 8000 bytes are never compiled by the JVM."""
+    from coinwharf.operators.interleave import interleaved
+
+    bounds = {"a": [f"{n:03d}" for n in range(0, 630, 10)], "b": ["b", "d", "é"], "c": []}
+    rows = [(a, b, "x") for a in (None, "", "000", "0005", "299", "630", "~") for b in (None, "a", "b", "c", "z", "é", "一")]
+    df = spark.createDataFrame(rows, "a string, b string, c string").repartition(2)
+    placed = df.select("a", "b", interleaved(bounds).alias("place"))
+
+    def place(a, b):
+        ranks = [sum(v is not None and v.encode() >= x.encode() for x in cuts) * 64 // (len(cuts) + 1) for v, cuts in ((a, bounds["a"]), (b, bounds["b"]))]
+        return sum((rank >> bit & 1) << 3 * bit + 2 - i for i, rank in enumerate(ranks) for bit in range(6))
+
+    assert {(r["a"], r["b"]): r["place"] for r in placed.collect()} == {(a, b): place(a, b) for a, b, _ in rows}
+    parts = placed._jdf.queryExecution().debug().codegenToSeq()
+    assert max(parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())) < 8000
