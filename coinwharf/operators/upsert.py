@@ -33,26 +33,31 @@ def _same_key(keys: Sequence[str]) -> Column:
 
 
 def merge_upsert(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], on_match: Sequence[str]
+    target: DataFrame, source: DataFrame, keys: Sequence[str], on_match: Sequence[str], before: Sequence[str] = ()
 ) -> DataFrame:
     """The merged rows and what happened to each (``action``: keep, update or insert).
 
     ``source`` has the columns of ``target`` and unique keys. A matched row takes the
     ``on_match`` columns from the source and keeps its others; a source row without a match
     is inserted whole; a target row without a match stays as it is. Null keys never match.
-    One full outer equi join: either side is read and shuffled once.
+    One full outer equi join: either side is read and shuffled once. The target may have more
+    columns, which stay as they are; ``before`` names those whose values before an update are
+    returned as well (``before_...``).
     """
     joined = target.withColumn("t_", F.lit(True)).join(_renamed(source), _same_key(keys), "full_outer")
     in_target, in_source = F.col("t_").isNotNull(), F.col("s_").isNotNull()
 
     def settled(name: str) -> Column:
+        if name not in source.columns:
+            return F.col(name)
         old, new = F.col(name), F.col(f"s_{name}")
         if name in on_match:
             return F.when(in_source, new).otherwise(old).alias(name)
         return F.when(in_target, old).otherwise(new).alias(name)
 
     action = F.when(~in_source, KEEP).when(in_target, UPDATE).otherwise(INSERT)
-    return joined.select(*[settled(c) for c in target.columns], action.alias("action"))
+    replaced = [F.when(in_target & in_source, F.col(c)).alias(f"before_{c}") for c in before]
+    return joined.select(*[settled(c) for c in target.columns], action.alias("action"), *replaced)
 
 
 def apply_updates(
@@ -91,3 +96,11 @@ def images(
 
     both = [F.struct(*[side(c, sign > 0) for c in columns], F.lit(sign).alias("sign")) for sign in (-1, 1)]
     return joined.select(F.inline(F.array(*both)))
+
+
+def merged_images(merged: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The same from rows of :func:`merge_upsert` (``before`` with these columns), and 1 for each inserted row."""
+    old = F.struct(*[F.col(f"before_{c}").alias(c) for c in columns], F.lit(-1).alias("sign"))
+    new = F.struct(*columns, F.lit(1).alias("sign"))
+    sides = F.when(F.col("action") == UPDATE, F.array(old, new)).otherwise(F.array(new))
+    return merged.where(F.col("action") != KEEP).select(F.inline(sides))

@@ -412,3 +412,33 @@ def test_a_merge_of_many_rows_joins_without_broadcast(spark, folder, monkeypatch
     assert Counter(tuple(r) for r in stored.read().collect()) == Counter(expected)
     assert counts == {"keep": 2 + len(newest), "update": 2 - len(newest), "insert": 3}
     assert plans and "BroadcastHashJoin" not in plans[0]
+
+
+@pytest.mark.parametrize("near", [0, 100])
+def test_a_merge_of_many_rows_joins_once_for_rows_and_images(spark, folder, monkeypatch, near):
+    """The same rows, counts and images as a merge of few rows; files without a match stay."""
+    rng, results = random.Random(5), []
+    loads = [[(rng.choice([None, *(f"k{n}" for n in range(12))]), rng.choice([None, 1, 2, 3]), n, rng.choice([None, 1])) for n in range(9)] for _ in range(2)]
+    loads = [[("z", 9, 0, 5)], *loads, [("new", 1, 1, 1)], [(None, 1, 1, 1), ("k1", 5, 2, 2)]]
+    staging, join = [], type(spark.range(0)).join
+    for few in (10**6, 0):
+        monkeypatch.setattr("coinwharf.sources.tables.BROADCAST_ROWS", few)
+        monkeypatch.setattr("coinwharf.sources.tables.NEAR_ROWS", near)
+        stored, counts = table(spark, f"{folder}/{few}"), []
+        for rows in loads:
+            kept = {k: row for *_, k, row in [(*r, r[0], r) for r in rows] if k}
+            source = frame(spark, [*kept.values(), *[r for r in rows if r[0] is None]])
+            joins = []
+            monkeypatch.setattr(type(source), "join", lambda self, *a, **o: joins.append(1) or join(self, *a, **o))
+            counts.append(stored.merge(source, ["k"], ["x", "day"], changes=["k", "day", "x", "kept"]))
+            monkeypatch.undo()
+            monkeypatch.setattr("coinwharf.sources.tables.BROADCAST_ROWS", few)
+            monkeypatch.setattr("coinwharf.sources.tables.NEAR_ROWS", near)
+            staging.append((few, len(joins)))
+        sums = Counter()
+        for r in stored.changes_since(1, len(loads)).collect():
+            sums[tuple(r)[:-1]] += r["sign"]
+        results.append((counts, Counter(tuple(r) for r in stored.read().collect()), {r: n for r, n in sums.items() if n}))
+        assert ("z", d(9), 0, 5) in results[-1][1] and any(e["v"] == 1 for e in stored.state().live)
+    assert results[0] == results[1]
+    assert max(n for few, n in staging if not few) == 2  # one is planned to find files, and run only for a far larger target
