@@ -175,6 +175,29 @@ def test_hot_join_edges(spark):
         assert hot_join(left.limit(0), right, "k", part_rows=part_rows).count() == 0
 
 
+def test_hot_join_gives_each_pair_of_parts_a_task_however_few_its_bytes(spark):
+    """Adaptive execution would pack all parts into a task or two by their bytes; their work is their pairs."""
+    big = spark.range(0, 3600, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, "left").otherwise(F.concat(F.lit("k"), F.col("id") % 900)).alias("k"), F.col("id").alias("a"))
+    small = spark.range(0, 600, 1, 3).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") == 1, "left").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"), F.col("id").alias("b"))
+    expected = sorted(tuple(r) for r in big.join(small, "k").collect())
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = hot_join(big, small, "k", part_rows=20)
+        placed = [tuple(r) for r in joined.withColumn("task", F.spark_partition_id()).collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert joined.columns == ["k", "a", "b"] and sorted(r[:3] for r in placed) == expected
+    per_task = {}
+    for k, _, _, task in placed:
+        if k == "hot":
+            per_task[task] = per_task.get(task, 0) + 1
+    # 16 x 10 pairs of parts, dealt by hash over as many tasks
+    assert sum(per_task.values()) == 1200 * 200 and len(per_task) > 80 and max(per_task.values()) < 15_000
+
+
 def test_hot_join_copies_a_row_a_bounded_number_of_times(spark):
     cuts = spark.createDataFrame([(5,), (1_000,), (10**9,), (None,)], "n long").select("n", _parts(F.col("n"), 100).alias("p"))
     assert {r["n"]: r["p"] for r in cuts.collect()} == {5: 1, 1_000: 10, 10**9: MOST_PARTS, None: 1}
